@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemetra.functions.air import fields_of, in_valid_ranges
+from telemetra.functions.air import fields_of
 from telemetra.rules import ACTIVE_STATUS, VALID_RANGES
 
 
@@ -22,27 +25,23 @@ def valid_rules(df: DataFrame) -> dict[str, Column]:
 
 
 def valid(df: DataFrame) -> Column:
-    """All rules at once. Never NULL, so its negation is the exact complement."""
-    checks = valid_rules(df)
-    ranges = {name for name, _, _ in VALID_RANGES}
-    met = in_valid_ranges(fields_of(df))
-    for name, check in checks.items():
-        if name not in ranges:
-            met = check & met
-    return F.coalesce(met, F.lit(False))
+    """All rules at once; NULL where a rule cannot be decided."""
+    return reduce(and_, valid_rules(df).values())
 
 
 def clean(df: DataFrame) -> DataFrame:
+    """Rows that meet every rule. A plain conjunction, so its parts can reach a parquet scan."""
     return df.filter(valid(df))
 
 
 def rejected(df: DataFrame) -> DataFrame:
-    return df.filter(~valid(df))
+    """The exact complement of ``clean``: an undecided row is rejected as well."""
+    return df.filter(~F.coalesce(valid(df), F.lit(False)))
 
 
 def quality_report(df: DataFrame) -> DataFrame:
     """One row: rows in, rows kept, rows rejected, and rows failing each rule, in one pass."""
-    met = valid(df)
+    met = F.coalesce(valid(df), F.lit(False))
     failures = [
         F.count_if(~F.coalesce(check, F.lit(False))).alias(f"failed_{name}") for name, check in valid_rules(df).items()
     ]

@@ -20,6 +20,7 @@ from telemetra.queries.fixture import AS_OF, RANGE
 from telemetra.schemas import FEATURES, SUMMARY_KEYS
 from telemetra.session import workspace
 from telemetra.sources.messages import parse
+from telemetra.sources.scans import materialise
 from telemetra.streaming.etl import file_sinks, run_etl
 from telemetra.streaming.scoring import score_messages
 from telemetra.tables import Store
@@ -98,7 +99,8 @@ def _ingest(spark: SparkSession, sf_dir: str) -> Store:
     """Run the streaming ETL over the whole events table and leave its tables in the shared folder."""
     root = workspace(spark, "ingest")
     store = Store(f"{root}/tables")
-    store.create(spark)
+    store.readings.create(spark)
+    store.anomalies.create(spark)
     stream = fixture.messages_of(fixture.event_stream(spark, sf_dir))
     run_etl(
         stream, file_sinks(store, f"{root}/messages"), f"{root}/checkpoint", processed_at=instant(AS_OF)
@@ -283,8 +285,9 @@ def a_summary_size(spark, sf_dir):
 
 @query
 def u_summary_upsert(spark, sf_dir):
-    old, new = _summary(spark, sf_dir, EARLY_SUMMARY), _summary(spark, sf_dir, LATE_SUMMARY)
-    return upsert(old, new, SUMMARY_KEYS)
+    """The later run replaces its sensors' rows; it is stored first, since the merge reads it twice."""
+    new = materialise(_summary(spark, sf_dir, LATE_SUMMARY), "summary")
+    return upsert(_summary(spark, sf_dir, EARLY_SUMMARY), new, SUMMARY_KEYS)
 
 
 @query

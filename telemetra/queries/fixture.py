@@ -51,12 +51,20 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table as a stream of its files."""
     schema = events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet")
 
 
 def raw_of(source: DataFrame) -> DataFrame:
-    """Flat raw readings, valid and invalid, keyed by row_id."""
-    return source.sparkSession.sql(RAW_SQL, events=source).withColumnRenamed("event_id", "row_id")
+    """Flat raw readings, valid and invalid, keyed by row_id.
+
+    The derived columns go through ``inline`` so that filters on them are not pushed below their
+    derivation: evaluated twice, it makes a method too large for the JVM to compile. Filters on
+    row_id and event_time still reach the scan.
+    """
+    derived = source.sparkSession.sql(RAW_SQL, events=source)
+    fields = [name for name in derived.columns if name not in ("event_id", "event_time")]
+    packed = derived.select(F.col("event_id").alias("row_id"), "event_time", F.struct(*fields).alias("fields"))
+    return packed.select("row_id", "event_time", F.inline(F.array("fields")))
 
 
 def parsed_of(source: DataFrame) -> DataFrame:
