@@ -29,6 +29,8 @@ EULER = 0.5772156649015329
 # and each tree first takes this many times the rows it keeps.
 POOL_FACTOR = 4
 HASH_RANGE = 2**64
+# Feature and children of a node that is not split.
+LEAF = -1
 
 
 @dataclass(frozen=True)
@@ -120,7 +122,8 @@ def _grow_tree(rows: np.ndarray, rng: np.random.Generator) -> list[tuple]:
         low, high = part.min(axis=0), part.max(axis=0)
         splittable = np.flatnonzero(low < high)
         if depth == limit or splittable.size == 0:
-            nodes.append((node, -1, None, None, None, len(part), depth, depth + mean_path_length(len(part))))
+            path = depth + mean_path_length(len(part))
+            nodes.append((node, LEAF, None, LEAF, LEAF, len(part), depth, path))
             continue
         feature = int(rng.choice(splittable))
         threshold = rng.uniform(low[feature], high[feature])
@@ -143,7 +146,6 @@ def grow(sampled: DataFrame, spec: ForestSpec) -> DataFrame:
         ordered = rows.sort_values(["draw", "row_id"])[features].to_numpy(dtype="float64")
         grown = _grow_tree(ordered, np.random.default_rng([seed, tree_id]))
         nodes = pd.DataFrame(grown, columns=columns)
-        nodes = nodes.astype({"left": "Int32", "right": "Int32"})
         return nodes.assign(model_id=model_id, tree_id=tree_id)[FOREST_NODES.names]
 
     return sampled.groupBy("model_id", "tree_id").applyInPandas(tree, FOREST_NODES)
@@ -169,10 +171,10 @@ def _heap_arrays(forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     threshold = np.full((trees, inner), np.inf)
     length = np.zeros((trees, inner + 1))
     nodes = forest.nodes
-    split = nodes[nodes["feature"] >= 0]
+    split = nodes[nodes["feature"] != LEAF]
     feature[split["tree_id"], split["node_id"]] = split["feature"]
     threshold[split["tree_id"], split["node_id"]] = split["threshold"]
-    leaf = nodes[nodes["feature"] < 0]
+    leaf = nodes[nodes["feature"] == LEAF]
     below = 2 ** (depth - leaf["depth"].to_numpy())
     bottom = (leaf["node_id"].to_numpy() + 1) * below - 1
     length[leaf["tree_id"], bottom - inner] = leaf["path_length"]

@@ -49,9 +49,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table as a stream of its files."""
+    """The same table as a stream of its files.
+
+    As a pattern the path may be one file or a folder of files; a plain path has to be a folder.
+    """
     schema = events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet")
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.{{parquet}}")
 
 
 def raw_of(source: DataFrame) -> DataFrame:
