@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from telemetra import rules
 from telemetra.operators.quantile import exact_quantile
 from telemetra.schemas import FEATURES, FOREST_NODES
-from telemetra.sources.scans import materialise
+from telemetra.sources.scans import Staged, materialise
 
 EULER = 0.5772156649015329
 # The pool from which trees draw holds this many times the rows that all trees together need,
@@ -55,11 +55,15 @@ class Forest:
 
 @dataclass(frozen=True)
 class Fitted:
-    """A forest with the stored scores (row_id, score) of the rows it was trained on."""
+    """A forest with the stored scores (row_id, score) of the rows it was trained on.
+
+    Forests fitted together share one stored table.
+    """
 
     forest: Forest
     n_rows: int
     scores: DataFrame
+    stage: Staged
 
 
 def mean_path_length(n: int) -> float:
@@ -240,11 +244,14 @@ def fit_many(trainings: dict[str, DataFrame], counts: dict[str, int], spec: Fore
         score(training, forests[key]).select(F.lit(key).alias("model_id"), "row_id", "score")
         for key, training in trainings.items()
     ]
-    scores = materialise(reduce(DataFrame.unionByName, scored), "training-scores")
-    thresholds = exact_quantile(scores, "score", 1 - spec.contamination, "model_id", counts)
+    stage = materialise(reduce(DataFrame.unionByName, scored), "training-scores")
+    thresholds = exact_quantile(stage.rows, "score", 1 - spec.contamination, "model_id", counts)
     return {
         key: Fitted(
-            replace(forest, threshold=thresholds[key]), counts[key], scores.filter(F.col("model_id") == key)
+            replace(forest, threshold=thresholds[key]),
+            counts[key],
+            stage.rows.filter(F.col("model_id") == key),
+            stage,
         )
         for key, forest in forests.items()
     }

@@ -34,6 +34,11 @@ class Backfill:
     fitted: dict[str, Fitted]
     metrics: DataFrame
 
+    def discard(self) -> None:
+        """Remove the stored training scores; models and metrics stay usable."""
+        for fitted in self.fitted.values():
+            fitted.stage.discard()
+
 
 def model_keys(spark: SparkSession, ranges: list[tuple[str, str]]) -> list[str]:
     """Model key of every range, in the given order."""
@@ -83,7 +88,7 @@ def _fit_ranges(
     fitted = fit_many({key: validate(df) for key, df in extracted.items()}, counts, spec)
     predictions = [with_prediction(one.scores, one.forest.threshold) for one in fitted.values()]
     metrics = health_score(reduce(DataFrame.unionByName, predictions), spec.contamination, by=("model_id",))
-    # One row per range: computed here, so that later reads do not score again.
+    # One row per range: computed here, so that they outlast the stored scores.
     rows = [tuple(row) for row in metrics.select(*METRICS.names).collect()]
     metrics = readings.sparkSession.createDataFrame(rows, METRICS)
     assert_healthy(metrics)

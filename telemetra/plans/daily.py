@@ -63,4 +63,5 @@ def run_training(
     registry.save_model(store, forest, metrics, instant(as_of))
     if outcome["decision"] == registry.PROMOTE:
         registry.promote(store, model_id, instant(as_of), spark)
+    fitted.stage.discard()
     return Trained(forest, outcome["health_score"], outcome["decision"])

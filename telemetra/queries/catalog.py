@@ -286,7 +286,7 @@ def a_summary_size(spark, sf_dir):
 @query
 def u_summary_upsert(spark, sf_dir):
     """The later run replaces its sensors' rows; it is stored first, since the merge reads it twice."""
-    new = materialise(_summary(spark, sf_dir, LATE_SUMMARY), "summary")
+    new = materialise(_summary(spark, sf_dir, LATE_SUMMARY), "summary").rows
     return upsert(_summary(spark, sf_dir, EARLY_SUMMARY), new, SUMMARY_KEYS)
 
 
@@ -366,7 +366,9 @@ def m_forest_score(spark, sf_dir):
 
 @query
 def m_backfill(spark, sf_dir):
-    return backfill(fixture.readings(spark, sf_dir), BACKFILL_RANGES).metrics
+    result = backfill(fixture.readings(spark, sf_dir), BACKFILL_RANGES)
+    result.discard()
+    return result.metrics
 
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -49,10 +51,24 @@ def load_staged(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.format(fmt).load(path)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+@dataclass(frozen=True)
+class Staged:
+    """A table in the shared folder that holds an intermediate result."""
+
+    rows: DataFrame
+    path: str
+
+    def discard(self) -> None:
+        """Remove the table, once nothing reads it any more."""
+        spark = self.rows.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialise(df: DataFrame, name: str) -> Staged:
     """Compute a DataFrame once, as a table in the shared folder, and continue from that table.
 
     The table outlives the executors that wrote it, and later steps read only the columns they use.
     """
     path = stage_file(df, workspace(df.sparkSession, name))
-    return load_staged(df.sparkSession, path, df.schema)
+    return Staged(load_staged(df.sparkSession, path, df.schema), path)

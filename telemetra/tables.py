@@ -46,7 +46,8 @@ class Table:
         """
         staged = materialise(new.select(*self.schema.names), f"upsert-{self.name}")
         old = self.read(new.sparkSession).filter(touched)
-        self.replace_partitions(upsert(old, staged, keys))
+        self.replace_partitions(upsert(old, staged.rows, keys))
+        staged.discard()
 
     def register(self, spark: SparkSession) -> None:
         """Make the table known to SQL under its name."""

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from unittest.mock import MagicMock
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -7,10 +9,13 @@ from pyspark.sql import functions as F
 from samples import message, messages
 from telemetra.functions.times import instant
 from telemetra.operators.clean import clean
-from telemetra.operators.enrich import enrich, flatten_readings
+from telemetra.operators.enrich import debug_projection, enrich, flatten_readings
 from telemetra.queries import fixture
 from telemetra.sinks.batches import (
+    console_sink,
+    jdbc_sink,
     jdbc_sink_options,
+    kafka_sink,
     kafka_sink_options,
     message_file_sink,
     table_sink,
@@ -109,6 +114,42 @@ def test_rebalanced_write_has_the_same_rows(spark, landed):
     assert store.readings.read(spark).count() == 888
 
 
+def test_rebalance_splits_a_hot_date(spark, tmp_path):
+    """All rows on one date must not end in one task."""
+    store = Store(str(tmp_path))
+    store.readings.create(spark)
+    many = messages(spark, [message()]).select("key", "value", F.explode(F.sequence(F.lit(1), F.lit(20_000))).alias("row_id"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        batch = transform(many.repartition(4), instant(AS_OF))
+        table_sink(store.readings, readings_shape, rebalance=True)(batch, 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list(tmp_path.rglob("event_date=2024-01-15/*/*.parquet"))) > 1
+    assert store.readings.read(spark).count() == 20_000
+
+
+def test_outside_sinks_send_what_they_should(spark):
+    """Brokers and databases are not started here; only the calls to the writer are checked."""
+    sent = MagicMock()
+    kafka_sink(kafka_sink_options("broker:9092", "anomalies"), lambda batch: sent)(None, 0)
+    sent.write.format.assert_called_once_with("kafka")
+    assert sent.write.format().options.call_args.kwargs["topic"] == "anomalies"
+    stored = MagicMock()
+    jdbc_sink(jdbc_sink_options("jdbc:x", "sensor_readings"), lambda batch: stored, user="u")(None, 3)
+    assert stored.withColumn.call_args.args[0] == "batch_id"
+    writer = stored.withColumn().write
+    writer.format.assert_called_once_with("jdbc")
+    writer.format().mode.assert_called_once_with("append")
+    assert writer.format().mode().options.call_args.kwargs["user"] == "u"
+
+
+def test_console_sink_accepts_a_batch(spark):
+    """The text goes to the standard output of the JVM, out of reach of the test."""
+    batch = transform(messages(spark, [message()]), instant(AS_OF))
+    console_sink(debug_projection)(batch, 0)
+
+
 def test_readings_without_time_are_stored(spark, tmp_path):
     store = Store(str(tmp_path))
     store.readings.create(spark)

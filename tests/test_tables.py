@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,8 +88,10 @@ def test_staged_files_come_back_equal(spark, tmp_path, fmt):
 
 def test_materialised_rows_are_computed_once(spark):
     random = spark.range(100).select(F.rand().alias("x"))
-    stored = materialise(random, "test")
-    assert stored.collect() == stored.collect() and stored.count() == 100
+    stage = materialise(random, "test")
+    assert stage.rows.collect() == stage.rows.collect() and stage.rows.count() == 100
+    stage.discard()
+    assert not Path(stage.path).exists()
 
 
 def test_workspace_is_below_the_named_folder(spark):
