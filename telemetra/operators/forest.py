@@ -8,6 +8,7 @@ data, so it travels with the scoring function.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -15,6 +16,7 @@ from math import ceil, log, log2
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,9 @@ HASH_RANGE = 2**64
 # Feature and children of a node that is not split.
 LEAF = -1
 
+# The functions below travel to the executors whole, so that these need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass(frozen=True)
 class ForestSpec:
@@ -107,10 +112,16 @@ def candidates(training: DataFrame, model_id: str, n_rows: int, spec: ForestSpec
     return drawn.withColumn("draw", F.xxhash64(*order))
 
 
-def samples(drawn: DataFrame, spec: ForestSpec) -> DataFrame:
-    """The rows of every tree: the ``max_samples`` lowest draws."""
+def samples(drawn: DataFrame, spec: ForestSpec, n_models: int = 1) -> DataFrame:
+    """The rows of every tree: the ``max_samples`` lowest draws.
+
+    The number of partitions is given, since adaptive coalescing would put these few rows, and with
+    them the growing of all trees, into one task. Window and growing share this one shuffle.
+    """
+    cores = drawn.sparkSession.sparkContext.defaultParallelism
+    spread = drawn.repartition(min(spec.n_trees * n_models, cores), "model_id", "tree_id")
     lowest = Window.partitionBy("model_id", "tree_id").orderBy("draw", "row_id")
-    return drawn.withColumn("place", F.row_number().over(lowest)).filter(F.col("place") <= spec.max_samples)
+    return spread.withColumn("place", F.row_number().over(lowest)).filter(F.col("place") <= spec.max_samples)
 
 
 def _grow_tree(rows: np.ndarray, rng: np.random.Generator) -> list[tuple]:
@@ -158,7 +169,7 @@ def grow(sampled: DataFrame, spec: ForestSpec) -> DataFrame:
 def _fetch_nodes(nodes: DataFrame, spec: ForestSpec, n_models: int) -> pd.DataFrame:
     """Node rows on the driver. Their number is bounded by the forest's shape, not by the data."""
     bound = n_models * spec.n_trees * 2 ** (max_depth(spec.max_samples) + 1)
-    fetched = nodes.limit(bound + 1).toPandas()
+    fetched = nodes.limit(bound + 1).toArrow().to_pandas()
     if len(fetched) > bound:
         raise ValueError("more nodes than this forest can have; are model ids unique?")
     return fetched
@@ -234,7 +245,7 @@ def fit_many(trainings: dict[str, DataFrame], counts: dict[str, int], spec: Fore
     The score threshold leaves the share ``contamination`` of the training rows above it.
     """
     drawn = [candidates(training, key, counts[key], spec) for key, training in trainings.items()]
-    grown = grow(samples(reduce(DataFrame.unionByName, drawn), spec), spec)
+    grown = grow(samples(reduce(DataFrame.unionByName, drawn), spec, len(trainings)), spec)
     nodes = _fetch_nodes(grown, spec, len(trainings))
     forests = {
         key: Forest(key, spec, min(spec.max_samples, counts[key]), nodes[nodes["model_id"] == key])

@@ -81,6 +81,6 @@ def load_forest(store: Store, spark: SparkSession, model_id: str) -> Forest:
     """Read a stored forest back; both reads touch one partition."""
     chosen = F.col("model_id") == model_id
     entry = store.models.read(spark).filter(chosen).first()
-    nodes = store.nodes.read(spark).filter(chosen).toPandas()
+    nodes = store.nodes.read(spark).filter(chosen).toArrow().to_pandas()
     spec = ForestSpec(n_trees=entry["n_trees"], contamination=entry["contamination"])
     return Forest(model_id, spec, entry["sample_size"], nodes, entry["threshold"])

@@ -184,8 +184,8 @@ def test_sample_is_exact_and_drawn_from_a_bounded_pool(spark):
     assert pool <= 2 * forest.POOL_FACTOR * 4 * 64
     sizes = forest.samples(drawn, spec).groupBy("tree_id").count().collect()
     assert [row["count"] for row in sizes] == [64] * 4
-    plan = forest.samples(drawn, spec)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    plan = forest.grow(forest.samples(drawn, spec), spec)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
 
 
 def test_few_rows_and_copies(spark):
