@@ -112,14 +112,14 @@ def candidates(training: DataFrame, model_id: str, n_rows: int, spec: ForestSpec
     return drawn.withColumn("draw", F.xxhash64(*order))
 
 
-def samples(drawn: DataFrame, spec: ForestSpec, n_models: int = 1) -> DataFrame:
+def samples(drawn: DataFrame, spec: ForestSpec) -> DataFrame:
     """The rows of every tree: the ``max_samples`` lowest draws.
 
     The number of partitions is given, since adaptive coalescing would put these few rows, and with
     them the growing of all trees, into one task. Window and growing share this one shuffle.
     """
     cores = drawn.sparkSession.sparkContext.defaultParallelism
-    spread = drawn.repartition(min(spec.n_trees * n_models, cores), "model_id", "tree_id")
+    spread = drawn.repartition(min(spec.n_trees, cores), "tree_id")
     lowest = Window.partitionBy("model_id", "tree_id").orderBy("draw", "row_id")
     return spread.withColumn("place", F.row_number().over(lowest)).filter(F.col("place") <= spec.max_samples)
 
@@ -245,7 +245,7 @@ def fit_many(trainings: dict[str, DataFrame], counts: dict[str, int], spec: Fore
     The score threshold leaves the share ``contamination`` of the training rows above it.
     """
     drawn = [candidates(training, key, counts[key], spec) for key, training in trainings.items()]
-    grown = grow(samples(reduce(DataFrame.unionByName, drawn), spec, len(trainings)), spec)
+    grown = grow(samples(reduce(DataFrame.unionByName, drawn), spec), spec)
     nodes = _fetch_nodes(grown, spec, len(trainings))
     forests = {
         key: Forest(key, spec, min(spec.max_samples, counts[key]), nodes[nodes["model_id"] == key])
