@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetra import rules
+from telemetra.operators.copies import frequent_keys
 from telemetra.operators.quantile import exact_quantile
 from telemetra.schemas import FEATURES, FOREST_NODES
 from telemetra.sources.scans import Staged, materialise
@@ -84,32 +85,66 @@ def max_depth(sample_size: int) -> int:
     return ceil(log2(max(sample_size, 2)))
 
 
-def _hash_below(share: float, *columns: str | F.Column) -> F.Column | None:
+def _hash_below(share: float, *columns: str | F.Column) -> F.Column:
     """Condition met by about ``share`` of the rows, the same rows however they are partitioned."""
     if share >= 1:
-        return None
+        return F.lit(True)
     return F.xxhash64(*columns) < int(share * HASH_RANGE - HASH_RANGE / 2)
 
 
-def candidates(training: DataFrame, model_id: str, n_rows: int, spec: ForestSpec) -> DataFrame:
+def _row_key(spec: ForestSpec) -> F.Column:
+    """Hash of a row; only exact copies share it."""
+    return F.xxhash64("row_id", *spec.features)
+
+
+def copied_keys(trainings: dict[str, DataFrame], counts: dict[str, int], spec: ForestSpec) -> dict[str, list[int]]:
+    """Keys of the rows that have a noticeable share of exact copies, row_id included."""
+    keyed = [
+        training.select(F.lit(model_id).alias("model_id"), _row_key(spec).alias("key"))
+        for model_id, training in trainings.items()
+    ]
+    return frequent_keys(reduce(DataFrame.unionByName, keyed), counts)
+
+
+def _pool(training: DataFrame, share: float, copied: list[int], spec: ForestSpec) -> DataFrame:
+    """About ``share`` of the rows, numbered among their copies.
+
+    A row is taken or not by its hash. Copies share a hash and would be taken all together or not
+    at all, so numerous ones are counted first, and then their part of the pool is made from one.
+    """
+    key = _row_key(spec)
+    single = training.filter(_hash_below(share, key, F.lit(spec.seed))).withColumn("copy", F.lit(0))
+    if not copied:
+        return single
+    chance = F.xxhash64(key, F.lit(spec.seed)) / float(HASH_RANGE) + 0.5
+    grouped = training.filter(key.isin(copied)).groupBy("row_id", *spec.features)
+    taken = grouped.agg(F.count(F.lit(1)).alias("n")).withColumn("taken", F.floor(F.col("n") * share + chance))
+    numbered = taken.filter("taken > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("taken").cast("int"))))
+    columns = ("row_id", *spec.features, "copy")
+    return single.filter(~key.isin(copied)).select(*columns).unionByName(numbered.select(*columns))
+
+
+def candidates(
+    training: DataFrame, model_id: str, n_rows: int, spec: ForestSpec, copied: list[int] | None = None
+) -> DataFrame:
     """For every tree a few times as many rows as it will keep, chosen by hash.
 
     One hash per row cuts the training set down to a pool of fixed expected size; only pool rows
     are considered once per tree.
     """
     pool_rows = POOL_FACTOR * spec.n_trees * spec.max_samples
-    in_pool = _hash_below(pool_rows / n_rows, "row_id", F.lit(spec.seed))
-    pool = training if in_pool is None else training.filter(in_pool)
+    pool = _pool(training, min(1.0, pool_rows / n_rows), copied or [], spec)
     per_tree = pool.select(
         F.lit(model_id).alias("model_id"),
         F.explode(F.sequence(F.lit(0), F.lit(spec.n_trees - 1))).alias("tree_id"),
         "row_id",
+        "copy",
+        _row_key(spec).alias("key"),
         *[F.col(name).cast("double").alias(name) for name in spec.features],
     )
-    order = ("tree_id", "row_id", F.lit(spec.seed + 1))
-    in_tree = _hash_below(POOL_FACTOR * spec.max_samples / min(n_rows, pool_rows), *order)
-    drawn = per_tree if in_tree is None else per_tree.filter(in_tree)
-    return drawn.withColumn("draw", F.xxhash64(*order))
+    draw = ("key", "copy", "tree_id", F.lit(spec.seed + 1))
+    share = POOL_FACTOR * spec.max_samples / min(n_rows, pool_rows)
+    return per_tree.filter(_hash_below(share, *draw)).withColumn("draw", F.xxhash64(*draw)).drop("key")
 
 
 def samples(drawn: DataFrame, spec: ForestSpec) -> DataFrame:
@@ -120,7 +155,7 @@ def samples(drawn: DataFrame, spec: ForestSpec) -> DataFrame:
     """
     cores = drawn.sparkSession.sparkContext.defaultParallelism
     spread = drawn.repartition(min(spec.n_trees, cores), "tree_id")
-    lowest = Window.partitionBy("model_id", "tree_id").orderBy("draw", "row_id")
+    lowest = Window.partitionBy("model_id", "tree_id").orderBy("draw", "row_id", "copy")
     return spread.withColumn("place", F.row_number().over(lowest)).filter(F.col("place") <= spec.max_samples)
 
 
@@ -244,7 +279,10 @@ def fit_many(trainings: dict[str, DataFrame], counts: dict[str, int], spec: Fore
 
     The score threshold leaves the share ``contamination`` of the training rows above it.
     """
-    drawn = [candidates(training, key, counts[key], spec) for key, training in trainings.items()]
+    copied = copied_keys(trainings, counts, spec)
+    drawn = [
+        candidates(training, key, counts[key], spec, copied.get(key)) for key, training in trainings.items()
+    ]
     grown = grow(samples(reduce(DataFrame.unionByName, drawn), spec), spec)
     nodes = _fetch_nodes(grown, spec, len(trainings))
     forests = {
@@ -269,5 +307,5 @@ def fit_many(trainings: dict[str, DataFrame], counts: dict[str, int], spec: Fore
 
 
 def fit(training: DataFrame, model_id: str, n_rows: int, spec: ForestSpec = ForestSpec()) -> Fitted:
-    """Fit a forest on validated rows (row_id and features); ``row_id`` must tell copies apart."""
+    """Fit a forest on validated rows (row_id and features)."""
     return fit_many({model_id: training}, {model_id: n_rows}, spec)[model_id]

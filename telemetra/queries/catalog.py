@@ -353,8 +353,10 @@ def _fit(spark: SparkSession, sf_dir: str) -> forest.Fitted:
 def m_forest_fit(spark, sf_dir):
     """Node rows of a forest over all valid rows."""
     extracted = _all_features(spark, sf_dir)
+    valid, n_rows = training.validate(extracted), training.checked_count(extracted)
     spec = forest.ForestSpec()
-    drawn = forest.candidates(training.validate(extracted), "all", training.checked_count(extracted), spec)
+    copied = forest.copied_keys({"all": valid}, {"all": n_rows}, spec)
+    drawn = forest.candidates(valid, "all", n_rows, spec, copied.get("all"))
     return forest.grow(forest.samples(drawn, spec), spec)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from samples import flat
 from telemetra.functions.times import instant
 from telemetra.operators import evaluate, forest, registry, training
+from telemetra.operators.copies import frequent_keys
 from telemetra.operators.quantile import exact_quantile
 from telemetra.plans.backfill import backfill, model_keys
 from telemetra.queries import fixture
@@ -188,6 +189,44 @@ def test_sample_is_exact_and_drawn_from_a_bounded_pool(spark):
     assert plan.count("Exchange") == 1
 
 
+def with_copies(spark, n):
+    """Two thirds different rows; one third copies of a single row, with the same row_id."""
+    different = spark.range(2 * n // 3).select(
+        F.col("id").alias("row_id"),
+        *[(F.pmod(F.xxhash64("id", F.lit(name)), F.lit(1000)) / 1000.0).alias(name) for name in FEATURES],
+    )
+    copies = spark.range(n // 3).select(F.lit(-1).cast("bigint").alias("row_id"), *[F.lit(0.5).alias(x) for x in FEATURES])
+    return different.unionByName(copies)
+
+
+@pytest.mark.parametrize("n", [1_500, 60_000])
+def test_copies_are_sampled_by_their_share(spark, n):
+    spec = forest.ForestSpec(n_trees=10, max_samples=64)
+    df = with_copies(spark, n)
+    copied = forest.copied_keys({"m": df}, {"m": n}, spec)
+    assert len(copied["m"]) == 1
+
+    def sampled(rows):
+        drawn = forest.samples(forest.candidates(rows, "m", n, spec, copied["m"]), spec)
+        return sorted(tuple(row) for row in drawn.select("tree_id", "row_id", "copy", "draw").collect())
+
+    rows = sampled(df)
+    assert len(rows) == 640 and len(set(rows)) == 640
+    assert 0.27 < sum(row[1] == -1 for row in rows) / 640 < 0.40
+    assert rows == sampled(df.repartition(7))
+
+
+def test_frequent_keys_misses_none(spark):
+    counts = {1: 3000, 2: 40, 3: 39, **{key: 1 for key in range(10, 10_000)}}
+    n = sum(counts.values())
+    rows = spark.createDataFrame(list(counts.items()), "key BIGINT, times INT")
+    keyed = rows.select(F.lit("m").alias("model_id"), "key", F.explode(F.sequence(F.lit(1), "times")))
+    expected = [key for key, times in counts.items() if times > n / 1000]
+    assert frequent_keys(keyed, {"m": n}) == {"m": expected}
+    unique = spark.range(500).select(F.lit("m").alias("model_id"), F.col("id").alias("key"))
+    assert frequent_keys(unique, {"m": 500}).get("m", []) == []
+
+
 def test_few_rows_and_copies(spark):
     df = flat(spark, [{}] * 60 + [{"pm2_5": 99.0}])
     fit = forest.fit(training.validate(df).select("row_id", *FEATURES), "tiny", 61, SPEC)
