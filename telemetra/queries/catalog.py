@@ -19,9 +19,10 @@ from telemetra.queries import fixture
 from telemetra.queries.fixture import AS_OF, RANGE
 from telemetra.schemas import FEATURES, SUMMARY_KEYS
 from telemetra.session import workspace
+from telemetra.sinks.batches import Sink, table_sink
 from telemetra.sources.messages import parse
 from telemetra.sources.scans import materialise
-from telemetra.streaming.etl import file_sinks, run_etl
+from telemetra.streaming.etl import anomalies_shape, file_sinks, run_etl
 from telemetra.streaming.scoring import score_messages
 from telemetra.tables import Store
 
@@ -95,27 +96,30 @@ def s_anomaly_json(spark, sf_dir):
     return enrich.to_messages(enrich.detect(fixture.enriched(spark, sf_dir)), enrich.ANOMALY_FIELDS)
 
 
-def _ingest(spark: SparkSession, sf_dir: str) -> Store:
+def _ingest(spark: SparkSession, sf_dir: str, sinks: Callable[[Store, str], list[Sink]]) -> Store:
     """Run the streaming ETL over the whole events table and leave its tables in the shared folder."""
     root = workspace(spark, "ingest")
     store = Store(f"{root}/tables")
     store.readings.create(spark)
     store.anomalies.create(spark)
     stream = fixture.messages_of(fixture.event_stream(spark, sf_dir))
-    run_etl(
-        stream, file_sinks(store, f"{root}/messages"), f"{root}/checkpoint", processed_at=instant(AS_OF)
-    ).awaitTermination()
+    etl = run_etl(stream, sinks(store, f"{root}/messages"), f"{root}/checkpoint", processed_at=instant(AS_OF))
+    etl.awaitTermination()
     return store
 
 
 @query
 def s_stream_ingest(spark, sf_dir):
-    return _ingest(spark, sf_dir).readings.read(spark).drop("event_date", "batch_id", "processed_at")
+    """The readings table, written beside the anomalies table and both kinds of message."""
+    store = _ingest(spark, sf_dir, file_sinks)
+    return store.readings.read(spark).drop("event_date", "batch_id", "processed_at")
 
 
 @query
 def s_stream_anomalies(spark, sf_dir):
-    return _ingest(spark, sf_dir).anomalies.read(spark).drop("event_date", "batch_id", "processed_at")
+    """The anomalies table, written alone."""
+    store = _ingest(spark, sf_dir, lambda store, _: [table_sink(store.anomalies, anomalies_shape)])
+    return store.anomalies.read(spark).drop("event_date", "batch_id", "processed_at")
 
 
 # --- filters and projections
@@ -349,6 +353,11 @@ def _fit(spark: SparkSession, sf_dir: str) -> forest.Fitted:
     return forest.fit(training.validate(extracted), "all", training.checked_count(extracted))
 
 
+def _rates(metrics: DataFrame) -> DataFrame:
+    """The exact threshold fixes the rates, but for the rare rows that share the score at the threshold."""
+    return _rounded(metrics.drop("n_anomalies"), "anomaly_rate", "health_score", digits=3)
+
+
 @query
 def m_forest_fit(spark, sf_dir):
     """Node rows of a forest over all valid rows."""
@@ -366,11 +375,17 @@ def m_forest_score(spark, sf_dir):
     return forest.with_prediction(fitted.scores, fitted.forest.threshold)
 
 
+@query
+def m_forest_health(spark, sf_dir):
+    fitted = _fit(spark, sf_dir)
+    return _rates(evaluate.health_score(forest.with_prediction(fitted.scores, fitted.forest.threshold)))
+
+
 @query
 def m_backfill(spark, sf_dir):
     result = backfill(fixture.readings(spark, sf_dir), BACKFILL_RANGES)
     result.discard()
-    return result.metrics
+    return _rates(result.metrics)
 
 
 @query

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from telemetra.queries.fixture import AS_OF, RANGE, RAW_SQL
-from telemetra.queries.catalog import EARLY_SUMMARY, LATE_SUMMARY, MAX_SHIFT
+from telemetra.queries.catalog import BACKFILL_RANGES, EARLY_SUMMARY, LATE_SUMMARY, MAX_SHIFT
 
 _NUMBERS = ("pm2_5", "pm10", "no2", "o3", "temperature", "humidity")
 _NUMBER_LIST = ", ".join(_NUMBERS)
@@ -169,6 +169,21 @@ _CURRENT = """current_champion AS (
   SELECT model_id, created_at AS promoted_at FROM history WHERE decision = 'promote'
   ORDER BY created_at DESC, model_id DESC LIMIT 1)"""
 
+# Rows above the interpolated 0.95 quantile of n different scores.
+_ABOVE = "n_rows - 1 - CAST(floor((n_rows - 1) * 0.95e0) AS BIGINT) AS n_anomalies"
+_HEALTH = (
+    f"n_rows, {_round(_RATE, 3)} AS anomaly_rate, {_round(f'1e0 - abs(0.05e0 - {_RATE})', 3)} AS health_score"
+)
+
+
+def _range_rows(start: str, end: str) -> str:
+    key = "isolation_forest_" + "_to_".join(text.replace(" ", "T").replace(":", "-") for text in (start, end))
+    return (
+        f"SELECT '{key}' AS model_id, COUNT(*) AS n_rows FROM readings "
+        f"WHERE event_time BETWEEN TIMESTAMP '{start}' AND TIMESTAMP '{end}' AND {_COMPLETE}"
+    )
+
+
 # --- series
 
 _HOURLY = """hourly AS (
@@ -327,6 +342,14 @@ FROM raw"""
         f"SELECT COUNT(*) AS n_extracted, COUNT(*) FILTER (WHERE {_COMPLETE}) AS n_valid, "
         f"COUNT(*) - COUNT(*) FILTER (WHERE {_COMPLETE}) AS n_rejected FROM readings"
     ),
+    "m_forest_health": _sql(
+        f"SELECT {_HEALTH} FROM (SELECT *, {_ABOVE} FROM "
+        f"(SELECT COUNT(*) AS n_rows FROM readings WHERE {_COMPLETE}) AS scored) AS counted"
+    ),
+    "m_backfill": _sql(
+        f"SELECT model_id, {_HEALTH} FROM (SELECT *, {_ABOVE} FROM "
+        f"({' UNION ALL '.join(_range_rows(*bounds) for bounds in BACKFILL_RANGES)}) AS ranges) AS counted"
+    ),
     "m_health_score": _sql(
         f"SELECT *, {_RATE} AS anomaly_rate, 1e0 - abs(0.05e0 - {_RATE}) AS health_score "
         f"FROM (SELECT source, {_COUNTED} FROM sources GROUP BY source) AS counted",

@@ -27,6 +27,19 @@ def test_has_rows(spark, sf_small, name):
     assert queries()[name](spark, sf_small).count() > 0
 
 
+@pytest.mark.parametrize("name", ["f_rolling_24h", "a_daily_summary", "m_extract_24h", "m_extract_range"])
+def test_time_bounds_reach_the_scan(spark, sf_small, name):
+    plan = queries()[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts,2024-01-" in plan
+    assert "props" not in plan and "event_type" not in plan
+
+
+def test_no_query_uses_a_cross_join(spark, sf_small):
+    for name in ("a_daily_summary", "j_readings_anomalies", "g_retrain_needed", "m_promotion_decision"):
+        plan = queries()[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
 def test_checks_belong_to_queries():
     assert set(CHECKED) <= set(queries())
 
