@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: stored model keys start with it.
 MODEL_KEY_PREFIX = "isolation_forest"
 
 

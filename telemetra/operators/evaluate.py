@@ -63,7 +63,9 @@ def label_eval(flagged: DataFrame, flag: Column, label: Column, by: tuple[str, .
     )
 
 
-def compare_models(scored: DataFrame, champion: str, challenger: str, contamination: float = CONTAMINATION) -> DataFrame:
+def compare_models(
+    scored: DataFrame, champion: str, challenger: str, contamination: float = CONTAMINATION
+) -> DataFrame:
     """Two models' predictions on the same rows, side by side in one row."""
 
     def rate(name: str) -> Column:

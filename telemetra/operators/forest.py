@@ -236,24 +236,26 @@ def score_column(forest: Forest) -> F.Column:
     feature, threshold, length = _heap_arrays(forest)
     trees, inner = feature.shape
     levels = max_depth(forest.sample_size)
-    n_features = len(forest.spec.features)
     scale = trees * mean_path_length(forest.sample_size)
 
     @F.pandas_udf(T.DoubleType())
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
-            values = np.column_stack([column.to_numpy(dtype="float64", na_value=np.nan) for column in columns])
-            flat, first = values.ravel(), np.arange(len(values)) * n_features
-            total = np.zeros(len(values))
+            values = np.vstack([column.to_numpy(dtype="float64", na_value=np.nan) for column in columns])
+            n_rows = values.shape[1]
+            flat, row = values.ravel(), np.arange(n_rows)
+            total = np.zeros(n_rows)
             for tree in range(trees):
-                node = np.zeros(len(values), dtype=np.int64)
+                start, limit = feature[tree] * n_rows, threshold[tree]
+                node = np.zeros(n_rows, dtype=np.int64)
                 for _ in range(levels):
-                    split_on = feature[tree].take(node)
-                    right = flat.take(first + split_on) > threshold[tree].take(node)
-                    node = 2 * node + 1 + right
+                    right = flat.take(start.take(node) + row) > limit.take(node)
+                    node *= 2
+                    node += 1
+                    node += right
                 total += length[tree].take(node - inner)
-            scores = pd.Series(np.exp2(-total / scale) if scale else np.ones(len(values)))
-            yield scores.mask(np.isnan(values).any(axis=1))
+            scores = pd.Series(np.exp2(-total / scale) if scale else np.ones(n_rows))
+            yield scores.mask(np.isnan(values).any(axis=0))
 
     return score(*[F.col(name).cast("double") for name in forest.spec.features])
 

@@ -60,10 +60,14 @@ def _label() -> Column:
 # --- sources and messages
 
 
+def _nullable_as_double(df: DataFrame) -> DataFrame:
+    """Clients fetch an integer column with NULLs in different types; a double is the same for all."""
+    return df.withColumn("humidity", F.col("humidity").cast("double"))
+
+
 def _flat_message(df: DataFrame) -> DataFrame:
-    return df.select(
-        "row_id", "sensor_id", "timestamp", "location.*", "measurements.*", "status", "is_true_anomaly"
-    )
+    flat = df.select("row_id", "sensor_id", "timestamp", "location.*", "measurements.*", "status", "is_true_anomaly")
+    return _nullable_as_double(flat)
 
 
 @query
@@ -132,7 +136,7 @@ def f_clean(spark, sf_dir):
 
 @query
 def f_rejected(spark, sf_dir):
-    return rejected(fixture.raw(spark, sf_dir)).select("row_id", "event_time", *RAW_COLUMNS)
+    return _nullable_as_double(rejected(fixture.raw(spark, sf_dir)).select("row_id", "event_time", *RAW_COLUMNS))
 
 
 @query

@@ -7,6 +7,7 @@ from telemetra.queries.catalog import BACKFILL_RANGES, EARLY_SUMMARY, LATE_SUMMA
 
 _NUMBERS = ("pm2_5", "pm10", "no2", "o3", "temperature", "humidity")
 _NUMBER_LIST = ", ".join(_NUMBERS)
+_NULLABLE_LIST = _NUMBER_LIST.replace("humidity", "CAST(humidity AS DOUBLE) AS humidity")
 _RAW_LIST = f"sensor_id, lat, lon, {_NUMBER_LIST}, status, is_true_anomaly"
 _TIME_TEXT = "strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f')"
 
@@ -69,7 +70,9 @@ def _json(fields: str) -> str:
     )
 
 
-_PROCESSED_JSON = _json("""' || '"aqi_category":"' || aqi_category || '","heat_index":' || CAST(heat_index AS VARCHAR)""")
+_PROCESSED_JSON = _json(
+    """' || '"aqi_category":"' || aqi_category || '","heat_index":' || CAST(heat_index AS VARCHAR)"""
+)
 _ANOMALY_JSON = _json("""' || '"anomaly_reason":"' || anomaly_reason || '","severity":"' || severity || '"'""")
 
 # --- aggregates
@@ -244,12 +247,12 @@ def _unless_damaged(expression: str, name: str) -> str:
 
 CHECKS: dict[str, str] = {
     "s_parse_json": _sql(
-        f"SELECT row_id, sensor_id, {_TIME_TEXT} AS timestamp, lat, lon, {_NUMBER_LIST}, status, is_true_anomaly "
+        f"SELECT row_id, sensor_id, {_TIME_TEXT} AS timestamp, lat, lon, {_NULLABLE_LIST}, status, is_true_anomaly "
         "FROM raw"
     ),
     "s_parse_malformed": _sql(
         f"SELECT row_id, {_unless_damaged('sensor_id', 'sensor_id')}, {_unless_damaged(_TIME_TEXT, 'timestamp')}, "
-        f"{_unless_damaged('pm2_5', 'pm2_5')}, {_unless_damaged('humidity', 'humidity')}, "
+        f"{_unless_damaged('pm2_5', 'pm2_5')}, {_unless_damaged('CAST(humidity AS DOUBLE)', 'humidity')}, "
         f"{_unless_damaged('status', 'status')} FROM raw"
     ),
     "s_processed_json": _sql(f"SELECT sensor_id AS key, {_PROCESSED_JSON} AS value FROM readings"),
@@ -257,7 +260,10 @@ CHECKS: dict[str, str] = {
     "s_stream_ingest": _sql(f"SELECT {_READING_COLUMNS} FROM readings"),
     "s_stream_anomalies": _sql(f"SELECT {_ANOMALY_COLUMNS} FROM anomalies"),
     "f_clean": _sql(f"SELECT row_id, event_time, {_RAW_LIST} FROM raw WHERE {_VALID}"),
-    "f_rejected": _sql(f"SELECT row_id, event_time, {_RAW_LIST} FROM raw WHERE NOT COALESCE({_VALID}, FALSE)"),
+    "f_rejected": _sql(
+        f"SELECT row_id, event_time, sensor_id, lat, lon, {_NULLABLE_LIST}, status, is_true_anomaly "
+        f"FROM raw WHERE NOT COALESCE({_VALID}, FALSE)"
+    ),
     "f_anomalies": _sql(f"SELECT row_id, sensor_id, {_NUMBER_LIST} FROM anomalies"),
     "f_rolling_24h": _sql(f"SELECT row_id, sensor_id, event_time FROM readings WHERE {_in_window(AS_OF)}"),
     "p_enrich": _sql(

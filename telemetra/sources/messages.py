@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from telemetra.functions.keys import row_id
 from telemetra.schemas import MESSAGE
 
+# Producers and consumers know the topics by these names.
 RAW_TOPIC, PROCESSED_TOPIC, ANOMALY_TOPIC = "raw_data", "processed_data", "anomalies"
 FILE_MESSAGE_SCHEMA = "key STRING, value BINARY"
 
