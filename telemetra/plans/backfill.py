@@ -11,9 +11,12 @@ from pyspark.sql import types as T
 
 from telemetra import rules
 from telemetra.functions.keys import model_key
+from telemetra.functions.times import Instant, instant
 from telemetra.operators.evaluate import assert_healthy, health_score
 from telemetra.operators.forest import Fitted, ForestSpec, fit_many, with_prediction
+from telemetra.operators.registry import save_model
 from telemetra.operators.training import assert_enough, extract_range, row_counts, validate
+from telemetra.tables import Store
 
 # Ranges fitted in the same jobs. It bounds the node rows on the driver and the width of the plan.
 RANGES_PER_JOB = 16
@@ -74,6 +77,23 @@ def backfill(
     )
 
 
+def run_backfill(
+    spark: SparkSession,
+    store: Store,
+    ranges: list[tuple[str, str]],
+    created_at: Instant,
+    min_rows: int = rules.MIN_TRAINING_ROWS,
+    spec: ForestSpec = ForestSpec(),
+) -> DataFrame:
+    """Backfill from the stored readings and keep the models in the registry; returns their metrics."""
+    result = backfill(store.readings.read(spark), ranges, min_rows, spec)
+    for key, fitted in result.fitted.items():
+        metrics = result.metrics.filter(F.col("model_id") == key)
+        save_model(store, fitted.forest, metrics, instant(created_at))
+    result.discard()
+    return result.metrics
+
+
 def _fit_ranges(
     readings: DataFrame, ranges: dict[str, tuple[str, str]], min_rows: int, spec: ForestSpec, row_id: str
 ) -> Backfill:

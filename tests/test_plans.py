@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 
+from telemetra.__main__ import main
 from telemetra.functions.times import instant
 from telemetra.operators import registry
 from telemetra.operators.forest import ForestSpec, predict
@@ -50,3 +51,29 @@ def test_from_messages_to_a_promoted_model(spark, store):
 def test_no_new_readings(spark, store):
     with pytest.raises(NotReady, match="readings"):
         run_training(spark, store, "late", "2030-01-01 00:00:00")
+
+
+def test_jobs_from_the_command_line(spark, sf_medium, tmp_path, capsys):
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "tables")
+    fixture.messages(spark, sf_medium).drop("row_id").write.parquet(landing)
+    main(["ingest", "--root", root, "--path", landing, "--checkpoint", str(tmp_path / "checkpoint")])
+    main(["summary", "--root", root, "--as-of", AS_OF])
+    assert "CAP_019" in capsys.readouterr().out
+    main(["train", "--root", root, "--as-of", AS_OF, "--model-id", "daily"])
+    assert "promote" in capsys.readouterr().out
+    bounds = ["--start", "2024-01-01 00:00:00", "--end", "2024-01-15 00:00:00"]
+    main(["backfill", "--root", root, "--as-of", AS_OF, *bounds, "--contamination", "0.1"])
+    store = Store(root)
+    assert store.readings.read(spark).count() == 8_876
+    models = {row["model_id"]: row for row in store.models.read(spark).collect()}
+    past = "isolation_forest_2024-01-01T00-00-00_to_2024-01-15T00-00-00"
+    assert set(models) == {"daily", past}
+    assert models[past]["anomaly_rate"] == pytest.approx(0.1, abs=0.005)
+    assert [row["model_id"] for row in store.promotions.read(spark).collect()] == ["daily"]
+    assert registry.load_forest(store, spark, past).threshold == models[past]["threshold"]
+
+
+def test_command_line_wants_one_source(capsys):
+    with pytest.raises(SystemExit):
+        main(["ingest", "--root", "r", "--checkpoint", "c"])
+    assert "--servers" in capsys.readouterr().err
