@@ -1,11 +1,11 @@
-"""Groups of exact copies that hold a noticeable share of a dataset."""
+"""Row counts, and groups of exact copies that hold a noticeable share of a dataset."""
 
 from __future__ import annotations
 
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key is frequent when it has more than this share of the rows, so there are at most 1,000 of them.
@@ -13,25 +13,39 @@ SHARE = 1 / 1000
 # Many more buckets than there can be frequent keys: few buckets without one grow as large.
 BUCKETS = 4096
 
+Sizes = dict[str, dict[int | None, int]]
 
-def frequent_keys(keyed: DataFrame, counts: dict[str, int]) -> dict[str, list[int]]:
-    """Frequent values of ``key`` per ``model_id``; none is missed.
 
-    A first pass counts rows per bucket of keys. A frequent key makes its whole bucket large, so a
-    second pass counts single keys in large buckets only. Both reduce rows before they shuffle.
-    """
-    limits = {group: max(1.0, SHARE * n) for group, n in counts.items()}
-    marked = keyed.withColumn("bucket", F.pmod("key", F.lit(BUCKETS)))
-    buckets = marked.groupBy("model_id", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    large = buckets.filter(_above(limits)).collect()
-    if not large:
-        return {}
-    suspects = {group: [row["bucket"] for row in large if row["model_id"] == group] for group in counts}
-    in_large = [(F.col("model_id") == group) & F.col("bucket").isin(found) for group, found in suspects.items()]
-    singles = marked.filter(reduce(or_, in_large)).groupBy("model_id", "key").agg(F.count(F.lit(1)).alias("n"))
-    frequent = singles.filter(_above(limits)).collect()
-    return {group: sorted(row["key"] for row in frequent if row["model_id"] == group) for group in counts}
+def bucket_sizes(keyed: DataFrame) -> Sizes:
+    """Rows per ``model_id`` and bucket of ``key``, in one pass; rows without a key are under None."""
+    bucket = F.pmod("key", F.lit(BUCKETS)).cast("int").alias("bucket")
+    sizes: Sizes = {}
+    for row in keyed.groupBy("model_id", bucket).agg(F.count(F.lit(1)).alias("n")).collect():
+        sizes.setdefault(row["model_id"], {})[row["bucket"]] = row["n"]
+    return sizes
+
+
+def n_keyed(sizes: dict[int | None, int]) -> int:
+    """Number of rows that have a key."""
+    return sum(n for bucket, n in sizes.items() if bucket is not None)
 
 
-def _above(limits: dict[str, float]) -> Column:
-    return reduce(or_, [(F.col("model_id") == group) & (F.col("n") > limit) for group, limit in limits.items()])
+def frequent_keys(keyed: DataFrame, sizes: Sizes) -> dict[str, list[int]]:
+    """Frequent keys per ``model_id``; none is missed.
+
+    A frequent key makes its whole bucket large, so single keys are counted in large buckets only.
+    """
+    limits = {group: max(1.0, SHARE * n_keyed(buckets)) for group, buckets in sizes.items()}
+    large = {
+        group: [bucket for bucket, n in buckets.items() if bucket is not None and n > limits[group]]
+        for group, buckets in sizes.items()
+    }
+    suspects = {group: buckets for group, buckets in large.items() if buckets}
+    if not suspects:
+        return {}
+    bucket, group = F.pmod("key", F.lit(BUCKETS)), F.col("model_id")
+    in_large = [(group == name) & bucket.isin(buckets) for name, buckets in suspects.items()]
+    singles = keyed.filter(reduce(or_, in_large)).groupBy("model_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    above = [(group == name) & (F.col("n") > limits[name]) for name in suspects]
+    frequent = singles.filter(reduce(or_, above)).collect()
+    return {name: sorted(row["key"] for row in frequent if row["model_id"] == name) for name in suspects}

@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetra import rules
-from telemetra.operators.copies import frequent_keys
+from telemetra.operators.copies import bucket_sizes, frequent_keys, n_keyed
 from telemetra.operators.quantile import exact_quantile
+from telemetra.operators.training import assert_enough, is_complete, validate
 from telemetra.schemas import FEATURES, FOREST_NODES
 from telemetra.sources.scans import Staged, materialise
 
@@ -97,13 +98,35 @@ def _row_key(spec: ForestSpec) -> F.Column:
     return F.xxhash64("row_id", *spec.features)
 
 
-def copied_keys(trainings: dict[str, DataFrame], counts: dict[str, int], spec: ForestSpec) -> dict[str, list[int]]:
-    """Keys of the rows that have a noticeable share of exact copies, row_id included."""
-    keyed = [
-        training.select(F.lit(model_id).alias("model_id"), _row_key(spec).alias("key"))
-        for model_id, training in trainings.items()
-    ]
-    return frequent_keys(reduce(DataFrame.unionByName, keyed), counts)
+@dataclass(frozen=True)
+class Survey:
+    """What fitting has to know about a training set beforehand."""
+
+    n_extracted: int
+    n_valid: int
+    copied: list[int]
+
+
+def survey(extracted: dict[str, DataFrame], spec: ForestSpec) -> dict[str, Survey]:
+    """Rows extracted and valid, and the keys of rows with many exact copies, per training set.
+
+    All sets are counted in one pass; a second one only happens where there may be such copies.
+    """
+    keyed = reduce(
+        DataFrame.unionByName,
+        [
+            rows.select(F.lit(model_id).alias("model_id"), F.when(is_complete(), _row_key(spec)).alias("key"))
+            for model_id, rows in extracted.items()
+        ],
+    )
+    sizes = bucket_sizes(keyed)
+    copied = frequent_keys(keyed, sizes)
+    return {
+        model_id: Survey(
+            sum(sizes.get(model_id, {}).values()), n_keyed(sizes.get(model_id, {})), copied.get(model_id, [])
+        )
+        for model_id in extracted
+    }
 
 
 def _pool(training: DataFrame, share: float, copied: list[int], spec: ForestSpec) -> DataFrame:
@@ -124,16 +147,14 @@ def _pool(training: DataFrame, share: float, copied: list[int], spec: ForestSpec
     return single.filter(~key.isin(copied)).select(*columns).unionByName(numbered.select(*columns))
 
 
-def candidates(
-    training: DataFrame, model_id: str, n_rows: int, spec: ForestSpec, copied: list[int] | None = None
-) -> DataFrame:
+def candidates(training: DataFrame, model_id: str, known: Survey, spec: ForestSpec) -> DataFrame:
     """For every tree a few times as many rows as it will keep, chosen by hash.
 
     One hash per row cuts the training set down to a pool of fixed expected size; only pool rows
     are considered once per tree.
     """
     pool_rows = POOL_FACTOR * spec.n_trees * spec.max_samples
-    pool = _pool(training, min(1.0, pool_rows / n_rows), copied or [], spec)
+    pool = _pool(training, min(1.0, pool_rows / known.n_valid), known.copied, spec)
     per_tree = pool.select(
         F.lit(model_id).alias("model_id"),
         F.explode(F.sequence(F.lit(0), F.lit(spec.n_trees - 1))).alias("tree_id"),
@@ -143,7 +164,7 @@ def candidates(
         *[F.col(name).cast("double").alias(name) for name in spec.features],
     )
     draw = ("key", "copy", "tree_id", F.lit(spec.seed + 1))
-    share = POOL_FACTOR * spec.max_samples / min(n_rows, pool_rows)
+    share = POOL_FACTOR * spec.max_samples / min(known.n_valid, pool_rows)
     return per_tree.filter(_hash_below(share, *draw)).withColumn("draw", F.xxhash64(*draw)).drop("key")
 
 
@@ -276,15 +297,18 @@ def predict(df: DataFrame, forest: Forest) -> DataFrame:
     return with_prediction(score(df, forest), forest.threshold)
 
 
-def fit_many(trainings: dict[str, DataFrame], counts: dict[str, int], spec: ForestSpec) -> dict[str, Fitted]:
-    """Fit one forest per training set, all of them in the same jobs.
+def fit_many(
+    extracted: dict[str, DataFrame], spec: ForestSpec, min_rows: int = rules.MIN_TRAINING_ROWS
+) -> dict[str, Fitted]:
+    """Fit one forest per set of extracted rows (row_id and features), all of them in the same jobs.
 
-    The score threshold leaves the share ``contamination`` of the training rows above it.
+    Only complete rows count, and each set needs ``min_rows`` of them. The score threshold leaves
+    the share ``contamination`` of them above it.
     """
-    copied = copied_keys(trainings, counts, spec)
-    drawn = [
-        candidates(training, key, counts[key], spec, copied.get(key)) for key, training in trainings.items()
-    ]
+    known = survey(extracted, spec)
+    counts = {key: assert_enough(one.n_extracted, one.n_valid, min_rows) for key, one in known.items()}
+    trainings = {key: validate(rows) for key, rows in extracted.items()}
+    drawn = [candidates(training, key, known[key], spec) for key, training in trainings.items()]
     grown = grow(samples(reduce(DataFrame.unionByName, drawn), spec), spec)
     nodes = _fetch_nodes(grown, spec, len(trainings))
     forests = {
@@ -308,6 +332,8 @@ def fit_many(trainings: dict[str, DataFrame], counts: dict[str, int], spec: Fore
     }
 
 
-def fit(training: DataFrame, model_id: str, n_rows: int, spec: ForestSpec = ForestSpec()) -> Fitted:
-    """Fit a forest on validated rows (row_id and features)."""
-    return fit_many({model_id: training}, {model_id: n_rows}, spec)[model_id]
+def fit(
+    extracted: DataFrame, model_id: str, spec: ForestSpec = ForestSpec(), min_rows: int = rules.MIN_TRAINING_ROWS
+) -> Fitted:
+    """Fit a forest on the complete rows among the extracted ones."""
+    return fit_many({model_id: extracted}, spec, min_rows)[model_id]

@@ -15,7 +15,7 @@ from telemetra.functions.times import Instant, instant
 from telemetra.operators.evaluate import assert_healthy, health_score
 from telemetra.operators.forest import Fitted, ForestSpec, fit_many, with_prediction
 from telemetra.operators.registry import save_model
-from telemetra.operators.training import assert_enough, extract_range, row_counts, validate
+from telemetra.operators.training import extract_range
 from telemetra.tables import Store
 
 # Ranges fitted in the same jobs. It bounds the node rows on the driver and the width of the plan.
@@ -101,11 +101,7 @@ def _fit_ranges(
         key: extract_range(readings, *bounds, row_id).withColumnRenamed(row_id, "row_id")
         for key, bounds in ranges.items()
     }
-    marked = [df.withColumn("model_id", F.lit(key)) for key, df in extracted.items()]
-    counted = row_counts(reduce(DataFrame.unionByName, marked), by=("model_id",)).collect()
-    found = {row["model_id"]: (row["n_extracted"], row["n_valid"]) for row in counted}
-    counts = {key: assert_enough(*found.get(key, (0, 0)), min_rows) for key in ranges}
-    fitted = fit_many({key: validate(df) for key, df in extracted.items()}, counts, spec)
+    fitted = fit_many(extracted, spec, min_rows)
     predictions = [with_prediction(one.scores, one.forest.threshold) for one in fitted.values()]
     metrics = health_score(reduce(DataFrame.unionByName, predictions), spec.contamination, by=("model_id",))
     # One row per range: computed here, so that they outlast the stored scores.

@@ -7,14 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra import rules
 from telemetra.functions.times import Instant, instant
 from telemetra.operators import registry
 from telemetra.operators.evaluate import health_score
 from telemetra.operators.forest import Forest, ForestSpec, fit, with_prediction
 from telemetra.operators.gates import is_open, new_data_ready, summary_ready
 from telemetra.operators.summary import daily_summary, summary_report
-from telemetra.operators.training import checked_count, extract_recent, validate
+from telemetra.operators.training import extract_recent
 from telemetra.operators.upsert import assert_unique
 from telemetra.schemas import SUMMARY_KEYS
 from telemetra.tables import Store
@@ -54,8 +53,7 @@ def run_training(
     """Gates, extraction, validation, fit, evaluation, registry entry and promotion decision."""
     check_gates(spark, store, as_of)
     extracted = extract_recent(store.readings.read(spark), as_of)
-    n_rows = checked_count(extracted, rules.MIN_TRAINING_ROWS)
-    fitted = fit(validate(extracted), model_id, n_rows, spec)
+    fitted = fit(extracted, model_id, spec)
     forest = fitted.forest
     metrics = health_score(with_prediction(fitted.scores, forest.threshold), spec.contamination)
     models, promotions = store.models.read(spark), store.promotions.read(spark)

@@ -353,8 +353,7 @@ def _all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fit(spark: SparkSession, sf_dir: str) -> forest.Fitted:
-    extracted = _all_features(spark, sf_dir)
-    return forest.fit(training.validate(extracted), "all", training.checked_count(extracted))
+    return forest.fit(_all_features(spark, sf_dir), "all")
 
 
 def _rates(metrics: DataFrame) -> DataFrame:
@@ -365,11 +364,9 @@ def _rates(metrics: DataFrame) -> DataFrame:
 @query
 def m_forest_fit(spark, sf_dir):
     """Node rows of a forest over all valid rows."""
-    extracted = _all_features(spark, sf_dir)
-    valid, n_rows = training.validate(extracted), training.checked_count(extracted)
-    spec = forest.ForestSpec()
-    copied = forest.copied_keys({"all": valid}, {"all": n_rows}, spec)
-    drawn = forest.candidates(valid, "all", n_rows, spec, copied.get("all"))
+    extracted, spec = _all_features(spark, sf_dir), forest.ForestSpec()
+    known = forest.survey({"all": extracted}, spec)["all"]
+    drawn = forest.candidates(training.validate(extracted), "all", known, spec)
     return forest.grow(forest.samples(drawn, spec), spec)
 
 

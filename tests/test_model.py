@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from samples import flat
 from telemetra.functions.times import instant
 from telemetra.operators import evaluate, forest, registry, training
-from telemetra.operators.copies import frequent_keys
+from telemetra.operators.copies import bucket_sizes, frequent_keys, n_keyed
 from telemetra.operators.quantile import exact_quantile
 from telemetra.plans.backfill import backfill, model_keys
 from telemetra.queries import fixture
@@ -109,7 +109,7 @@ def planted(spark, n=2000, outliers=20):
 @pytest.fixture(scope="module")
 def fitted(spark):
     df, n = planted(spark)
-    return df, n, forest.fit(df, "m", n, SPEC)
+    return df, n, forest.fit(df, "m", SPEC)
 
 
 def test_path_length_constants():
@@ -168,7 +168,7 @@ def test_scores_equal_a_walk_through_the_trees(fitted):
 
 def test_same_model_for_any_partitioning(spark, fitted):
     df, n, fit = fitted
-    again = forest.fit(df.repartition(9), "m", n, SPEC)
+    again = forest.fit(df.repartition(9), "m", SPEC)
     assert again.forest.threshold == fit.forest.threshold
     order = ["tree_id", "node_id"]
     left = fit.forest.nodes.sort_values(order).reset_index(drop=True)
@@ -180,7 +180,7 @@ def test_sample_is_exact_and_drawn_from_a_bounded_pool(spark):
     n = 200_000
     spec = forest.ForestSpec(n_trees=4, max_samples=64)
     df = spark.range(n).select(F.col("id").alias("row_id"), *[F.rand(3).alias(name) for name in FEATURES])
-    drawn = forest.candidates(df, "m", n, spec)
+    drawn = forest.candidates(df, "m", forest.Survey(n, n, []), spec)
     pool = drawn.select("row_id").distinct().count()
     assert pool <= 2 * forest.POOL_FACTOR * 4 * 64
     sizes = forest.samples(drawn, spec).groupBy("tree_id").count().collect()
@@ -203,11 +203,11 @@ def with_copies(spark, n):
 def test_copies_are_sampled_by_their_share(spark, n):
     spec = forest.ForestSpec(n_trees=10, max_samples=64)
     df = with_copies(spark, n)
-    copied = forest.copied_keys({"m": df}, {"m": n}, spec)
-    assert len(copied["m"]) == 1
+    known = forest.survey({"m": df}, spec)["m"]
+    assert (known.n_extracted, known.n_valid, len(known.copied)) == (n, n, 1)
 
     def sampled(rows):
-        drawn = forest.samples(forest.candidates(rows, "m", n, spec, copied["m"]), spec)
+        drawn = forest.samples(forest.candidates(rows, "m", known, spec), spec)
         return sorted(tuple(row) for row in drawn.select("tree_id", "row_id", "copy", "draw").collect())
 
     rows = sampled(df)
@@ -222,14 +222,31 @@ def test_frequent_keys_misses_none(spark):
     rows = spark.createDataFrame(list(counts.items()), "key BIGINT, times INT")
     keyed = rows.select(F.lit("m").alias("model_id"), "key", F.explode(F.sequence(F.lit(1), "times")))
     expected = [key for key, times in counts.items() if times > n / 1000]
-    assert frequent_keys(keyed, {"m": n}) == {"m": expected}
+    sizes = bucket_sizes(keyed)
+    assert n_keyed(sizes["m"]) == n and frequent_keys(keyed, sizes) == {"m": expected}
     unique = spark.range(500).select(F.lit("m").alias("model_id"), F.col("id").alias("key"))
-    assert frequent_keys(unique, {"m": 500}).get("m", []) == []
+    assert frequent_keys(unique, bucket_sizes(unique)).get("m", []) == []
+
+
+def test_survey_counts_like_validation(spark, sf_medium):
+    extracted = fixture.readings(spark, sf_medium).select("row_id", *FEATURES)
+    known = forest.survey({"m": extracted, "none": extracted.limit(0)}, SPEC)
+    counts = training.row_counts(extracted).first()
+    assert (known["m"].n_extracted, known["m"].n_valid) == (counts["n_extracted"], counts["n_valid"])
+    assert known["none"] == forest.Survey(0, 0, [])
+
+
+def test_fit_needs_enough_rows(spark):
+    rows = flat(spark, [{}] * 49 + [{"o3": None}] * 10).select("row_id", *FEATURES)
+    with pytest.raises(training.NotEnoughRows, match="49 valid rows"):
+        forest.fit(rows, "m", SPEC)
+    with pytest.raises(training.EmptyRange):
+        forest.fit(rows.limit(0), "m", SPEC)
 
 
 def test_few_rows_and_copies(spark):
     df = flat(spark, [{}] * 60 + [{"pm2_5": 99.0}])
-    fit = forest.fit(training.validate(df).select("row_id", *FEATURES), "tiny", 61, SPEC)
+    fit = forest.fit(df.select("row_id", *FEATURES), "tiny", SPEC)
     rows = forest.predict(df, fit.forest).collect()
     assert fit.forest.sample_size == 61
     assert [row["row_id"] for row in rows if row["prediction"] == -1] == [60]
@@ -258,7 +275,7 @@ def test_stored_forest_scores_the_same(spark, fitted, tmp_path):
 def test_stream_scores_equal_batch_scores(spark, sf_small, tmp_path):
     readings = fixture.readings(spark, sf_small)
     extracted = readings.select("row_id", *FEATURES)
-    fit = forest.fit(training.validate(extracted), "m", training.checked_count(extracted), SPEC)
+    fit = forest.fit(extracted, "m", SPEC)
     path = str(tmp_path / "landing")
     fixture.messages(spark, sf_small).drop("row_id").repartition(3).write.parquet(path)
     scored = score_messages(read_message_stream(spark, "parquet", path), fit.forest)
