@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,16 +29,10 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared checkpoint folder.
+    """A new folder for an intermediate table, below a folder that all executors share.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only a local session
-    without that setting falls back to a temporary folder: on a cluster other executors could
-    not read it.
+    That is the one the session names in ``spark.checkpoint.dir``, or else its warehouse. The rule is
+    the same for every master, and no setting of the session is changed.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="telemetra-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
     return f"{root.rstrip('/')}/telemetra/{name}-{uuid.uuid4().hex}"

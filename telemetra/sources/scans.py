@@ -60,9 +60,26 @@ class Staged:
 
     def discard(self) -> None:
         """Remove the table, once nothing reads it any more."""
+        remove(self.rows.sparkSession, self.path)
+
+    def __enter__(self) -> Staged:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.discard()
+
+    def until_exit(self) -> DataFrame:
+        """The rows, for a result that is read later; the table goes when the session's process ends."""
         spark = self.rows.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+        return self.rows
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in any store that Spark can reach."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> Staged:
@@ -70,5 +87,10 @@ def materialise(df: DataFrame, name: str) -> Staged:
 
     The table outlives the executors that wrote it, and later steps read only the columns they use.
     """
-    path = stage_file(df, workspace(df.sparkSession, name))
+    path = workspace(df.sparkSession, name)
+    try:
+        stage_file(df, path)
+    except Exception:
+        remove(df.sparkSession, path)
+        raise
     return Staged(load_staged(df.sparkSession, path, df.schema), path)
