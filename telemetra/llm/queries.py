@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from telemetra.llm import simhash
+from telemetra.llm import decontaminate, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +19,32 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that each document holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"))
+    ids = F.col("items.item_id")
+    return found.select("doc_id", ids.alias("item_ids"), F.size(ids).alias("n_items"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; a row without an id belongs to no fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    score = F.col("toxicity.score")
+    return scored.select(
+        "doc_id",
+        F.coalesce(toxicity.fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        score.alias("score"),
+        (score >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.size("toxicity.matches").alias("n_matches"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_decontamination": op5_decontamination,
+    "op8_toxicity": op8_toxicity,
 }
 CHECKS: dict[str, str] = {}

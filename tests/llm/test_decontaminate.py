@@ -1,0 +1,61 @@
+import random
+
+from pyspark.sql import functions as F
+
+from telemetra.llm import decontaminate as d
+
+
+def brute(text, item):
+    words, want = d.words_of(text), d.words_of(item)
+    row = [0] * (len(words) + 1)
+    for i, w in enumerate(want, 1):
+        new = [i]
+        for j, x in enumerate(words, 1):
+            new.append(min(row[j - 1] + (x != w), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return min(row) <= int(0.2 * len(want) + 1e-9)
+
+
+def edited(draw, words, edits, vocabulary):
+    words = list(words)
+    for _ in range(edits):
+        at = draw.randrange(len(words))
+        kind = draw.randrange(3)
+        if kind == 0:
+            words[at] = draw.choice(vocabulary)
+        elif kind == 1:
+            del words[at]
+        else:
+            words.insert(at, draw.choice(vocabulary))
+    return words
+
+
+def test_recall_and_precision_against_brute_force(spark):
+    draw = random.Random(3)
+    vocabulary = ["w%d" % i for i in range(300)] + ["the", "of"] * 40
+    items = [(i, " ".join(draw.choices(vocabulary, k=draw.randrange(6, 60)))) for i in range(40)]
+    docs = []
+    for i in range(400):
+        words = draw.choices(vocabulary, k=draw.randrange(0, 120))
+        if i % 2:
+            _, item = draw.choice(items)
+            n = len(item.split())
+            at = draw.randrange(len(words) + 1)
+            words[at:at] = edited(draw, item.split(), draw.choice([0, 0, 1, n // 10, n // 5]), vocabulary)
+        docs.append((i, " ".join(words).replace("the of", "The, OF.\n")))
+    table = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, m.item_id) for r in d.find_items(table, bench).collect() for m in r["items"]}
+    truth = {(i, k) for i, text in docs for k, item in items if brute(text, item)}
+    assert found <= truth
+    assert len(found) >= 0.95 * len(truth) and len(truth) > 150
+
+
+def test_odd_rows(spark):
+    docs = spark.createDataFrame([(1, None), (2, ""), (None, "a b c d e f g"), (2, "x a b c d e f"), (3, "z " * 200_000 + "A, b! c d e f")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "a b c d e f"), (7, "a b c d e f"), (8, None), (None, "a b c d e"), (9, ""), (10, "a b")], "item_id long, text string")
+    rows = d.find_items(docs, bench).collect()
+    assert [[m.item_id for m in r["items"]] for r in rows] == [[], [], [7], [7], [7]]
+    assert rows[4]["items"][0].start == 200_000
+    assert [r["items"] for r in d.find_items(docs, bench.limit(0)).collect()] == [[]] * 5
+    assert d.find_items(docs.limit(0), bench).collect() == []
