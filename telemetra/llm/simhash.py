@@ -33,6 +33,8 @@ BITS = 64
 BLOCKS = 6
 # Fingerprints under one key are compared by tasks that hold at most about two of such pieces.
 PIECE = 2048
+# Groups of at most so many rows are compared together.
+SMALL = 32
 # Words of a bit plane that are counted and left together.
 STRIP = 64
 FULL = np.uint64(2**64 - 1)
@@ -135,29 +137,72 @@ def _above(counter: np.ndarray, over: np.ndarray, radius: int) -> np.ndarray:
     return above
 
 
-def linked_pairs(left: np.ndarray, right: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions in ``left`` and ``right`` of all pairs within the radius, some queries at a time."""
+def _order(planes: np.ndarray, n: int) -> np.ndarray:
+    """Planes in the order that tells fingerprints apart soonest: those with bits of both kinds first."""
+    ones = np.bitwise_count(planes).sum(axis=1, dtype=np.int64)
+    return np.argsort(np.abs(2 * ones - n), kind="stable")
+
+
+def _flags(words: np.ndarray, n: int) -> np.ndarray:
+    """The first n flags of words of 64, as booleans."""
+    return np.unpackbits(words.view(np.uint8), axis=-1, bitorder="little", count=n).astype(bool)
+
+
+def near_matrix(left: np.ndarray, right: np.ndarray, radius: int) -> np.ndarray:
+    """Who of ``left`` is within the radius of whom of ``right``, as a table of booleans."""
     planes = _planes(right)
-    # Planes with bits of both kinds tell fingerprints apart soonest.
-    ones = np.unpackbits(planes.view(np.uint8), axis=1).sum(axis=1).astype(np.int64)
-    order = np.argsort(np.abs(2 * ones - len(right)), kind="stable")
-    shift = np.arange(64, dtype=np.uint64)
-    for begin in range(0, len(left), 256):
-        flags = _near(left[begin : begin + 256], planes, radius, order)
-        row, word = np.nonzero(flags)
-        hit, bit = np.nonzero((flags[row, word][:, None] >> shift) & np.uint64(1))
-        at = word[hit] * 64 + bit
-        real = at < len(right)
-        yield begin + row[hit][real], at[real]
-
-
-def _forest(left: np.ndarray, right: np.ndarray, radius: int) -> pd.DataFrame:
-    """Links that connect what is within the radius, at most one for each fingerprint."""
-    forest = Forest()
-    for a, b in linked_pairs(left.view("<u8"), right.view("<u8"), radius):
-        for x, y in zip(left[a].tolist(), right[b].tolist()):
-            if x != y:
-                forest.join(x, y)
+    order = _order(planes, len(right))
+    parts = [_flags(_near(left[i : i + 256], planes, radius, order), len(right)) for i in range(0, len(left), 256)]
+    return np.concatenate(parts)
+
+
+def near_rows(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
+    """Whether a[i] and b[i] are within the radius: their difference is compared with zero, bit-sliced."""
+    if not len(a):
+        return np.empty(0, dtype=bool)
+    planes = _planes(a ^ b)
+    return _flags(_near(np.zeros(1, dtype=np.uint64), planes, radius, _order(planes, len(a))), len(a))[0]
+
+
+def _groups_of(near: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Connected groups of a two-sided table, as places on either side; places without a partner are left out."""
+    new_left = near.any(axis=1)
+    while new_left.any():
+        left, right = np.zeros(near.shape[0], dtype=bool), np.zeros(near.shape[1], dtype=bool)
+        left[new_left.argmax()] = True
+        front = left.copy()
+        while front.any():
+            reached = near[front].any(axis=0) & ~right
+            right |= reached
+            front = near[:, reached].any(axis=1) & ~left
+            left |= front
+        new_left &= ~left
+        yield np.flatnonzero(left), np.flatnonzero(right)
+
+
+def _block_links(fp: np.ndarray, own: np.ndarray, low: np.ndarray, high: np.ndarray, edges: np.ndarray, radius: int) -> pd.DataFrame:
+    """Links for whole groups of sorted rows, at most one for each row. ``edges`` are the places where groups begin and end.
+
+    Small groups are compared all together, row i with row i + 1, i + 2 and so on; large ones one by one.
+    """
+    forest, values = Forest(), fp.view("<u8")
+    sizes = np.diff(edges)
+    small = (sizes <= SMALL) & (low[edges[:-1]] == high[edges[:-1]])
+    group = np.repeat(np.where(small, np.arange(len(sizes)), -1 - np.arange(len(sizes))), sizes)
+    for apart in range(1, int(sizes[small].max(initial=1))):
+        at = np.flatnonzero((group[:-apart] == group[apart:]) & (group[:-apart] >= 0))
+        at = at[near_rows(values[at], values[at + apart], radius)]
+        for x, y in zip(fp[at].tolist(), fp[at + apart].tolist()):
+            forest.join(x, y)
+    for number in np.flatnonzero(~small):
+        part = slice(edges[number], edges[number + 1])
+        first, second = fp[part][own[part] == low[part]], fp[part][own[part] == high[part]]
+        if len(first) and len(second):
+            for left, right in _groups_of(near_matrix(first.view("<u8"), second.view("<u8"), radius)):
+                members = np.concatenate((first[left], second[right]))
+                smallest = int(members.min())
+                for member in members.tolist():
+                    forest.join(smallest, member)
     return pd.DataFrame(forest.links(), columns=["a", "b"]).astype("int64")
 
 
@@ -179,12 +224,30 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, piece
     cut = sized.select("fp", "mask", "key", own.alias("own"), other.alias("other"))
     placed = cut.select("mask", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "fp")
 
-    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        low, high = key[2:]
-        values, piece_of = rows["fp"].to_numpy(), rows["own"].to_numpy()
-        return _forest(values[piece_of == low], values[piece_of == high], radius)
+    keys = ["mask", "key", "low", "high"]
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            rows = batch if rest is None else pd.concat((rest, batch), ignore_index=True)
+            starts = _starts(rows[keys])
+            yield _block(rows, starts, radius)
+            rest = rows.iloc[starts[-1] :]
+        if rest is not None and len(rest):
+            yield _block(rest, np.array([0, len(rest)]), radius)
+
+    return placed.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(compare, "a long, b long")
+
+
+def _starts(keys: pd.DataFrame) -> np.ndarray:
+    """Places where groups of sorted rows begin."""
+    table = keys.to_numpy()
+    return np.flatnonzero(np.concatenate(([True], (table[1:] != table[:-1]).any(axis=1))))
+
 
-    return placed.groupBy("mask", "key", "low", "high").applyInPandas(compare, "a long, b long")
+def _block(rows: pd.DataFrame, edges: np.ndarray, radius: int) -> pd.DataFrame:
+    columns = [rows[name].to_numpy() for name in ("fp", "own", "low", "high")]
+    return _block_links(*columns, edges, radius)
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:

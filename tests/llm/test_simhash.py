@@ -75,9 +75,10 @@ def test_bit_sliced_distances(radius):
     right = np.concatenate((left[:200] ^ (np.uint64(1) << rng.integers(0, 64, 200, dtype=np.uint64)), left[:50], rng.integers(0, 2**64, 4200, dtype=np.uint64)))
     for _ in range(3):
         right[:120] ^= np.uint64(1) << rng.integers(0, 64, 120, dtype=np.uint64)
-    found = {(int(a), int(b)) for x, y in simhash.linked_pairs(left, right, radius) for a, b in zip(x, y)}
     apart = np.bitwise_count(left[:, None] ^ right[None, :])
-    assert found == set(zip(*(x.tolist() for x in np.nonzero(apart <= radius))))
+    assert (simhash.near_matrix(left, right, radius) == (apart <= radius)).all()
+    pairs = rng.integers(0, 300, 5000)
+    assert (simhash.near_rows(left[pairs], right[pairs], radius) == (apart[pairs, pairs] <= radius)).all()
 
 
 def test_long_paths_and_stars(spark):
