@@ -4,16 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.llm import decontaminate, simhash, toxicity
+from telemetra.llm import decontaminate, pii, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pii_digest(found: DataFrame) -> DataFrame:
+    """Counts of base spans, the hash of their list, and the list of all spans."""
+
+    def listed(column: str) -> Column:
+        return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(kind).alias(f"n_{kind}") for kind in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii_digest(pii.find(docs, pii.fit(docs)))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -43,6 +62,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii": op2_pii,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_decontamination": op5_decontamination,
     "op8_toxicity": op8_toxicity,
