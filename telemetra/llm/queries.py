@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.llm import decontaminate, pii, simhash, toxicity
+from telemetra.llm import bpe, decontaminate, pii, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +35,22 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(pii.find(docs, pii.fit(docs)))
 
 
+def bpe_digest(docs: DataFrame, path: str) -> DataFrame:
+    """Number of tokens, and hashes of their ids and decoded text, which are taken where the tokens are."""
+
+    def digest(tokens: bpe.Tokens) -> tuple:
+        return tokens.n, hashlib.sha256(tokens.ids.encode()).hexdigest(), hashlib.sha256(tokens.text.encode()).hexdigest()
+
+    found = bpe.encoded(docs, path, "n_tokens long, ids_sha256 string, decoded_sha256 string", digest)
+    return found.select("doc_id", "tokens.*")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_digest(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -63,6 +81,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
+    "op3_bpe": op3_bpe,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_decontamination": op5_decontamination,
     "op8_toxicity": op8_toxicity,
