@@ -201,15 +201,16 @@ def encoded(
     finish: Callable[[Tokens], tuple] | None = None,
     text_column: str = "text",
     bound: int = MAX_SHARED,
+    to: str = "tokens",
 ) -> DataFrame:
-    """Add a struct ``tokens`` to every row: number, ids and decoded text, or what ``finish`` makes of them as ``columns``.
+    """Add a struct ``to`` to every row: number, ids and decoded text, or what ``finish`` makes of them as ``columns``.
 
     ``path`` is the vocabulary's file, which every executor must have. Null and empty texts have no tokens. No
     row is lost or repeated, and every other column stays as it is.
     """
     shared = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, path, bound, text_column))
     names = [column.split()[0] for column in columns.split(", ")]
-    last = finish or _whole
+    last = finish or whole
 
     @F.pandas_udf(columns)
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -217,10 +218,10 @@ def encoded(
         for texts in batches:
             yield pd.DataFrame([last(encoder.encode(text)) for text in texts], columns=names)
 
-    return docs.withColumn("tokens", tokens(F.col(text_column)))
+    return docs.withColumn(to, tokens(F.col(text_column)))
 
 
-def _whole(tokens: Tokens) -> tuple:
+def whole(tokens: Tokens) -> tuple:
     return tokens.n, np.array(tokens.ids.split(), dtype=np.int32), tokens.text
 
 

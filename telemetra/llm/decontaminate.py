@@ -195,8 +195,8 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, list[str]]]]:
         yield block
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, text_column: str = "text") -> DataFrame:
-    """Add ``items``: an array of (item_id, start, end, edits) in words, by item; empty if there is none.
+def find_items(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, text_column: str = "text", to: str = "items") -> DataFrame:
+    """Add the column ``to``: an array of (item_id, start, end, edits) in words, by item; empty if there is none.
 
     Null and empty texts hold no item; an item of several rows with one id is found if one of its texts is. An edited
     run's start is its end less the item's length. Every other column stays as it is.
@@ -204,7 +204,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     found = [_finder(docs.sparkSession, block, similarity)(F.col(text_column)) for block in _blocks(benchmark)]
     if not found:
         found = [F.array().cast(FOUND)]
-    return docs.withColumn("items", F.concat(*found) if len(found) > 1 else found[0])
+    return docs.withColumn(to, F.concat(*found) if len(found) > 1 else found[0])
 
 
 def _finder(spark: SparkSession, block: list[tuple[int, list[str]]], similarity: float) -> Callable[[Column], Column]:

@@ -222,8 +222,8 @@ def all_spans(text: str | None, model: Model) -> tuple[list[tuple[int, int, str]
     return base, sorted(taken, key=lambda span: (span[0], KINDS.index(span[2])))
 
 
-def find(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """Add ``base`` and ``spans``: arrays of (start, end, kind) in code points, end exclusive, by start and kind.
+def find(docs: DataFrame, model: Model, text_column: str = "text", to: str = "pii") -> DataFrame:
+    """Add a struct ``to`` of base and spans: arrays of (start, end, kind) in code points, end exclusive, by start and kind.
 
     Null and empty texts have none. Every other column stays as it is.
     """
@@ -235,8 +235,7 @@ def find(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
         named = [[[dict(zip(("start", "end", "kind"), s)) for s in part] for part in row] for row in rows]
         return pd.DataFrame(named, columns=["base", "spans"])
 
-    found = docs.withColumn("_pii", pii(F.col(text_column)))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns], "_pii.base", "_pii.spans")
+    return docs.withColumn(to, pii(F.col(text_column)))
 
 
 def redact(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:

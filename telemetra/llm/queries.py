@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from telemetra.llm import bpe, decontaminate, pii, simhash, toxicity
 
 
@@ -23,10 +24,10 @@ def pii_digest(found: DataFrame) -> DataFrame:
         return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     def count(kind: str) -> Column:
-        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+        return F.size(F.filter("pii.base", lambda s: s["kind"] == kind)).cast("long")
 
     counts = [count(kind).alias(f"n_{kind}") for kind in pii.BASE]
-    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(listed("pii.base"), 256).alias("base_sha256"), listed("pii.spans").alias("spans"))
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +81,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
     "op2_pii": op2_pii,
     "op3_bpe": op3_bpe,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,

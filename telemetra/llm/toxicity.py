@@ -218,8 +218,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, prior: np.ndarray) ->
     return weights
 
 
-def score(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """Add ``toxicity``: a struct of score, from 0 to 1, and matches (start, end, kind; in code points).
+def score(docs: DataFrame, model: Model, text_column: str = "text", to: str = "toxicity") -> DataFrame:
+    """Add the column ``to``: a struct of score, from 0 to 1, and matches (start, end, kind; in code points).
 
     Null and empty texts have no matches and take the score of such texts. No other column is read, and
     any other column of the table stays as it is.
@@ -238,4 +238,4 @@ def score(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame
                 found.append([{"start": a, "end": b, "kind": EVENTS[event]} for a, b, event in events])
             yield pd.DataFrame({"score": scores, "matches": found})
 
-    return docs.withColumn("toxicity", toxicity(F.col(text_column)))
+    return docs.withColumn(to, toxicity(F.col(text_column)))

@@ -66,15 +66,15 @@ def corpus(spark):
 
 
 def test_method_adds_spans_and_keeps_the_base(spark):
-    docs = corpus(spark).drop("spans", "base")
+    docs = corpus(spark)
     model = pii.fit(docs)
     rows = {(r.doc_id, r.text): r for r in pii.find(docs, model).collect()}
-    assert {s.kind for s in rows[3, docs.filter("doc_id = 3").first().text].spans} == {"email", "ip", "secret"}
+    assert {s.kind for s in rows[3, docs.filter("doc_id = 3").first().text].pii.spans} == {"email", "ip", "secret"}
     for (_, text), r in rows.items():
-        base = [(s.start, s.end, s.kind) for s in r.base]
-        assert base == brute(text or "") and set(base) <= {(s.start, s.end, s.kind) for s in r.spans}
+        base = [(s.start, s.end, s.kind) for s in r.pii.base]
+        assert base == brute(text or "") and set(base) <= {(s.start, s.end, s.kind) for s in r.pii.spans}
     found = rows[902, "plain words only"]
-    assert found.spans == []
+    assert found.pii.spans == []
     digest = pii_digest(pii.find(docs, model)).filter("doc_id = 3").first()
     text = docs.filter("doc_id = 3").first().text
     assert digest.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, b, k in brute(text)).encode()).hexdigest()
