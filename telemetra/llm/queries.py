@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from telemetra.llm import bpe, decontaminate, pii, simhash, toxicity
+from telemetra.llm import bpe, decontaminate, language, pii, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,15 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", ids.alias("item_ids"), F.size(ids).alias("n_items"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; a row without an id belongs to no fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    held_out = F.coalesce(language.fold("doc_id", 4) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; a row without an id belongs to no fold."""
     docs = table(spark, sf_dir, "documents")
@@ -86,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_decontamination": op5_decontamination,
+    "op6_language_id": op6_language_id,
     "op8_toxicity": op8_toxicity,
 }
 CHECKS: dict[str, str] = {}
