@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from telemetra.llm import bpe, decontaminate, language, pii, simhash, toxicity
+from telemetra.llm import bpe, decontaminate, language, pii, simhash, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score")
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best others of every fiftieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; a row without an id belongs to no fold."""
     docs = table(spark, sf_dir, "documents")
@@ -96,6 +101,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_language_id": op6_language_id,
+    "op7_top_k": op7_top_k,
     "op8_toxicity": op8_toxicity,
 }
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {
+    "op7_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.e, d.e), p -> p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id
+        ), r AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+}
