@@ -104,7 +104,8 @@ def _needs(q: np.ndarray, cells: Cells, k: int) -> tuple[np.ndarray, list[np.nda
         least = -np.sort(-low, axis=1)[:, k] if low.shape[1] > k else np.full(len(q), -np.inf)
         high = np.nan_to_num(middle + slack + length * cells.radius, nan=np.inf)
     wanted = (high >= least[:, None]) & (cells.size > 0)
-    return least, [np.flatnonzero(row).astype(np.int32) for row in wanted]
+    # Scores stop at 64 bits.
+    return np.minimum(least, float(HIGHEST)), [np.flatnonzero(row).astype(np.int32) for row in wanted]
 
 
 def _blocks(n_queries: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
