@@ -10,13 +10,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from telemetra.llm import bpe, decontaminate, language, pii, simhash, topk, toxicity
+from telemetra.llm import bpe, decontaminate, language, pii, simhash, topk, toxicity, wrappers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = wrappers.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
 def pii_digest(found: DataFrame) -> DataFrame:
     """Counts of base spans, the hash of their list, and the list of all spans."""
 
@@ -96,6 +102,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
+    "op1_main_text": op1_main_text,
     "op2_pii": op2_pii,
     "op3_bpe": op3_bpe,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,

@@ -1,0 +1,75 @@
+import json
+import random
+
+from telemetra.llm import wrappers as w
+from telemetra.llm.page_tree import parse
+
+
+def text(page, template=()):
+    return "\n".join(w.main_blocks(parse(page), set(template)))
+
+
+ARTICLE = (
+    '<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>'
+    '<header><p>Site</p></header><nav><ul><li><a href="/x">Menu</a></li></ul></nav><!-- ad <p>no</p> --><div class="ad">Buy</div>'
+    '<article><h1>Title &amp; more</h1><p><b>First\n  line.<br><p>Second &eacute;&nbsp;<a href="#">link</a>.</p><form><p>Mail</p></form>'
+    '<ul><li>one<li>two</ul><div id="comments"><p>Me too</p></div><aside>Side</aside></article><footer>&copy; x</footer>'
+)
+
+
+def test_article_without_the_rest():
+    assert text(ARTICLE) == "Title & more\nFirst line.\nSecond é link.\none\ntwo"
+    assert text(ARTICLE[: ARTICLE.index("Second") + 6]) == "Title & more\nFirst line.\nSecond"
+
+
+def test_odd_markup():
+    assert text(None) == "" and text("") == "" and text("plain < text & more") == "plain < text & more"
+    assert text("<p>a</p><p class='x>b") == "a\nb" and text("<p>a</p><p class='x") == "a"
+    assert text("<p>a<!-- never closed <p>b") == "a"
+    assert text("</p></div><p>a</b>b</p></html>") == "ab"
+    assert text("<script>x</scripty><p>no") == ""
+    assert text("<p>" * 3000 + "x" + "<div>" * 300 + "y") == "x\ny"
+    assert text('<p title="a>b">c</p>') == "c"
+    deep = "<div>" * 20_000 + "in" + "</div>" * 20_000 + "<footer>out</footer>"
+    assert text(deep) == "in" and w.expression(parse(deep)) and text("<p>x" * 50_000).count("x") == 50_000
+
+
+def page(i, n_links, n_paragraphs, extra=""):
+    links = "".join(f"<li><a>go {j}</a></li>" for j in range(n_links))
+    paragraphs = "".join(f"<p>text {i} {j}</p>" for j in range(n_paragraphs))
+    return f"<body><div class='top'>My site</div><ul>{links}</ul><div>{paragraphs}{extra}</div><div class='low'>Terms apply</div></body>"
+
+
+def test_alignment_makes_optional_and_repeated_groups_and_slots():
+    merged = w.merge(w.expression(parse(page(1, 3, 1))), w.expression(parse(page(2, 2, 4, "<table><tr><td>x</td></tr></table>"))))
+    body = merged[3][0]
+    assert [(part[0], part[1], part[2]) for part in body[3]] == [("div.top", False, False), ("ul", False, False), ("div", False, False), ("div.low", False, False)]
+    paragraphs, table = body[3][2][3]
+    assert paragraphs[:3] == ["p", False, True] and table[:3] == ["table", True, False]
+    slot = body[3][0][3][0]
+    assert slot[3] == slot[4] and paragraphs[3][0][3] != paragraphs[3][0][4]
+    assert w.fold([["dt", 0, 0, []], ["dd", 0, 0, []]] * 3) == [["()", False, True, [["dt", 0, 0, []], ["dd", 0, 0, []]]]]
+
+
+def test_template_text_is_left_out_by_host(spark):
+    rows = [(i, f"http://Host.net/{i}", page(i, i % 4 + 1, i % 3 + 1)) for i in range(20)]
+    rows += [(100, "https://other.org/", page(0, 1, 1)), (101, None, "<p>lonely"), (102, "no scheme", None), (None, "http://host.net", ""), (3, rows[3][1], rows[3][2])]
+    pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, host string")
+    found = w.extract(pages)
+    assert found.columns == [*pages.columns, "main_text"]
+    got = sorted(((r.page_id, r.main_text) for r in found.collect()), key=str)
+    want = [(i, "\n".join(f"text {i} {j}" for j in range(i % 3 + 1))) for i in [*range(20), 3]]
+    want += [(100, "My site\ntext 0 0\nTerms apply"), (101, "lonely"), (102, ""), (None, "")]
+    assert got == sorted(want, key=str)
+    assert w.extract(pages.limit(0)).collect() == []
+
+
+def test_wrapper_is_the_same_for_any_order():
+    draw = random.Random(0)
+    pages = [w.expression(parse(page(i, draw.randrange(4), draw.randrange(4), draw.choice(["", "<h2>x</h2>"])))) for i in range(12)]
+    for _ in range(5):
+        draw.shuffle(pages)
+        whole = pages[0]
+        for one in pages[1:]:
+            whole = w.merge(whole, one)
+        assert {path[-2] for path in w.template_slots(json.loads(json.dumps(whole)))} >= {"div.top", "div.low"}
