@@ -70,9 +70,7 @@ class Staged:
 
     def until_exit(self) -> DataFrame:
         """The rows, for a result that is read later; the table goes when the session's process ends."""
-        spark = self.rows.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+        remove_at_exit(self.rows.sparkSession, self.path)
         return self.rows
 
 
@@ -82,6 +80,12 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Delete a folder when the session's process ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def materialise(df: DataFrame, name: str) -> Staged:
     """Compute a DataFrame once, as a table in the shared folder, and continue from that table.
 
