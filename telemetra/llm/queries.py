@@ -10,7 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from telemetra.llm import bpe, decontaminate, language, pii, simhash, topk, toxicity, wrappers
+from telemetra.llm import bpe, decontaminate, language, pii, simhash, topk, toxicity, url_rules, warc, wrappers
+from telemetra.session import workspace
+from telemetra.sources.scans import remove_at_exit
+
+# Host, path and verdict of the rules that the pages are judged by.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +105,20 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to archives and read back; the archives go when the process ends."""
+    folder = workspace(spark, "archives")
+    remove_at_exit(spark, folder)
+    index = warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    return warc.read(index, folder, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_main_text": op1_main_text,
@@ -110,8 +129,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op7_top_k": op7_top_k,
     "op8_toxicity": op8_toxicity,
+    "op9_url_rules": op9_url_rules,
+    "op10_warc": op10_warc,
 }
 CHECKS: dict[str, str] = {
+    "op9_url_rules": r"""
+        WITH u AS (
+            SELECT page_id,
+                   translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's'), '') AS path
+            FROM pages
+        ), f AS (
+            SELECT u.page_id, u.host, u.path, r.rule_host || r.rule_path AS rule, r.verdict,
+                   row_number() OVER (PARTITION BY u.page_id ORDER BY length(r.rule_host || r.rule_path) DESC, length(r.rule_host) DESC) AS place
+            FROM u LEFT JOIN (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow'))
+                AS r(rule_host, rule_path, verdict)
+                ON (u.host = r.rule_host OR ends_with(u.host, '.' || r.rule_host)) AND starts_with(u.path, r.rule_path)
+        )
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM f WHERE place = 1
+    """,
+    "op10_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+        q AS (SELECT page_id, payload, strlen(payload) AS n, min(page_id) OVER (PARTITION BY payload) AS first FROM p)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest,
+               CASE WHEN n >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 100 AND first <> page_id THEN first END AS refers_to
+        FROM q
+    """,
     "op7_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
