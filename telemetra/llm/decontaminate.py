@@ -5,7 +5,7 @@ Hamming distance; bit-sampling hashes of the embedding, repeated over several wa
 item, and an exact edit distance decides. All of it happens where the document is: nothing is shuffled.
 
 A document holds an item if some run of its words is within an edit distance (in words) of ``(1 - similarity)`` times
-the item's length. Words are runs of letters, digits and underscores in lower case; other characters don't count.
+the item's length. Words are runs of letters, digits and underscores in lower case; white space and punctuation part them.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 
 import numpy as np
@@ -27,18 +28,26 @@ MIN_WORDS = 5
 BLOCK_CHARS = 4_000_000
 # Walks, hashes of each walk, sampled places of each hash. A window whose embedding agrees with that of an item in
 # a share s of the places is found with probability 1 - (1 - s ** PLACES) ** (WALKS * HASHES); see ``recall``.
-WALKS, HASHES, PLACES = 16, 8, 3
+WALKS, HASHES, PLACES = 8, 16, 3
 SEED = 20240607
 # Items are treated together if their lengths differ by less than this factor; the shortest gives the window.
 LENGTH_STEP = 1.2
-# Windows embedded at a time, which bounds memory.
-WINDOWS = 65_536
-WORD = re.compile(r"\w+")
+# Windows embedded, pairs checked and words of documents searched at a time, which bounds memory.
+WINDOWS, PAIRS, WORDS = 16_384, 16_384, 262_144
+# What parts words: all of ASCII but letters, digits and underscore, and the punctuation and spaces of other scripts.
+PARTING = bytes(c if c >= 128 or chr(c).isalnum() or c == 95 else 32 for c in range(256))
+WIDE_PARTING = re.compile("[\u0080-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u1680\u2000-\u206f\u2e00-\u2e7f\u3000-\u3003\u3008-\u3020\ufe30-\ufe6f\uff01-\uff0f]")
 FOUND = "array<struct<item_id:long,start:int,end:int,edits:int>>"
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+def words_of(text: str | None) -> list[bytes]:
+    """The words of a text, in UTF-8."""
+    if not text:
+        return []
+    lower = text.lower()
+    if not lower.isascii():
+        lower = WIDE_PARTING.sub(" ", lower)
+    return lower.encode("utf-8", "surrogatepass").translate(PARTING).split()
 
 
 def recall(agreement: float) -> float:
@@ -56,6 +65,8 @@ class LengthClass:
     member: np.ndarray
     turns: np.ndarray = field(repr=False)
     places: np.ndarray = field(repr=False)
+    # Each item's words, as item times the number of words plus word, sorted.
+    pairs: np.ndarray = field(repr=False)
     keys: list[np.ndarray] = field(repr=False)
     owners: list[np.ndarray] = field(repr=False)
 
@@ -66,7 +77,7 @@ def _walk(symbols: np.ndarray, starts: np.ndarray, window: int, turns: np.ndarra
     In every step the walk writes the symbol it stands on and moves on if that symbol's random bit of the step is set.
     Past its end a window reads zeros.
     """
-    steps = turns.shape[0]
+    steps = int(places.max()) + 1
     sampled = {int(step): np.zeros(len(starts), dtype=np.int64) for step in np.unique(places)}
     at, end = starts.copy(), starts + window
     for step in range(steps):
@@ -122,7 +133,8 @@ def _classes(items: list[tuple[int, np.ndarray]], n_words: int, similarity: floa
             keys.append(np.take_along_axis(hashes, order, axis=0).T.copy())
             owners.append(order.T.copy())
         most = int((1 - similarity) * len(group[-1][1]) + 1e-9)
-        result.append(LengthClass(window, most, group, member, turns, places, keys, owners))
+        pairs = np.unique(np.concatenate([number * len(member) + words.astype(np.int64) for number, (_, words) in enumerate(group)]))
+        result.append(LengthClass(window, most, group, member, turns, places, pairs, keys, owners))
     return result
 
 
@@ -143,43 +155,78 @@ def _proposed(one: LengthClass, symbols: np.ndarray, starts: np.ndarray) -> np.n
     return np.unique(np.concatenate(pairs)) if pairs else np.empty(0, dtype=np.int64)
 
 
+def _likely(one: LengthClass, symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, pairs: np.ndarray, similarity: float) -> np.ndarray:
+    """Of pairs (start, item), those that can match: each word strange to the item, and each of its words missing, is an edit."""
+    window, item = np.divmod(pairs, len(one.items))
+    allowed = np.array([int((1 - similarity) * len(words) + 1e-9) for _, words in one.items])
+    at = starts[window][:, None] + np.arange(one.window)
+    code = item[:, None] * len(one.member) + symbols[np.minimum(at, len(symbols) - 1)]
+    place = np.minimum(np.searchsorted(one.pairs, code), len(one.pairs) - 1)
+    known = (one.pairs[place] == code) & (at < ends[window][:, None])
+    likely = one.window - known.sum(axis=1) <= allowed[item]
+    pairs, window, item = pairs[likely], window[likely], item[likely]
+    # A longer window for the words missing: the match may be longer by its edits.
+    at = starts[window][:, None] + np.arange(max(len(words) for _, words in one.items) + one.most_edits)
+    code = item[:, None] * len(one.member) + symbols[np.minimum(at, len(symbols) - 1)]
+    place = np.minimum(np.searchsorted(one.pairs, code), len(one.pairs) - 1)
+    code = np.sort(np.where((one.pairs[place] == code) & (at < ends[window][:, None]), code, -1), axis=1)
+    n_distinct = (code[:, 0] >= 0) + ((code[:, 1:] != code[:, :-1]) & (code[:, 1:] >= 0)).sum(axis=1)
+    wanted = np.bincount(one.pairs // len(one.member), minlength=len(one.items))
+    return pairs[wanted[item] - n_distinct <= allowed[item]]
+
+
 def _search(documents: list[np.ndarray], classes: list[LengthClass], similarity: float) -> list[list[tuple[int, int, int, int]]]:
     """(item, start, end, edits) found in each of some documents, given as word numbers (zero for words of no item)."""
     found: list[dict[int, tuple[int, int, int, int]]] = [{} for _ in documents]
     lengths = np.array([len(words) for words in documents])
-    joined = np.concatenate([*documents, np.zeros(1, dtype=np.int32)])
     ends = np.cumsum(lengths)
+    widest = max((one.window for one in classes), default=0)
+    joined = np.concatenate([*documents, np.zeros(widest, dtype=np.int32)])
     for one in classes:
         # A window that matches has no more strange words than edits are allowed.
-        strange = np.concatenate(([0], np.cumsum(~one.member[joined])))
-        starts = np.arange(len(joined) - 1)
-        reach = np.minimum(starts + one.window, len(joined))
-        starts = starts[(strange[reach] - strange[starts] <= one.most_edits) & one.member[joined[:-1]]]
+        known = one.member[joined]
+        strange = np.concatenate((np.zeros(1, dtype=np.int32), np.cumsum(~known, dtype=np.int32)))
+        few = strange[one.window :] - strange[: -one.window] <= one.most_edits
+        starts = np.flatnonzero(few & known[: len(few)])
         owner = np.searchsorted(ends, starts, "right")
+        starts, owner = starts[owner < len(ends)], owner[owner < len(ends)]
         # What is left of the document must be long enough for the shortest item with all its edits.
         fits = starts + one.window - one.most_edits <= ends[owner]
         starts, owner = starts[fits], owner[fits]
         for begin in range(0, len(starts), WINDOWS):
             part, part_owner = starts[begin : begin + WINDOWS], owner[begin : begin + WINDOWS]
-            for pair in _proposed(one, joined, part):
-                window, number = divmod(int(pair), len(one.items))
-                item_id, words = one.items[number]
-                document = int(part_owner[window])
-                if item_id in found[document]:
-                    continue
-                allowed = int((1 - similarity) * len(words) + 1e-9)
-                first = int(ends[document] - lengths[document])
-                low = max(first, int(part[window]) - allowed)
-                text = joined[low : min(int(ends[document]), int(part[window]) + len(words) + 2 * allowed)]
-                if np.isin(words, text).sum() < len(words) - allowed:
-                    continue
-                edits, end = _edits(text, words)
-                if edits <= allowed:
-                    found[document][item_id] = (item_id, max(first, low + end - len(words)) - first, low + end - first, edits)
+            proposed = _proposed(one, joined, part)
+            for first in range(0, len(proposed), PAIRS):
+                for pair in _likely(one, joined, part, ends[part_owner], proposed[first : first + PAIRS], similarity).tolist():
+                    window, number = divmod(pair, len(one.items))
+                    item_id, words = one.items[number]
+                    document = int(part_owner[window])
+                    if item_id in found[document]:
+                        continue
+                    allowed = int((1 - similarity) * len(words) + 1e-9)
+                    top, end = int(ends[document] - lengths[document]), int(ends[document])
+                    low = max(top, int(part[window]) - allowed)
+                    edits, last = _edits(joined[low : min(end, int(part[window]) + len(words) + 2 * allowed)], words)
+                    if edits <= allowed:
+                        found[document][item_id] = (item_id, max(top, low + last - len(words)) - top, low + last - top, edits)
     return [sorted(matches.values()) for matches in found]
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, list[str]]]]:
+def _in_parts(texts: pd.Series, vocabulary: dict[bytes, int]) -> Iterator[list[np.ndarray]]:
+    """Texts as word numbers, some texts at a time."""
+    part, size = [], 0
+    for text in texts:
+        words = words_of(text)
+        part.append(np.fromiter(map(vocabulary.get, words, repeat(0)), np.int32, len(words)))
+        size += len(words)
+        if size >= WORDS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, list[bytes]]]]:
     """Items (id, words) in blocks of bounded size; null, short and id-less ones are left out, repeats count once."""
     block, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna().distinct().orderBy("item_id", "text").toLocalIterator():
@@ -207,7 +254,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     return docs.withColumn(to, F.concat(*found) if len(found) > 1 else found[0])
 
 
-def _finder(spark: SparkSession, block: list[tuple[int, list[str]]], similarity: float) -> Callable[[Column], Column]:
+def _finder(spark: SparkSession, block: list[tuple[int, list[bytes]]], similarity: float) -> Callable[[Column], Column]:
     """A function of a text column that finds the items of one block."""
     vocabulary = {word: i for i, word in enumerate(sorted({word for _, words in block for word in words}), 1)}
     numbered = [(item_id, np.array([vocabulary[word] for word in words], dtype=np.int32)) for item_id, words in block]
@@ -216,11 +263,9 @@ def _finder(spark: SparkSession, block: list[tuple[int, list[str]]], similarity:
     @F.pandas_udf(FOUND)
     def items(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         vocabulary, numbered = shared.value
-        number = vocabulary.get
         classes = _classes(numbered, len(vocabulary), similarity)
         for texts in batches:
-            documents = [np.array([number(word, 0) for word in words_of(text)], dtype=np.int32) for text in texts]
-            found = _search(documents, classes, similarity)
+            found = [matches for part in _in_parts(texts, vocabulary) for matches in _search(part, classes, similarity)]
             yield pd.Series([[dict(zip(("item_id", "start", "end", "edits"), match)) for match in matches] for matches in found])
 
     return items
