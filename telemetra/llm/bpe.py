@@ -10,10 +10,11 @@ as it takes, until the result is that of the whole text. A table of bounded size
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -24,19 +25,21 @@ from pyspark.sql import functions as F
 # The hash looks at this many characters; a chunk ends where its top bits are zero, on average after 256.
 WINDOW, TOP_BITS = 32, 8
 # Shared chunks that are encoded once for all tasks: at most so many, of at most so many characters.
-MAX_SHARED, MAX_SHARED_CHARS = 40_000, 4_096
+MAX_SHARED, MAX_SHARED_CHARS = 16_384, 4_096
 # Words that a task remembers.
-MAX_WORDS = 200_000
+MAX_WORDS = 150_000
 # Characters that are hashed at a time.
 SEGMENT = 1 << 20
 # White space at which texts can be cut: the tokenizer takes it as white space and keeps no part of it.
 SPACE = re.compile(r"[ \t\n\r]")
-WORD = re.compile(r"[^ \t\n\r]+")
+# Latin letters before one sign at the end of a word are a word of their own, as is the sign.
+WORD = re.compile(r"[a-zß-öø-įı-ɏ]+(?=[.,;:!?](?:[ \t\n\r]|\Z))|[^ \t\n\r]+")
+# Texts with a character beyond these, or with what may begin a special token, are not put into lower case beforehand.
+ODD = re.compile(r"[^\x00-\u012f\u0131-\u024f]|<\|")
 _GEAR = np.random.default_rng(20240607).integers(0, 2**32, 65_536, dtype=np.uint32)
 
 
-@dataclass(frozen=True)
-class Tokens:
+class Tokens(NamedTuple):
     """Tokens of a piece of text: their number, their ids joined by spaces, and their decoded text."""
 
     n: int
@@ -44,8 +47,7 @@ class Tokens:
     text: str
 
 
-@dataclass(frozen=True)
-class Chunk:
+class Chunk(NamedTuple):
     """A chunk's tokens between its white spaces, and the word parts before and after. Without white space all is head."""
 
     head: str
@@ -56,6 +58,11 @@ class Chunk:
 NO_TOKENS = Tokens(0, "", "")
 
 
+def plain(text: str) -> str:
+    """Lower case, as the tokenizer makes it, where that is certain to give the same tokens; else the text itself."""
+    return text if ODD.search(text) else text.lower()
+
+
 def cuts(text: str) -> list[int]:
     """Where chunks end; the last one ends with the text."""
     found = []
@@ -87,6 +94,8 @@ class Encoder:
     """Encodes texts by chunks and words, with the library's tokenizer for words not seen before."""
 
     def __init__(self, path: str, shared: dict[str, Chunk] | None = None) -> None:
+        # A task has one core; threads of the library would only get into each other's way.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -94,6 +103,11 @@ class Encoder:
         self.tokenizer.no_padding()
         if self.tokenizer.decoder is not None:
             raise ValueError("tokens of this vocabulary can't be decoded word by word")
+        size = self.tokenizer.get_vocab_size()
+        self.ids = [str(i) for i in range(size)]
+        self.texts = [self.tokenizer.decode([i], skip_special_tokens=False) for i in range(size)]
+        special = [(i, token.content) for i, token in self.tokenizer.get_added_tokens_decoder().items() if token.special and not token.normalized]
+        self.mark, self.parting = special[0] if special else (None, None)
         self.shared = shared or {}
         self.words: dict[str, Tokens] = {}
 
@@ -103,45 +117,73 @@ class Encoder:
         if len(self.words) + len(new) > MAX_WORDS:
             self.words.clear()
             new = list(words)
-        for word, encoding in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            ids = encoding.ids
-            self.words[word] = Tokens(len(ids), " ".join(map(str, ids)), self.tokenizer.decode(ids, skip_special_tokens=False))
+        for word, ids in self._encoded(new):
+            self.words[word] = Tokens(len(ids), " ".join([self.ids[i] for i in ids]), " ".join([self.texts[i] for i in ids]))
+
+    def _encoded(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
+        """Words with their ids. Most are encoded in one text, parted by a special token, which is faster than one by one."""
+        apart = [word for word in words if self.mark is None or "<|" in word]
+        for word, encoding in zip(apart, self.tokenizer.encode_batch_fast(apart, add_special_tokens=False)):
+            yield word, encoding.ids
+        rest = [word for word in words if not (self.mark is None or "<|" in word)]
+        if rest:
+            ids = self.tokenizer.encode_batch_fast([self.parting.join(rest)], add_special_tokens=False)[0].ids
+            begin = 0
+            for word in rest[:-1]:
+                end = ids.index(self.mark, begin)
+                yield word, ids[begin:end]
+                begin = end + 1
+            yield rest[-1], ids[begin:]
 
     def join(self, words: list[str]) -> Tokens:
         """Tokens of words that are remembered, in order."""
         known = [tokens for tokens in map(self.words.__getitem__, words) if tokens.n]
-        return Tokens(sum(t.n for t in known), " ".join([t.ids for t in known]), " ".join([t.text for t in known]))
+        return Tokens(sum([t.n for t in known]), " ".join([t.ids for t in known]), " ".join([t.text for t in known]))
 
     def chunk(self, chunk: str) -> Chunk:
-        first = SPACE.search(chunk)
-        if first is None:
+        """The tokens of a chunk that stands alone."""
+        parted = _parted(chunk)
+        if parted is None:
             return Chunk(chunk, None, "")
-        last = max(chunk.rfind(c) for c in " \t\n\r")
-        words = WORD.findall(chunk, first.start(), last)
+        head, words, tail = parted
         self.learn(set(words))
-        return Chunk(chunk[: first.start()], self.join(words), chunk[last + 1 :])
+        return Chunk(head, self.join(words), tail)
 
     def encode(self, text: str | None) -> Tokens:
         """Tokens of a whole text; a null text counts as empty."""
         if not text:
             return NO_TOKENS
-        parts, border = [], ""
+        text = plain(text)
+        # First the words of all chunks that are not shared, so that new ones are encoded in one call.
+        pieces: list[Tokens | list[str]] = []
+        border = ""
         for piece in chunks(text):
-            chunk = self.shared.get(piece) or self.chunk(piece)
-            if chunk.inner is None:
-                border += chunk.head
+            known = self.shared.get(piece)
+            parted = None if known else _parted(piece)
+            if known is None and parted is None:
+                border += piece
+                continue
+            head, inner, tail = known or parted
+            if known and inner is None:
+                border += head
                 continue
-            parts += [self._word(border + chunk.head), chunk.inner]
-            border = chunk.tail
-        parts = [part for part in [*parts, self._word(border)] if part.n]
-        return Tokens(sum(p.n for p in parts), " ".join([p.ids for p in parts]), " ".join([p.text for p in parts]))
+            pieces += [[border + head] if border + head else [], inner]
+            border = tail
+        if border:
+            pieces.append([border])
+        self.learn({word for words in pieces if isinstance(words, list) for word in words})
+        parts = [self.join(part) if isinstance(part, list) else part for part in pieces]
+        parts = [part for part in parts if part.n]
+        return Tokens(sum([p.n for p in parts]), " ".join([p.ids for p in parts]), " ".join([p.text for p in parts]))
 
-    def _word(self, word: str) -> Tokens:
-        if not word:
-            return NO_TOKENS
-        if word not in self.words:
-            self.learn({word})
-        return self.words[word]
+
+def _parted(chunk: str) -> tuple[str, list[str], str] | None:
+    """The part before a chunk's first white space, the words after it, and the part behind its last; none without any."""
+    first = SPACE.search(chunk)
+    if first is None:
+        return None
+    last = max(chunk.rfind(c) for c in " \t\n\r")
+    return chunk[: first.start()], WORD.findall(chunk, first.start(), last), chunk[last + 1 :]
 
 
 def shared_chunks(docs: DataFrame, path: str, bound: int = MAX_SHARED, text_column: str = "text") -> dict[str, Chunk]:
@@ -157,7 +199,7 @@ def shared_chunks(docs: DataFrame, path: str, bound: int = MAX_SHARED, text_colu
             seen: Counter[str] = Counter()
             for text in batch["text"]:
                 if text:
-                    seen.update(chunk for chunk in chunks(text) if len(chunk) <= MAX_SHARED_CHARS)
+                    seen.update(chunk for chunk in chunks(plain(text)) if len(chunk) <= MAX_SHARED_CHARS)
             yield pd.DataFrame([(_key(c), len(c), n) for c, n in seen.items()], columns=["key", "chars", "n"])
 
     counted = texts.mapInPandas(count, "key long, chars int, n long").groupBy("key").agg(F.sum("n").alias("n"), F.max("chars").alias("chars"))
@@ -172,7 +214,7 @@ def shared_chunks(docs: DataFrame, path: str, bound: int = MAX_SHARED, text_colu
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                for chunk in chunks(text) if text and left else ():
+                for chunk in chunks(plain(text)) if text and left else ():
                     if len(chunk) <= MAX_SHARED_CHARS and (key := _key(chunk)) in left:
                         left.discard(key)
                         rows.append((key, chunk))

@@ -17,10 +17,13 @@ def library():
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+PIECES = ["Hello", "it's", " ", "\n", "\t\r ", "é", "́", "<|endoftext|>", "<|startof", "text|>", "ΑΣ", "İ", "日本", "\xa0", "\x1c", "\x85", " ", "123", "4.5", "…", "'s", "ﬁ", "가", "𝒜", "a" * 40, "!", "\x00", "Å", "<|ENDOFTEXT|>", "ÀÉ.", "ß,", "Straße!", "a.'s", "÷", "×.", "ª.", "x.,", "Ünï;", "µ."]
+LATIN = ["Hello", "it's", " ", "\n", "é", "ÀÉ.", "ß,", "a.'s", "÷", "×.", "ª.", "x.,", "Ünï;", "µ.", "Ŋ!", "ŉ", "1.", "\xa0", "ÿ?", ". ", "¿Qué"]
+
 def odd_texts():
-    draw = random.Random(2)
-    pieces = ["Hello", "it's", " ", "\n", "\t\r ", "é", "́", "<|endoftext|>", "<|startof", "text|>", "ΑΣ", "İ", "日本", "\xa0", "\x1c", "\x85", " ", "123", "4.5", "…", "'s", "ﬁ", "가", "𝒜", "a" * 40, "!", "\x00", "Å"]
+    draw, pieces = random.Random(2), PIECES
     texts = ["".join(draw.choices(pieces, k=draw.choice([0, 1, 3, 20, 200, 3000]))) for _ in range(150)]
+    texts += ["".join(draw.choices(LATIN, k=draw.choice([3, 20, 400]))) for _ in range(150)]
     shared = "".join(draw.choices(pieces, k=2000))
     return texts + [draw.choice(pieces) * 3 + shared + draw.choice(pieces) for _ in range(20)] + [None, "", "   ", "x" * 100_000]
 
