@@ -30,7 +30,9 @@ LEAST_EVIDENCE, LEAST_PRECISION = 12.0, 0.9
 # Lengths of word beginnings that are tried beside whole words.
 BEGINNINGS = range(4, 8)
 RIDGE = 0.02
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
+# Documents whose words are held at a time while learning.
+TOGETHER = 256
 
 # Words of each class that the grammar starts with, in English, German, French and Spanish.
 SEEDS = {
@@ -98,6 +100,11 @@ def _content_key(words: list[str]) -> int:
     return int(pd.util.hash_array(np.array(runs, dtype=object)).view(np.int64).min())
 
 
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield from (batch.iloc[i : i + TOGETHER] for i in range(0, len(batch), TOGETHER))
+
+
 def _features(words: set[str]) -> set[str]:
     return words | {word[:n] + "*" for word in words for n in BEGINNINGS if len(word) > n}
 
@@ -111,7 +118,7 @@ def learn_words(sample: DataFrame) -> list[str]:
     """
 
     def per_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _parts(batches):
             rows = []
             for text, y in zip(batch["text"], batch["y"]):
                 words = WORD.findall((text or "").lower())
@@ -119,7 +126,7 @@ def learn_words(sample: DataFrame) -> list[str]:
             yield pd.DataFrame(rows, columns=["key", "y", "words"])
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _parts(batches):
             counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
             for y, words in zip(batch["y"], batch["words"]):
                 counts[int(y > 0)].update(_features(set(words)))

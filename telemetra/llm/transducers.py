@@ -11,7 +11,7 @@ CLASSES = (OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END)
 # What the composed grammar emits for a match; pairs of (what is said, how it is said).
 EVENTS = ("insult", "targeted insult", "threat", "negated insult", "reported insult", "negated threat", "reported threat")
 # How much a match counts before labels are seen, as a change of the log-odds.
-PRIOR_WEIGHTS = (5.0, 6.0, 5.0, 2.0, 2.0, 1.0, 1.5)
+PRIOR_WEIGHTS = (8.0, 9.0, 8.0, 3.0, 3.0, 2.0, 2.5)
 
 
 @dataclass(frozen=True)
