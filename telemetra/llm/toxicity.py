@@ -26,7 +26,7 @@ from telemetra.llm.transducers import END, EVENTS, INSULT, NEGATION, OTHER, REPO
 MAX_LABELLED = 30_000
 THRESHOLD = 0.7
 # A learned word explains labels if this much more likely than by chance (log-likelihood), and with this precision.
-LEAST_EVIDENCE, LEAST_PRECISION = 12.0, 0.9
+LEAST_EVIDENCE, LEAST_PRECISION = 18.0, 0.9
 # Lengths of word beginnings that are tried beside whole words.
 BEGINNINGS = range(4, 8)
 RIDGE = 0.02
@@ -112,9 +112,9 @@ def _features(words: set[str]) -> set[str]:
 def learn_words(sample: DataFrame) -> list[str]:
     """Words, and beginnings marked by *, that explain the labels.
 
-    Counts come from one reducing pass, in which near copies count once. Among those with enough
-    evidence, the one that covers most positive rows is taken, then the one that covers most of the rest, until
-    nothing more is covered: words that only stand beside insults are left out.
+    Counts come from one reducing pass, in which near copies count once. Those with enough evidence must also have it
+    when only different neighbours count: words that stand beside insults in copied passages keep their neighbours, and are
+    left out. Of a word and its beginnings the one seen most often is taken, the longest of equals.
     """
 
     def per_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,26 +149,29 @@ def learn_words(sample: DataFrame) -> list[str]:
     names = [r["feature"] for r in strong.orderBy(F.desc("pos"), F.length("feature").desc(), "feature").limit(MAX_LABELLED).collect()]
     place = {name: i for i, name in enumerate(names)}
 
-    def positives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [sorted(place[f] for f in _features(set(words)) if f in place) for y, words in zip(batch["y"], batch["words"]) if y > 0]
-            yield pd.DataFrame({"features": found})
-
-    covered_by: dict[int, set[int]] = {}
-    for row, r in enumerate(once.mapInPandas(positives, "features array<int>").toLocalIterator()):
-        for feature in r["features"]:
-            covered_by.setdefault(feature, set()).add(row)
-    chosen = []
-    while covered_by:
-        best = min(covered_by, key=lambda f: (-len(covered_by[f]), f))
-        gain = covered_by.pop(best)
-        if len(gain) * log(1 / base) < LEAST_EVIDENCE and chosen:
-            break
-        chosen.append(names[best])
-        covered_by = {f: rest for f, rows_ in covered_by.items() if (rest := rows_ - gain)}
+    def surroundings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in _parts(batches):
+            found = set()
+            for text, y in zip(batch["text"], batch["y"]):
+                words = ["", *WORD.findall((text or "").lower()), ""] if y > 0 else []
+                for before, word, after in zip(words, words[1:], words[2:]):
+                    found.update((place[f], before, after) for f in _features({word}) if f in place)
+            yield pd.DataFrame(sorted(found), columns=["feature", "before", "after"])
+
+    around = sample.mapInPandas(surroundings, "feature int, before string, after string").distinct().groupBy("feature").count()
+    n_around = {r["feature"]: r["count"] for r in around.collect()}
+    chosen: list[str] = []
+    for i, name in enumerate(names):
+        seen = n_around.get(i, 0)
+        if seen * log(1 / base) >= LEAST_EVIDENCE and not any(_covers(other, name) or _covers(name, other) for other in chosen):
+            chosen.append(name)
     return chosen
 
 
+def _covers(wide: str, narrow: str) -> bool:
+    return wide.endswith("*") and narrow.startswith(wide[:-1])
+
+
 def _events(text: str | None, classes: Classes, machine: transducers.Transducer) -> list[tuple[int, int, int]]:
     """(start, end, event) of every match in a text."""
     if not text or not {INSULT, THREAT} & set(map(classes.__getitem__, WORD.findall(text.lower()))):
