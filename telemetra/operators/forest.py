@@ -22,9 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetra import rules
-from telemetra.operators.copies import bucket_sizes, frequent_keys, n_keyed
 from telemetra.operators.quantile import exact_quantile
-from telemetra.operators.training import assert_enough, is_complete, validate
+from telemetra.operators.training import assert_enough, row_counts, validate
 from telemetra.schemas import FEATURES, FOREST_NODES
 from telemetra.sources.scans import Staged, materialise
 
@@ -104,47 +103,27 @@ class Survey:
 
     n_extracted: int
     n_valid: int
-    copied: list[int]
 
 
 def survey(extracted: dict[str, DataFrame], spec: ForestSpec) -> dict[str, Survey]:
-    """Rows extracted and valid, and the keys of rows with many exact copies, per training set.
+    """Rows extracted and valid per training set, all sets counted in one pass."""
+    named = [rows.select(F.lit(key).alias("model_id"), *spec.features) for key, rows in extracted.items()]
+    counted = row_counts(reduce(DataFrame.unionByName, named), ("model_id",), spec.features).collect()
+    known = {row["model_id"]: Survey(row["n_extracted"], row["n_valid"]) for row in counted}
+    return {key: known.get(key, Survey(0, 0)) for key in extracted}
 
-    All sets are counted in one pass; a second one only happens where there may be such copies.
-    """
-    keyed = reduce(
-        DataFrame.unionByName,
-        [
-            rows.select(F.lit(model_id).alias("model_id"), F.when(is_complete(), _row_key(spec)).alias("key"))
-            for model_id, rows in extracted.items()
-        ],
-    )
-    sizes = bucket_sizes(keyed)
-    copied = frequent_keys(keyed, sizes)
-    return {
-        model_id: Survey(
-            sum(sizes.get(model_id, {}).values()), n_keyed(sizes.get(model_id, {})), copied.get(model_id, [])
-        )
-        for model_id in extracted
-    }
 
-
-def _pool(training: DataFrame, share: float, copied: list[int], spec: ForestSpec) -> DataFrame:
+def _pool(training: DataFrame, share: float, spec: ForestSpec) -> DataFrame:
     """About ``share`` of the rows, numbered among their copies.
 
-    A row is taken or not by its hash. Copies share a hash and would be taken all together or not
-    at all, so numerous ones are counted first, and then their part of the pool is made from one.
+    Rows with the same key and features share a hash and would be taken all together or not at all, so they are
+    counted first, on the map side as well, and each group gives its part of the pool.
     """
-    key = _row_key(spec)
-    single = training.filter(_hash_below(share, key, F.lit(spec.seed))).withColumn("copy", F.lit(0))
-    if not copied:
-        return single
-    chance = F.xxhash64(key, F.lit(spec.seed)) / float(HASH_RANGE) + 0.5
-    grouped = training.filter(key.isin(copied)).groupBy("row_id", *spec.features)
-    taken = grouped.agg(F.count(F.lit(1)).alias("n")).withColumn("taken", F.floor(F.col("n") * share + chance))
-    numbered = taken.filter("taken > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("taken").cast("int"))))
-    columns = ("row_id", *spec.features, "copy")
-    return single.filter(~key.isin(copied)).select(*columns).unionByName(numbered.select(*columns))
+    grouped = training.groupBy("row_id", *spec.features).agg(F.count(F.lit(1)).alias("n"))
+    chance = F.xxhash64(_row_key(spec), F.lit(spec.seed)) / float(HASH_RANGE) + 0.5
+    taken = grouped.withColumn("taken", F.floor(F.col("n") * share + chance)).filter("taken > 0")
+    numbered = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("taken", "n").cast("int"))))
+    return numbered.select("row_id", *spec.features, "copy")
 
 
 def candidates(training: DataFrame, model_id: str, known: Survey, spec: ForestSpec) -> DataFrame:
@@ -154,7 +133,7 @@ def candidates(training: DataFrame, model_id: str, known: Survey, spec: ForestSp
     are considered once per tree.
     """
     pool_rows = POOL_FACTOR * spec.n_trees * spec.max_samples
-    pool = _pool(training, min(1.0, pool_rows / known.n_valid), known.copied, spec)
+    pool = _pool(training, min(1.0, pool_rows / known.n_valid), spec)
     per_tree = pool.select(
         F.lit(model_id).alias("model_id"),
         F.explode(F.sequence(F.lit(0), F.lit(spec.n_trees - 1))).alias("tree_id"),
@@ -168,14 +147,14 @@ def candidates(training: DataFrame, model_id: str, known: Survey, spec: ForestSp
     return per_tree.filter(_hash_below(share, *draw)).withColumn("draw", F.xxhash64(*draw)).drop("key")
 
 
-def samples(drawn: DataFrame, spec: ForestSpec) -> DataFrame:
+def samples(drawn: DataFrame, spec: ForestSpec, n_models: int = 1) -> DataFrame:
     """The rows of every tree: the ``max_samples`` lowest draws.
 
     The number of partitions is given, since adaptive coalescing would put these few rows, and with
     them the growing of all trees, into one task. Window and growing share this one shuffle.
     """
     cores = drawn.sparkSession.sparkContext.defaultParallelism
-    spread = drawn.repartition(min(spec.n_trees, cores), "tree_id")
+    spread = drawn.repartition(max(cores, n_models * min(spec.n_trees, cores)), "model_id", "tree_id")
     lowest = Window.partitionBy("model_id", "tree_id").orderBy("draw", "row_id", "copy")
     return spread.withColumn("place", F.row_number().over(lowest)).filter(F.col("place") <= spec.max_samples)
 
@@ -231,6 +210,18 @@ def _fetch_nodes(nodes: DataFrame, spec: ForestSpec, n_models: int) -> pd.DataFr
     return fetched
 
 
+class IncompleteForest(ValueError):
+    """Trees are missing or were grown on too few rows."""
+
+
+def assert_whole(forest: Forest) -> None:
+    """Every tree has a root over as many rows as scoring assumes."""
+    roots = forest.nodes[forest.nodes["node_id"] == 0]
+    short = int((roots["size"] != forest.sample_size).sum())
+    if len(roots) != forest.spec.n_trees or short:
+        raise IncompleteForest(f"{len(roots)} of {forest.spec.n_trees} trees, {short} of them on other than {forest.sample_size} rows")
+
+
 def _heap_arrays(forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per tree: split feature and threshold of inner nodes, path length of bottom places.
 
@@ -307,14 +298,16 @@ def fit_many(
     """
     known = survey(extracted, spec)
     counts = {key: assert_enough(one.n_extracted, one.n_valid, min_rows) for key, one in known.items()}
-    trainings = {key: validate(rows) for key, rows in extracted.items()}
+    trainings = {key: validate(rows, spec.features) for key, rows in extracted.items()}
     drawn = [candidates(training, key, known[key], spec) for key, training in trainings.items()]
-    grown = grow(samples(reduce(DataFrame.unionByName, drawn), spec), spec)
+    grown = grow(samples(reduce(DataFrame.unionByName, drawn), spec, len(trainings)), spec)
     nodes = _fetch_nodes(grown, spec, len(trainings))
     forests = {
         key: Forest(key, spec, min(spec.max_samples, counts[key]), nodes[nodes["model_id"] == key])
         for key in trainings
     }
+    for forest in forests.values():
+        assert_whole(forest)
     scored = [
         score(training, forests[key]).select(F.lit(key).alias("model_id"), "row_id", "score")
         for key, training in trainings.items()

@@ -60,11 +60,12 @@ def forecast_error(lagged: DataFrame, forecast: Column) -> DataFrame:
 
 
 def forecast_next_hour(readings: DataFrame, train_until: Instant, value: str = "pm2_5") -> DataFrame:
-    """Linear forecast of the next hour, fitted before ``train_until`` and applied from there on.
+    """Linear forecast of the next hour, fitted before ``train_until`` and applied to every hour from there on.
 
-    A missing earlier hour takes the value of the hour after it.
+    ``next_hour`` is NULL where it is still unknown, as after the last hour of each sensor. A missing earlier hour
+    takes the value of the hour after it; an hour without a value has no forecast.
     """
-    lagged = hourly_lags(readings, value).filter(F.col("next_hour").isNotNull())
+    lagged = hourly_lags(readings, value)
     nearest = "current"
     for lag in LAGS:
         lagged = lagged.withColumn(f"lag_{lag}", F.coalesce(f"lag_{lag}", nearest))
@@ -74,17 +75,19 @@ def forecast_next_hour(readings: DataFrame, train_until: Instant, value: str = "
     inputs = ["current", *[f"lag_{lag}" for lag in LAGS], "day_sin", "day_cos"]
     boundary = F.floor(F.unix_seconds(instant(train_until)) / 3600)
     # The next hour of a training row must lie before the boundary as well.
-    training = rows.filter(F.col("hour") + 1 < boundary)
+    known = F.col("next_hour").isNotNull() & F.col("current").isNotNull()
+    training = rows.filter(known & (F.col("hour") + 1 < boundary))
     if training.isEmpty():
         raise NothingToLearn("no pair of consecutive hours before the boundary")
     model = Pipeline(
         stages=[
-            VectorAssembler(inputCols=inputs, outputCol="inputs"),
+            VectorAssembler(inputCols=inputs, outputCol="inputs", handleInvalid="keep"),
             LinearRegression(featuresCol="inputs", labelCol="next_hour", predictionCol="forecast", regParam=0.01),
         ]
     ).fit(training)
+    forecast = F.when(~F.isnan("forecast"), F.col("forecast")).alias("forecast")
     return model.transform(rows.filter(F.col("hour") >= boundary)).select(
-        "sensor_id", "hour", "current", "next_hour", "forecast"
+        "sensor_id", "hour", "current", "next_hour", forecast
     )
 
 
@@ -99,7 +102,7 @@ def sensor_profile(readings: DataFrame) -> DataFrame:
 
 
 def sensor_clusters(readings: DataFrame, k: int = 3, seed: int = SEED) -> DataFrame:
-    """Group sensors of similar pattern; a sensor without a full profile is left out."""
+    """Group sensors of similar pattern; a sensor without a full profile is in no group (NULL)."""
     profile = sensor_profile(readings)
     inputs = [name for name in profile.columns if name not in ("sensor_id", "n_readings")]
     complete = profile.na.drop(subset=inputs)
@@ -110,7 +113,9 @@ def sensor_clusters(readings: DataFrame, k: int = 3, seed: int = SEED) -> DataFr
             KMeans(featuresCol="scaled", predictionCol="cluster", k=k, seed=seed),
         ]
     ).fit(complete)
-    return model.transform(complete).select("sensor_id", "n_readings", "cluster")
+    grouped = model.transform(complete).select(F.col("sensor_id").alias("_sensor"), "cluster")
+    joined = profile.join(grouped, F.col("sensor_id").eqNullSafe(F.col("_sensor")), "left")
+    return joined.select("sensor_id", "n_readings", "cluster")
 
 
 def classify_anomalies(

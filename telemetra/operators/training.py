@@ -17,6 +17,7 @@ EXTRACT_RANGE_SQL = """
 SELECT row_id, pm2_5, pm10, no2, o3, temperature, humidity
 FROM {readings}
 WHERE event_time >= CAST(:start AS TIMESTAMP) AND event_time <= CAST(:end AS TIMESTAMP)
+  AND event_date >= CAST(CAST(:start AS TIMESTAMP) AS DATE) AND event_date <= CAST(CAST(:end AS TIMESTAMP) AS DATE)
   AND pm2_5 IS NOT NULL
 """
 
@@ -44,25 +45,34 @@ def extract_range(readings: DataFrame, start: Instant, end: Instant, row_id: str
 
 
 def extract_range_sql(spark: SparkSession, readings: DataFrame, start: str, end: str) -> DataFrame:
+    """The same by a SQL statement. Its bounds on ``event_date`` let stored readings be pruned; others get the column."""
+    if "event_date" not in readings.columns:
+        readings = readings.withColumn("event_date", F.to_date("event_time"))
     return spark.sql(EXTRACT_RANGE_SQL, args={"start": start, "end": end}, readings=readings)
 
 
-def is_complete() -> Column:
-    """Neither NULL nor NaN in any feature, and humidity in range."""
-    present = [F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double")) for name in FEATURES]
-    return reduce(and_, present) & F.col("humidity").between(*TRAINING_HUMIDITY)
+def is_complete(features: tuple[str, ...] = FEATURES) -> Column:
+    """No feature is NULL, NaN or infinite, and humidity, if it is a feature, is in range."""
 
+    def finite(name: str) -> Column:
+        value = F.col(name).cast("double")
+        return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
 
-def validate(extracted: DataFrame) -> DataFrame:
+    present = [finite(name) for name in features]
+    in_range = [F.col("humidity").between(*TRAINING_HUMIDITY)] if "humidity" in features else []
+    return reduce(and_, present + in_range)
+
+
+def validate(extracted: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
     """The complete rows."""
-    return extracted.filter(is_complete())
+    return extracted.filter(is_complete(features))
 
 
-def row_counts(extracted: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+def row_counts(extracted: DataFrame, by: tuple[str, ...] = (), features: tuple[str, ...] = FEATURES) -> DataFrame:
     """Rows extracted, valid and rejected, in one pass."""
     counts = extracted.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_extracted"),
-        F.count_if(is_complete()).alias("n_valid"),
+        F.count_if(is_complete(features)).alias("n_valid"),
     )
     return counts.withColumn("n_rejected", F.col("n_extracted") - F.col("n_valid"))
 

@@ -112,6 +112,9 @@ MODELS = _struct(
     ("n_rows", LONG),
     ("n_trees", INT),
     ("sample_size", INT),
+    ("max_samples", INT),
+    ("seed", LONG),
+    ("features", STRING),
     ("contamination", DOUBLE),
     ("threshold", DOUBLE),
     ("anomaly_rate", DOUBLE),

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from samples import flat
 from telemetra.functions.times import instant
 from telemetra.operators import evaluate, forest, registry, training
-from telemetra.operators.copies import bucket_sizes, frequent_keys, n_keyed
+from telemetra.operators.evaluate import health_score
 from telemetra.operators.quantile import exact_quantile
 from telemetra.plans.backfill import backfill, model_keys
 from telemetra.queries import fixture
@@ -180,13 +181,13 @@ def test_sample_is_exact_and_drawn_from_a_bounded_pool(spark):
     n = 200_000
     spec = forest.ForestSpec(n_trees=4, max_samples=64)
     df = spark.range(n).select(F.col("id").alias("row_id"), *[F.rand(3).alias(name) for name in FEATURES])
-    drawn = forest.candidates(df, "m", forest.Survey(n, n, []), spec)
+    drawn = forest.candidates(df, "m", forest.Survey(n, n), spec)
     pool = drawn.select("row_id").distinct().count()
     assert pool <= 2 * forest.POOL_FACTOR * 4 * 64
     sizes = forest.samples(drawn, spec).groupBy("tree_id").count().collect()
     assert [row["count"] for row in sizes] == [64] * 4
     plan = forest.grow(forest.samples(drawn, spec), spec)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+    assert plan.count("Exchange") == 2
 
 
 def with_copies(spark, n):
@@ -204,7 +205,7 @@ def test_copies_are_sampled_by_their_share(spark, n):
     spec = forest.ForestSpec(n_trees=10, max_samples=64)
     df = with_copies(spark, n)
     known = forest.survey({"m": df}, spec)["m"]
-    assert (known.n_extracted, known.n_valid, len(known.copied)) == (n, n, 1)
+    assert (known.n_extracted, known.n_valid) == (n, n)
 
     def sampled(rows):
         drawn = forest.samples(forest.candidates(rows, "m", known, spec), spec)
@@ -216,16 +217,46 @@ def test_copies_are_sampled_by_their_share(spark, n):
     assert rows == sampled(df.repartition(7))
 
 
-def test_frequent_keys_misses_none(spark):
-    counts = {1: 3000, 2: 40, 3: 39, **{key: 1 for key in range(10, 10_000)}}
-    n = sum(counts.values())
-    rows = spark.createDataFrame(list(counts.items()), "key BIGINT, times INT")
-    keyed = rows.select(F.lit("m").alias("model_id"), "key", F.explode(F.sequence(F.lit(1), "times")))
-    expected = [key for key, times in counts.items() if times > n / 1000]
-    sizes = bucket_sizes(keyed)
-    assert n_keyed(sizes["m"]) == n and frequent_keys(keyed, sizes) == {"m": expected}
-    unique = spark.range(500).select(F.lit("m").alias("model_id"), F.col("id").alias("key"))
-    assert frequent_keys(unique, bucket_sizes(unique)).get("m", []) == []
+def test_many_groups_of_copies_reach_every_tree(spark):
+    """As many copies of each row as make every group larger than a tree, and none frequent by itself."""
+    spec = forest.ForestSpec(n_trees=10, max_samples=32)
+    copies = with_copies(spark, 300).filter("row_id >= 0").crossJoin(spark.range(100).select(F.lit(1).alias("one"))).drop("one")
+    fitted = forest.fit(copies, "m", spec)
+    nodes = fitted.forest.nodes
+    assert sorted(nodes[nodes["node_id"] == 0]["size"]) == [32] * 10
+    known = forest.survey({"m": copies}, spec)["m"]
+    drawn = forest.samples(forest.candidates(copies, "m", known, spec), spec)
+    assert drawn.select("row_id").distinct().count() > 100
+
+
+def test_missing_trees_are_an_error(spark):
+    rows = flat(spark, [{"pm2_5": float(n)} for n in range(80)]).select("row_id", *FEATURES)
+    whole = forest.fit(rows, "m", SPEC).forest
+    with pytest.raises(forest.IncompleteForest):
+        forest.assert_whole(replace(whole, nodes=whole.nodes[whole.nodes["tree_id"] > 0]))
+
+
+def test_infinite_features_are_incomplete(spark):
+    rows = flat(spark, [{"pm2_5": float(n)} for n in range(80)] + [{"no2": float("inf")}, {"o3": float("-inf")}])
+    assert tuple(training.row_counts(rows).first()) == (82, 80, 2)
+    fitted = forest.fit(rows.select("row_id", *FEATURES), "m", replace(SPEC, max_samples=80))
+    assert fitted.n_rows == 80
+
+
+def test_forest_on_other_features_is_the_same_after_reload(spark, tmp_path):
+    spec = replace(SPEC, features=("temperature", "o3", "pm2_5"))
+    rows = flat(spark, [{"pm2_5": float(n % 17), "o3": float(n % 29), "temperature": float(n % 13)} for n in range(200)])
+    fitted = forest.fit(rows.select("row_id", *spec.features), "other", spec)
+    store = Store(str(tmp_path))
+    store.create(spark)
+    metrics = health_score(forest.with_prediction(fitted.scores, fitted.forest.threshold), spec.contamination)
+    registry.save_model(store, fitted.forest, metrics, F.current_timestamp())
+    again = registry.load_forest(store, spark, "other")
+    assert again.spec == spec
+    before, after = (forest.score(rows, one).select("row_id", "score") for one in (fitted.forest, again))
+    assert before.exceptAll(after).isEmpty()
+    with pytest.raises(registry.UnknownModel):
+        registry.load_forest(store, spark, "none")
 
 
 def test_survey_counts_like_validation(spark, sf_medium):
@@ -233,7 +264,7 @@ def test_survey_counts_like_validation(spark, sf_medium):
     known = forest.survey({"m": extracted, "none": extracted.limit(0)}, SPEC)
     counts = training.row_counts(extracted).first()
     assert (known["m"].n_extracted, known["m"].n_valid) == (counts["n_extracted"], counts["n_valid"])
-    assert known["none"] == forest.Survey(0, 0, [])
+    assert known["none"] == forest.Survey(0, 0)
 
 
 def test_fit_needs_enough_rows(spark):
