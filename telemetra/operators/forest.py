@@ -313,7 +313,11 @@ def fit_many(
         for key, training in trainings.items()
     ]
     stage = materialise(reduce(DataFrame.unionByName, scored), "training-scores")
-    thresholds = exact_quantile(stage.rows, "score", 1 - spec.contamination, "model_id", counts)
+    try:
+        thresholds = exact_quantile(stage.rows, "score", 1 - spec.contamination, "model_id", counts)
+    except Exception:
+        stage.discard()
+        raise
     return {
         key: Fitted(
             replace(forest, threshold=thresholds[key]),

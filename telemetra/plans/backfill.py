@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 from telemetra import rules
 from telemetra.functions.keys import model_key
 from telemetra.functions.times import Instant, instant
-from telemetra.operators.evaluate import assert_healthy, health_score
-from telemetra.operators.forest import Fitted, ForestSpec, fit_many, with_prediction
+from telemetra.operators.evaluate import assert_healthy, health_score, with_pathology
+from telemetra.operators.forest import Fitted, ForestSpec, fit_many, survey, with_prediction
 from telemetra.operators.registry import save_model
-from telemetra.operators.training import extract_range
+from telemetra.operators.training import NotEnoughRows, assert_enough, extract_range
 from telemetra.tables import Store
 
 # Ranges fitted in the same jobs. It bounds the node rows on the driver and the width of the plan.
@@ -71,12 +71,22 @@ def backfill(
         _fit_ranges(readings, dict(list(zip(keys, ranges))[start : start + RANGES_PER_JOB]), min_rows, spec, row_id)
         for start in range(0, len(ranges), RANGES_PER_JOB)
     ]
+    for part in parts:
+        assert_healthy(part.metrics)
     return Backfill(
         {key: fitted for part in parts for key, fitted in part.fitted.items()},
         reduce(DataFrame.unionByName, [part.metrics for part in parts]),
     )
 
 
+class BackfillFailed(RuntimeError):
+    """Some ranges have no model; those of the others are stored."""
+
+    def __init__(self, errors: dict[str, str]):
+        super().__init__("; ".join(f"{key}: {reason}" for key, reason in errors.items()))
+        self.errors = errors
+
+
 def run_backfill(
     spark: SparkSession,
     store: Store,
@@ -85,13 +95,55 @@ def run_backfill(
     min_rows: int = rules.MIN_TRAINING_ROWS,
     spec: ForestSpec = ForestSpec(),
 ) -> DataFrame:
-    """Backfill from the stored readings and keep the models in the registry; returns their metrics."""
-    result = backfill(store.readings.read(spark), ranges, min_rows, spec)
-    for key, fitted in result.fitted.items():
-        metrics = result.metrics.filter(F.col("model_id") == key)
-        save_model(store, fitted.forest, metrics, instant(created_at))
-    result.discard()
-    return result.metrics
+    """Backfill from the stored readings and keep the models in the registry; returns their metrics.
+
+    Some ranges at a time are fitted, evaluated, stored and released, so the driver holds no more than their models, and what
+    is done stays when a later range fails. Repeated ranges count once. Ranges without a model, being empty, too
+    small or pathological, are named by an error once all others are done.
+    """
+    readings = store.readings.read(spark)
+    wanted = list(dict.fromkeys(ranges))
+    by_key = dict(zip(model_keys(spark, wanted), wanted))
+    errors: dict[str, str] = {}
+    done: list[tuple] = []
+    for start in range(0, len(by_key), RANGES_PER_JOB):
+        part = dict(list(by_key.items())[start : start + RANGES_PER_JOB])
+        extracted = {key: extract_range(readings, *bounds) for key, bounds in part.items()}
+        for key, known in survey(extracted, spec).items():
+            try:
+                assert_enough(known.n_extracted, known.n_valid, min_rows)
+            except NotEnoughRows as reason:
+                errors[key] = str(reason)
+                del part[key]
+        if part:
+            done += _fit_and_keep(readings, store, part, created_at, min_rows, spec, errors)
+    if errors:
+        raise BackfillFailed(errors)
+    return spark.createDataFrame(done, METRICS)
+
+
+def _fit_and_keep(
+    readings: DataFrame,
+    store: Store,
+    ranges: dict[str, tuple[str, str]],
+    created_at: Instant,
+    min_rows: int,
+    spec: ForestSpec,
+    errors: dict[str, str],
+) -> list[tuple]:
+    """Fit ranges that have enough rows and store the healthy models; returns the metrics of these."""
+    result = _fit_ranges(readings, ranges, min_rows, spec, "row_id")
+    try:
+        rows = with_pathology(result.metrics).collect()
+        for row in rows:
+            if row["pathological"]:
+                errors[row["model_id"]] = f"pathological model: anomaly rate {row['anomaly_rate']}"
+            else:
+                metrics = result.metrics.filter(F.col("model_id") == row["model_id"])
+                save_model(store, result.fitted[row["model_id"]].forest, metrics, instant(created_at))
+        return [tuple(row[name] for name in METRICS.names) for row in rows if not row["pathological"]]
+    finally:
+        result.discard()
 
 
 def _fit_ranges(
@@ -106,6 +158,4 @@ def _fit_ranges(
     metrics = health_score(reduce(DataFrame.unionByName, predictions), spec.contamination, by=("model_id",))
     # One row per range: computed here, so that they outlast the stored scores.
     rows = [tuple(row) for row in metrics.select(*METRICS.names).collect()]
-    metrics = readings.sparkSession.createDataFrame(rows, METRICS)
-    assert_healthy(metrics)
-    return Backfill(fitted, metrics)
+    return Backfill(fitted, readings.sparkSession.createDataFrame(rows, METRICS))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,11 @@ class Trained:
 
 def run_summary(spark: SparkSession, store: Store, as_of: Instant) -> DataFrame:
     """Summarise the last 24 hours, merge into the summary table, and report the date's rows."""
-    new = daily_summary(store.readings.read(spark), store.anomalies.read(spark), as_of)
     today = F.to_date(instant(as_of))
+    # The window ends at ``as_of``, so it touches two dates, and only their folders are listed.
+    last = spark.range(1).select(today.alias("day")).first()["day"]
+    days = (last - timedelta(days=1), last)
+    new = daily_summary(store.readings.read_dates(spark, *days), store.anomalies.read_dates(spark, *days), as_of)
     store.upsert_summary(new, today)
     summary = store.summary.read(spark)
     assert_unique(summary.filter(F.col("summary_date") == today), SUMMARY_KEYS)
@@ -55,11 +59,13 @@ def run_training(
     extracted = extract_recent(store.readings.read(spark), as_of)
     fitted = fit(extracted, model_id, spec)
     forest = fitted.forest
-    metrics = health_score(with_prediction(fitted.scores, forest.threshold), spec.contamination)
+    with fitted.stage:
+        measured = health_score(with_prediction(fitted.scores, forest.threshold), spec.contamination)
+        # One row, which the decision and the registry both use.
+        metrics = spark.createDataFrame(measured.collect(), measured.schema)
     models, promotions = store.models.read(spark), store.promotions.read(spark)
     outcome = registry.promotion_decision(metrics, models, promotions).first()
     registry.save_model(store, forest, metrics, instant(as_of))
     if outcome["decision"] == registry.PROMOTE:
         registry.promote(store, model_id, instant(as_of), spark)
-    fitted.stage.discard()
     return Trained(forest, outcome["health_score"], outcome["decision"])

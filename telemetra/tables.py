@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from telemetra import schemas
 from telemetra.operators.upsert import upsert
-from telemetra.sources.scans import materialise
+from telemetra.sources.scans import exists, materialise
 
 
 @dataclass(frozen=True)
@@ -28,6 +29,16 @@ class Table:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(self.schema).parquet(self.path)
 
+    def read_dates(self, spark: SparkSession, first: date, last: date) -> DataFrame:
+        """The rows of some dates, without listing the folders of any other. The table is partitioned by date first."""
+        by = self.partitions[0]
+        days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
+        folders = [f"{self.path}/{by}={day.isoformat()}" for day in days]
+        there = [folder for folder in folders if exists(spark, folder)]
+        if not there:
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).option("basePath", self.path).parquet(*there)
+
     def replace_partitions(self, df: DataFrame) -> None:
         """Write rows, replacing exactly the partitions they belong to."""
         (
@@ -44,10 +55,15 @@ class Table:
         ``touched`` selects the partitions that ``new`` falls into; only these are read and
         rewritten. The new rows are computed once, since the merge uses them twice.
         """
-        staged = materialise(new.select(*self.schema.names), f"upsert-{self.name}")
-        old = self.read(new.sparkSession).filter(touched)
-        self.replace_partitions(upsert(old, staged.rows, keys))
-        staged.discard()
+        with materialise(new.select(*self.schema.names), f"upsert-{self.name}") as staged:
+            old = self.read(new.sparkSession).filter(touched)
+            merged = materialise(upsert(old, staged.rows, keys), f"merged-{self.name}")
+        # The merged rows are complete before the table is touched. Should the exchange of folders be cut short, they stay.
+        try:
+            self.replace_partitions(merged.rows)
+        except Exception as error:
+            raise RuntimeError(f"{self.name} may lack rows; the whole partition is in {merged.path}") from error
+        merged.discard()
 
     def register(self, spark: SparkSession) -> None:
         """Make the table known to SQL under its name."""

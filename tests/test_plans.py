@@ -1,15 +1,19 @@
 from __future__ import annotations
 
+from datetime import date
+
 import pytest
+from pyspark.sql import functions as F
 
 from telemetra.__main__ import main
 from telemetra.functions.times import instant
 from telemetra.operators import registry
 from telemetra.operators.forest import ForestSpec, predict
+from telemetra.plans.backfill import BackfillFailed, model_keys, run_backfill
 from telemetra.plans.daily import NotReady, run_summary, run_training
 from telemetra.queries import fixture
 from telemetra.streaming.etl import file_sinks, run_etl
-from telemetra.tables import Store
+from telemetra.tables import Store, Table
 
 AS_OF = "2024-01-15 00:00:00"
 
@@ -77,3 +81,52 @@ def test_command_line_wants_one_source(capsys):
     with pytest.raises(SystemExit):
         main(["ingest", "--root", "r", "--checkpoint", "c"])
     assert "--servers" in capsys.readouterr().err
+
+
+def test_backfill_keeps_good_ranges_and_names_bad_ones(spark, tmp_path, sf_medium):
+    store = Store(str(tmp_path / "tables"))
+    store.create(spark)
+    readings = fixture.readings(spark, sf_medium).withColumn("event_date", F.to_date("event_time"))
+    rows = readings.withColumn("batch_id", F.lit(0)).withColumn("heat_index", F.lit(0.0))
+    for field in store.readings.schema:
+        if field.name not in rows.columns:
+            rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
+    store.readings.replace_partitions(rows)
+    good, empty = ("2024-01-01 00:00:00", "2024-01-10 23:59:59"), ("2030-01-01 00:00:00", "2030-01-02 00:00:00")
+    with pytest.raises(BackfillFailed) as failed:
+        run_backfill(spark, store, [good, empty, good], "2024-02-01 00:00:00")
+    assert len(failed.value.errors) == 1 and "2030" in next(iter(failed.value.errors))
+    assert [row["model_id"] for row in store.models.read(spark).collect()] == model_keys(spark, [good])
+
+
+def test_reading_dates_lists_only_their_folders(spark, tmp_path):
+    store = Store(str(tmp_path / "dated"))
+    store.create(spark)
+    table = store.summary
+    days = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-01-09')) AS summary_date")
+    for field in table.schema:
+        if field.name != "summary_date":
+            days = days.withColumn(field.name, F.lit(None).cast(field.dataType))
+    table.replace_partitions(days)
+    few = table.read_dates(spark, date(2024, 1, 3), date(2024, 1, 4))
+    assert len(few.inputFiles()) == 2 and few.schema == table.read(spark).schema
+    assert table.read_dates(spark, date(2025, 1, 1), date(2025, 1, 2)).count() == 0
+
+
+def test_upsert_that_is_cut_short_keeps_the_merged_rows(spark, tmp_path, monkeypatch):
+    table = Store(str(tmp_path / "cut")).summary
+    row = spark.createDataFrame([(date(2024, 1, 1), "a")], "summary_date DATE, sensor_id STRING")
+    for field in table.schema:
+        if field.name not in row.columns:
+            row = row.withColumn(field.name, F.lit(None).cast(field.dataType))
+    table.replace_partitions(row)
+
+    def broken(self, df):
+        raise OSError("no space")
+
+    monkeypatch.setattr(Table, "replace_partitions", broken)
+    with pytest.raises(RuntimeError, match="whole partition is in") as failed:
+        table.upsert(row.withColumn("sensor_id", F.lit("b")), ("summary_date", "sensor_id"), F.lit(True))
+    path = str(failed.value).rsplit(" ", 1)[1]
+    assert {r["sensor_id"] for r in spark.read.parquet(path).collect()} == {"a", "b"}
+    assert table.read(spark).count() == 1
