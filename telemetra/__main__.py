@@ -8,27 +8,34 @@ from pyspark.sql import SparkSession
 
 from telemetra import rules
 from telemetra.operators.forest import ForestSpec
+from telemetra.operators.registry import current_model, load_forest
 from telemetra.plans.backfill import run_backfill
 from telemetra.plans.daily import run_summary, run_training
 from telemetra.session import configure
 from telemetra.sinks.batches import kafka_sink, kafka_sink_options
 from telemetra.sources.messages import ANOMALY_TOPIC, PROCESSED_TOPIC, kafka_source_options, read_message_stream
 from telemetra.streaming.etl import anomaly_messages, await_any, file_sinks, processed_messages, run_etl
+from telemetra.streaming.scoring import score_messages
 from telemetra.tables import Store
 
 
+# Most messages, or message files, of a micro-batch unless told otherwise.
+KAFKA_BATCH, FILE_BATCH = 20_000_000, 1_000
+
+
 def ingest(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
     """Streaming ETL from Kafka, back to Kafka and into the tables; or from message files."""
     trigger = {"processingTime": args.every} if args.every else None
     sinks = file_sinks(store, args.messages, rebalance=True)
     if args.servers:
-        stream = read_message_stream(spark, **kafka_source_options(args.servers))
+        limit = {"maxOffsetsPerTrigger": str(args.batch_limit or KAFKA_BATCH)}
+        stream = read_message_stream(spark, **kafka_source_options(args.servers), **limit)
         sinks += [
             kafka_sink(kafka_sink_options(args.servers, PROCESSED_TOPIC), processed_messages),
             kafka_sink(kafka_sink_options(args.servers, ANOMALY_TOPIC), anomaly_messages),
         ]
     else:
-        stream = read_message_stream(spark, "parquet", args.path)
+        stream = read_message_stream(spark, "parquet", args.path, maxFilesPerTrigger=str(args.batch_limit or FILE_BATCH))
     query = run_etl(stream, sinks, args.checkpoint, trigger)
     if args.every:
         await_any(spark)
@@ -51,6 +58,17 @@ def backfill(spark: SparkSession, store: Store, args: argparse.Namespace) -> Non
     run_backfill(spark, store, ranges, args.as_of, args.min_rows, spec).show(truncate=False)
 
 
+def score(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
+    """Score message files by the model in production; rows go to a folder."""
+    current = current_model(store.models.read(spark), store.promotions.read(spark)).first()
+    if current is None:
+        raise SystemExit("no model has been promoted yet")
+    stream = read_message_stream(spark, "parquet", args.path, maxFilesPerTrigger=str(FILE_BATCH))
+    scored = score_messages(stream, load_forest(store, spark, current["model_id"]))
+    writer = scored.writeStream.format("parquet").option("checkpointLocation", args.checkpoint)
+    writer.trigger(availableNow=True).start(args.to).awaitTermination()
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="telemetra")
     jobs = top.add_subparsers(required=True)
@@ -67,9 +85,11 @@ def parser() -> argparse.ArgumentParser:
     one_of.add_argument("--servers", help="Kafka bootstrap servers")
     one_of.add_argument("--path", help="folder of message files")
     source.add_argument("--messages", help="folder for outgoing message files")
+    source.add_argument("--batch-limit", type=int, help="most messages, or files, of a micro-batch")
     source.add_argument("--every", help="trigger interval, as '1 minute'; without it, stop when all is read")
     job(summary, "--as-of")
     job(train, "--as-of", "--model-id")
+    job(score, "--path", "--checkpoint", "--to")
     past = job(backfill, "--as-of")
     past.add_argument("--start", action="append", required=True, help="repeatable, with as many --end")
     past.add_argument("--end", action="append", required=True)

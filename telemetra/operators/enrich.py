@@ -9,6 +9,7 @@ from telemetra.functions.air import aqi_category, anomaly_reason, fields_of, hea
 from telemetra.functions.times import event_time
 from telemetra.schemas import ANOMALIES, READINGS
 
+# Fields of the outgoing messages, which consumers know by these names.
 PROCESSED_FIELDS = (
     "sensor_id",
     "timestamp",

@@ -1,4 +1,7 @@
-"""Declared schemas. Nothing in the engine infers a schema."""
+"""Declared schemas. Nothing in the engine infers a schema.
+
+Fixed values: names, types and order of message fields and table columns are the wire and storage formats.
+"""
 
 from __future__ import annotations
 

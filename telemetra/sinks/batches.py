@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetra.sources.messages import ANOMALY_TOPIC, PROCESSED_TOPIC
@@ -66,13 +66,37 @@ def jdbc_sink_options(url: str, table: str, batch_size: int = 10_000, connection
     return {"url": url, "dbtable": table, "batchsize": str(batch_size), "numPartitions": str(connections)}
 
 
+def delete_statement(table: str) -> str:
+    """Removes the rows of one batch."""
+    return f"DELETE FROM {table} WHERE batch_id = ?"
+
+
+def delete_batch(spark: SparkSession, options: dict[str, str], batch_id: int, **credentials: str) -> None:
+    """Delete a batch's rows over one connection of the driver."""
+    jvm = spark._jvm
+    if "driver" in credentials:
+        jvm.java.lang.Class.forName(credentials["driver"])
+    properties = jvm.java.util.Properties()
+    for name, value in credentials.items():
+        properties.setProperty(name, value)
+    connection = jvm.java.sql.DriverManager.getConnection(options["url"], properties)
+    try:
+        statement = connection.prepareStatement(delete_statement(options["dbtable"]))
+        statement.setLong(1, batch_id)
+        statement.executeUpdate()
+    finally:
+        connection.close()
+
+
 def jdbc_sink(options: dict[str, str], shape: Shape, **credentials: str) -> Sink:
-    """Append rows over JDBC; user, password and driver class are given by the caller.
+    """Write rows over JDBC; user, password and driver class are given by the caller.
 
-    Rows carry row_id and batch_id, so that a replay, which appends again, can be told apart.
+    Rows carry row_id and batch_id. The rows of a batch are deleted before it is written, so a replay replaces what an
+    earlier try has left.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        delete_batch(batch.sparkSession, options, batch_id, **credentials)
         rows = shape(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         rows.write.format("jdbc").mode("append").options(**options, **credentials).save()
 

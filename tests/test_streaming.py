@@ -136,7 +136,13 @@ def test_outside_sinks_send_what_they_should(spark):
     sent.write.format.assert_called_once_with("kafka")
     assert sent.write.format().options.call_args.kwargs["topic"] == "anomalies"
     stored = MagicMock()
-    jdbc_sink(jdbc_sink_options("jdbc:x", "sensor_readings"), lambda batch: stored, user="u")(None, 3)
+    session = MagicMock()
+    connection = session._jvm.java.sql.DriverManager.getConnection.return_value
+    batch = MagicMock(sparkSession=session)
+    jdbc_sink(jdbc_sink_options("jdbc:x", "sensor_readings"), lambda batch: stored, user="u")(batch, 3)
+    connection.prepareStatement.assert_called_once_with("DELETE FROM sensor_readings WHERE batch_id = ?")
+    connection.prepareStatement().setLong.assert_called_once_with(1, 3)
+    connection.close.assert_called_once()
     assert stored.withColumn.call_args.args[0] == "batch_id"
     writer = stored.withColumn().write
     writer.format.assert_called_once_with("jdbc")
