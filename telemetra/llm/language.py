@@ -29,9 +29,10 @@ UNKNOWN, ADDED = 1e-7, 0.01
 # Longest piece that is looked up, and the length in which longer runs of letters are cut, as of a script without spaces.
 LONGEST_PIECE, LONGEST_WORD = 12, 48
 # Words that a task remembers, words that are scored together, and characters of texts that are split together.
-MAX_WORDS, TOGETHER, SLICE = 250_000, 8_192, 2_000_000
+MAX_WORDS, TOGETHER, SLICE = 200_000, 8_192, 1_000_000
 WORD = re.compile(r"[^\W\d_]+")
 START = "▁"
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 UNDETERMINED = "und"
 
 
@@ -56,20 +57,45 @@ def pieces_of(path: str) -> dict[str, int]:
 def words_of(text: str | None) -> list[str]:
     """Words, each with a mark in front; parts of very long ones have the mark at the first part only."""
     found = [START + word for word in WORD.findall((text or "").lower())]
-    if any(len(word) > LONGEST_WORD for word in found):
+    if max(map(len, found), default=0) > LONGEST_WORD:
         found = [word[i : i + LONGEST_WORD] for word in found for i in range(0, len(word), LONGEST_WORD)]
     return found
 
 
-def _lattice(words: list[str], pieces: dict[str, int]) -> np.ndarray:
-    """Piece numbers by word, start and length less one, for words of one length; a lone letter is always some piece."""
-    length, get, unknown = len(words[0]), pieces.get, len(pieces) + 1
-    widest = min(LONGEST_PIECE, length)
-    rows = [
-        [get(word[i : i + n], unknown if n == 1 else 0) if i + n <= length else 0 for i in range(length) for n in range(1, widest + 1)]
-        for word in words
-    ]
-    return np.array(rows, dtype=np.int32).reshape(len(words), length, widest)
+class Pieces:
+    """Finds pieces by a 64-bit hash of their letters, for all substrings of one length at a time."""
+
+    def __init__(self, pieces: dict[str, int]) -> None:
+        self.unknown = len(pieces) + 1
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in {len(piece) for piece in pieces}:
+            same = [piece for piece in pieces if len(piece) == size]
+            keys = np.zeros(len(same), dtype=np.uint64)
+            for code in _codes(same).T:
+                keys = keys * FACTOR + code
+            order = np.argsort(keys)
+            self.by_size[size] = keys[order], np.array([pieces[piece] for piece in same], dtype=np.int32)[order]
+
+    def lattice(self, words: list[str]) -> np.ndarray:
+        """Piece numbers by word, start and length less one, for words of one length; a lone letter is always some piece."""
+        codes = _codes(words)
+        n, length = codes.shape
+        result = np.zeros((n, length, min(LONGEST_PIECE, length)), dtype=np.int32)
+        keys = np.zeros((n, length), dtype=np.uint64)
+        for size in range(1, result.shape[2] + 1):
+            keys = keys[:, : length - size + 1] * FACTOR + codes[:, size - 1 :]
+            found = np.zeros(keys.shape, dtype=np.int32)
+            if size in self.by_size:
+                known, numbers = self.by_size[size]
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                found = np.where(known[at] == keys, numbers[at], 0)
+            result[:, : keys.shape[1], size - 1] = np.where((found == 0) & (size == 1), self.unknown, found)
+        return result
+
+
+def _codes(words: list[str]) -> np.ndarray:
+    """Code points of words of one length, a row for each."""
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(words), -1).astype(np.uint64)
 
 
 def _by_length(words: list[str]) -> Iterator[np.ndarray]:
@@ -105,11 +131,12 @@ def _backward(probability: np.ndarray) -> np.ndarray:
     return total
 
 
-def word_scores(words: list[str], model: Model) -> np.ndarray:
+def word_scores(words: list[str], model: Model, pieces: Pieces | None = None) -> np.ndarray:
     """Log-probability of each word in each language."""
+    pieces = pieces or Pieces(model.pieces)
     scores = np.zeros((len(words), len(model.languages)))
     for same in _by_length(words) if words else ():
-        lattice = _lattice([words[i] for i in same], model.pieces)
+        lattice = pieces.lattice([words[i] for i in same])
         scores[same] = np.log(np.maximum(_forward(model.probability[lattice])[:, -1], 1e-300))
     return scores
 
@@ -143,13 +170,14 @@ def _expected(spark: SparkSession, counts: DataFrame, model: Model) -> np.ndarra
 
     def expect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
+        pieces = Pieces(model.pieces)
         column = {lang: i for i, lang in enumerate(model.languages)}
         for batch in batches:
             uses = np.zeros(n_rows * len(model.languages))
             words, times = batch["word"].tolist(), batch["n"].to_numpy(dtype=float)
             langs = batch["lang"].map(column).to_numpy()
             for same in _by_length(words) if words else ():
-                lattice = _lattice([words[i] for i in same], model.pieces)
+                lattice = pieces.lattice([words[i] for i in same])
                 p = model.probability[lattice, langs[same][:, None, None]][..., None]
                 forward, backward = _forward(p)[..., 0], _backward(p)[..., 0]
                 p = p[..., 0]
@@ -197,7 +225,7 @@ class WordTable:
     """Scores of words, remembered up to a bound."""
 
     def __init__(self, model: Model) -> None:
-        self.model = model
+        self.model, self.pieces = model, Pieces(model.pieces)
         self.forget()
 
     def forget(self) -> None:
@@ -209,7 +237,7 @@ class WordTable:
         if len(self.place) + len(new) > MAX_WORDS:
             self.forget()
             new = sorted(words)
-        self.scores = np.concatenate((self.scores, word_scores(new, self.model)))
+        self.scores = np.concatenate((self.scores, word_scores(new, self.model, self.pieces)))
         self.place.update(zip(new, range(len(self.place), len(self.scores))))
 
     def total(self, words: list[str]) -> np.ndarray:
