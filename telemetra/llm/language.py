@@ -159,7 +159,9 @@ def _labelled_words(docs: DataFrame, folds: int, held_out: int, bound: int) -> D
                 seen.update((lang, word) for word in words_of(text))
             yield pd.DataFrame([(lang, word, n) for (lang, word), n in seen.items()], columns=["lang", "word", "n"])
 
-    texts = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text")
+    texts = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    # An id of many rows counts once for each language.
+    texts = texts.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
     return texts.mapInPandas(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 

@@ -91,7 +91,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out
     """
     known = labels.filter(F.col("toxic").isNotNull() & (fold("doc_id", folds) != held_out)).select("doc_id", F.col("toxic").cast("int").alias("y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(bound)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # An id of many rows counts once for each label.
+    return texts.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("text", "y")
 
 
 def _content_key(words: list[str]) -> int:
