@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 WINDOW, TOP_BITS = 32, 8
 # Shared chunks that are encoded once for all tasks: at most so many, of at most so many characters.
 MAX_SHARED, MAX_SHARED_CHARS = 16_384, 4_096
-# Words that a task remembers.
-MAX_WORDS = 150_000
+# Words that a task remembers, half of them at least being the ones used last.
+MAX_WORDS = 300_000
 # Characters that are hashed at a time.
 SEGMENT = 1 << 20
 # White space at which texts can be cut: the tokenizer takes it as white space and keeps no part of it.
@@ -110,14 +110,15 @@ class Encoder:
         self.mark, self.parting = special[0] if special else (None, None)
         self.shared = shared or {}
         self.words: dict[str, Tokens] = {}
+        self.older: dict[str, Tokens] = {}
 
     def learn(self, words: set[str]) -> None:
         """Encode words that are not remembered, all in one call."""
         new = [word for word in words if word not in self.words]
-        if len(self.words) + len(new) > MAX_WORDS:
-            self.words.clear()
-            new = list(words)
-        for word, ids in self._encoded(new):
+        if len(self.words) + len(new) > MAX_WORDS // 2:
+            self.older, self.words, new = self.words, {}, list(words)
+        self.words.update([(word, self.older[word]) for word in new if word in self.older])
+        for word, ids in self._encoded([word for word in new if word not in self.older]):
             self.words[word] = Tokens(len(ids), " ".join([self.ids[i] for i in ids]), " ".join([self.texts[i] for i in ids]))
 
     def _encoded(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:

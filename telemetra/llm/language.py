@@ -235,7 +235,7 @@ class WordTable:
         self.scores = np.zeros((0, len(self.model.languages)))
 
     def learn(self, words: set[str]) -> None:
-        new = sorted(words - self.place.keys())
+        new = sorted(word for word in words if word not in self.place)
         if len(self.place) + len(new) > MAX_WORDS:
             self.forget()
             new = sorted(words)
