@@ -40,12 +40,15 @@ _GEAR = np.random.default_rng(20240607).integers(0, 2**32, 65_536, dtype=np.uint
 
 
 class Tokens(NamedTuple):
-    """Tokens of a piece of text: their number, their ids joined by spaces, and their decoded text."""
+    """Tokens of a piece of text: their ids joined by spaces, and their decoded text."""
 
-    n: int
     ids: str
     text: str
 
+    @property
+    def n(self) -> int:
+        return self.ids.count(" ") + 1 if self.ids else 0
+
 
 class Chunk(NamedTuple):
     """A chunk's tokens between its white spaces, and the word parts before and after. Without white space all is head."""
@@ -55,7 +58,7 @@ class Chunk(NamedTuple):
     tail: str
 
 
-NO_TOKENS = Tokens(0, "", "")
+NO_TOKENS = Tokens("", "")
 
 
 def plain(text: str) -> str:
@@ -103,43 +106,53 @@ class Encoder:
         self.tokenizer.no_padding()
         if self.tokenizer.decoder is not None:
             raise ValueError("tokens of this vocabulary can't be decoded word by word")
+        special = [(i, token.content) for i, token in self.tokenizer.get_added_tokens_decoder().items() if token.special and not token.normalized]
+        self.mark, self.parting = special[0] if special else (None, None)
         size = self.tokenizer.get_vocab_size()
         self.ids = [str(i) for i in range(size)]
         self.texts = [self.tokenizer.decode([i], skip_special_tokens=False) for i in range(size)]
-        special = [(i, token.content) for i, token in self.tokenizer.get_added_tokens_decoder().items() if token.special and not token.normalized]
-        self.mark, self.parting = special[0] if special else (None, None)
+        if self.mark is not None:
+            # No token's text has a line feed, so this parts words in joined tokens as well.
+            self.ids[self.mark] = self.texts[self.mark] = "\n"
         self.shared = shared or {}
-        self.words: dict[str, Tokens] = {}
-        self.older: dict[str, Tokens] = {}
+        # What ``Tokens`` has, for each word; the words used last, and those before them.
+        self.word_ids: dict[str, str] = {}
+        self.word_texts: dict[str, str] = {}
+        self.older: tuple[dict[str, str], dict[str, str]] = ({}, {})
+        # Words without tokens, which leave no space.
+        self.any_empty = False
 
     def learn(self, words: set[str]) -> None:
         """Encode words that are not remembered, all in one call."""
-        new = [word for word in words if word not in self.words]
-        if len(self.words) + len(new) > MAX_WORDS // 2:
-            self.older, self.words, new = self.words, {}, list(words)
-        self.words.update([(word, self.older[word]) for word in new if word in self.older])
-        for word, ids in self._encoded([word for word in new if word not in self.older]):
-            self.words[word] = Tokens(len(ids), " ".join([self.ids[i] for i in ids]), " ".join([self.texts[i] for i in ids]))
-
-    def _encoded(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
-        """Words with their ids. Most are encoded in one text, parted by a special token, which is faster than one by one."""
+        new = [word for word in words if word not in self.word_ids]
+        if len(self.word_ids) + len(new) > MAX_WORDS // 2:
+            self.older, self.word_ids, self.word_texts, new = (self.word_ids, self.word_texts), {}, {}, list(words)
+        ids, texts = self.older
+        again = [word for word in new if word in ids]
+        self.word_ids.update(zip(again, map(ids.__getitem__, again)))
+        self.word_texts.update(zip(again, map(texts.__getitem__, again)))
+        self._encode_words([word for word in new if word not in ids])
+
+    def _encode_words(self, words: list[str]) -> None:
+        """Most words are encoded in one text, parted by a special token, which is faster than one by one."""
         apart = [word for word in words if self.mark is None or "<|" in word]
-        for word, encoding in zip(apart, self.tokenizer.encode_batch_fast(apart, add_special_tokens=False)):
-            yield word, encoding.ids
+        for word, encoding in zip(apart, self.tokenizer.encode_batch_fast(apart, add_special_tokens=False) if apart else ()):
+            self.word_ids[word] = " ".join(map(str, encoding.ids))
+            self.word_texts[word] = self.tokenizer.decode(encoding.ids, skip_special_tokens=False)
+            self.any_empty |= not encoding.ids
         rest = [word for word in words if not (self.mark is None or "<|" in word)]
         if rest:
             ids = self.tokenizer.encode_batch_fast([self.parting.join(rest)], add_special_tokens=False)[0].ids
-            begin = 0
-            for word in rest[:-1]:
-                end = ids.index(self.mark, begin)
-                yield word, ids[begin:end]
-                begin = end + 1
-            yield rest[-1], ids[begin:]
+            for known, names in ((self.word_ids, self.ids), (self.word_texts, self.texts)):
+                parted = [part.strip(" ") for part in " ".join([names[i] for i in ids]).split("\n")]
+                known.update(zip(rest, parted, strict=True))
+            self.any_empty |= "" in parted
 
     def join(self, words: list[str]) -> Tokens:
         """Tokens of words that are remembered, in order."""
-        known = [tokens for tokens in map(self.words.__getitem__, words) if tokens.n]
-        return Tokens(sum([t.n for t in known]), " ".join([t.ids for t in known]), " ".join([t.text for t in known]))
+        if self.any_empty:
+            words = [word for word in words if self.word_ids[word]]
+        return Tokens(" ".join(map(self.word_ids.__getitem__, words)), " ".join(map(self.word_texts.__getitem__, words)))
 
     def chunk(self, chunk: str) -> Chunk:
         """The tokens of a chunk that stands alone."""
@@ -174,8 +187,8 @@ class Encoder:
             pieces.append([border])
         self.learn({word for words in pieces if isinstance(words, list) for word in words})
         parts = [self.join(part) if isinstance(part, list) else part for part in pieces]
-        parts = [part for part in parts if part.n]
-        return Tokens(sum([p.n for p in parts]), " ".join([p.ids for p in parts]), " ".join([p.text for p in parts]))
+        parts = [part for part in parts if part.ids]
+        return Tokens(" ".join([p.ids for p in parts]), " ".join([p.text for p in parts]))
 
 
 def _parted(chunk: str) -> tuple[str, list[str], str] | None:
@@ -225,16 +238,15 @@ def shared_chunks(docs: DataFrame, path: str, bound: int = MAX_SHARED, text_colu
         encoder = Encoder(path)
         for batch in batches:
             rows = [(chunk, *_flat(encoder.chunk(chunk))) for chunk in batch["chunk"]]
-            yield pd.DataFrame(rows, columns=["chunk", "head", "tail", "n", "ids", "decoded"])
+            yield pd.DataFrame(rows, columns=["chunk", "head", "tail", "ids", "decoded"])
 
     distinct = texts.mapInPandas(fetch, "key long, chunk string").groupBy("key").agg(F.min("chunk").alias("chunk"))
-    encoded = distinct.mapInPandas(encode, "chunk string, head string, tail string, n int, ids string, decoded string")
-    return {r["chunk"]: Chunk(r["head"], None if r["n"] < 0 else Tokens(r["n"], r["ids"], r["decoded"]), r["tail"]) for r in encoded.toLocalIterator()}
+    encoded = distinct.mapInPandas(encode, "chunk string, head string, tail string, ids string, decoded string")
+    return {r["chunk"]: Chunk(r["head"], None if r["ids"] is None else Tokens(r["ids"], r["decoded"]), r["tail"]) for r in encoded.toLocalIterator()}
 
 
-def _flat(chunk: Chunk) -> tuple[str, str, int, str, str]:
-    inner = chunk.inner or Tokens(-1, "", "")
-    return chunk.head, chunk.tail, inner.n, inner.ids, inner.text
+def _flat(chunk: Chunk) -> tuple[str, str, str | None, str | None]:
+    return chunk.head, chunk.tail, *(chunk.inner or (None, None))
 
 
 def encoded(
