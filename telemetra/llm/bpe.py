@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 # The hash looks at this many characters; a chunk ends where its top bits are zero, on average after 256.
 WINDOW, TOP_BITS = 32, 8
 # Shared chunks that are encoded once for all tasks: at most so many, of at most so many characters.
-MAX_SHARED, MAX_SHARED_CHARS = 16_384, 4_096
+MAX_SHARED, MAX_SHARED_CHARS = 16_384, 2_048
 # Words that a task remembers, half of them at least being the ones used last.
 MAX_WORDS = 300_000
 # Characters that are hashed at a time.
@@ -242,7 +242,7 @@ def shared_chunks(docs: DataFrame, path: str, bound: int = MAX_SHARED, text_colu
 
     distinct = texts.mapInPandas(fetch, "key long, chunk string").groupBy("key").agg(F.min("chunk").alias("chunk"))
     encoded = distinct.mapInPandas(encode, "chunk string, head string, tail string, ids string, decoded string")
-    return {r["chunk"]: Chunk(r["head"], None if r["ids"] is None else Tokens(r["ids"], r["decoded"]), r["tail"]) for r in encoded.toLocalIterator()}
+    return {r["chunk"]: Chunk(r["head"], None if r["ids"] is None else Tokens(r["ids"], r["decoded"]), r["tail"]) for r in encoded.collect()}
 
 
 def _flat(chunk: Chunk) -> tuple[str, str, str | None, str | None]:
