@@ -27,7 +27,9 @@ WINDOW, TOP_BITS = 32, 8
 # Shared chunks that are encoded once for all tasks: at most so many, of at most so many characters.
 MAX_SHARED, MAX_SHARED_CHARS = 16_384, 2_048
 # Words that a task remembers, half of them at least being the ones used last.
-MAX_WORDS = 300_000
+MAX_WORDS = 150_000
+# Texts whose tokens are returned together.
+TOGETHER = 512
 # Characters that are hashed at a time.
 SEGMENT = 1 << 20
 # White space at which texts can be cut: the tokenizer takes it as white space and keeps no part of it.
@@ -271,7 +273,9 @@ def encoded(
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(path, shared.value)
         for texts in batches:
-            yield pd.DataFrame([last(encoder.encode(text)) for text in texts], columns=names)
+            for begin in range(0, len(texts), TOGETHER):
+                part = texts.iloc[begin : begin + TOGETHER]
+                yield pd.DataFrame([last(encoder.encode(text)) for text in part], columns=names)
 
     return docs.withColumn(to, tokens(F.col(text_column)))
 
