@@ -54,9 +54,9 @@ def components(links: DataFrame) -> Staged:
         with_now = _star(now, larger=True)
         now.discard()
         after = _star(with_now, larger=False)
-        # A forest of stars is what both steps leave as it is: every node links to a root without links of its own.
+        # A forest of stars is what both steps leave as it is: every node links to one root only, which has no links of its own.
         inner = after.rows.select(F.col("b").alias("a")).distinct()
-        settled = after.rows.join(inner, "a", "left_semi").isEmpty()
+        settled = after.rows.join(inner, "a", "left_semi").isEmpty() and after.rows.groupBy("a").count().filter("count > 1").isEmpty()
         with_now.discard()
         now = after
         if settled:

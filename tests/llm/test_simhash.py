@@ -87,6 +87,21 @@ def test_long_paths_and_stars(spark):
     assert found == {i: 0 for i in range(1, 301)} | {1000 + i: 1000 for i in range(1, 200)} | {-3: -9}
 
 
+@pytest.mark.parametrize("labels", [[1, 3, 2, 4, 0], [3, 1, 4, 2, 5, 0, 7, 6], [2, 6, 0, 7, 1, 5, 3, 4], [5, 1, 6, 2, 7, 0, 4, 3]])
+def test_a_node_has_one_root_whatever_the_labels(spark, labels):
+    found = components(spark.createDataFrame(list(zip(labels, labels[1:])), "a long, b long")).rows.collect()
+    assert sorted((r.node, r.root) for r in found) == [(node, 0) for node in range(1, len(labels))]
+
+
+def test_random_trees_have_one_root(spark):
+    draw = random.Random(11)
+    for _ in range(4):
+        labels = draw.sample(range(8), 8)
+        tree = [(label, labels[draw.randrange(i)]) for i, label in enumerate(labels) if i]
+        found = components(spark.createDataFrame(tree, "a long, b long")).rows.collect()
+        assert sorted((r.node, r.root) for r in found) == [(node, 0) for node in range(1, 8)]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).collect() == []
