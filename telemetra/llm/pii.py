@@ -40,16 +40,17 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-# Generators: what may be personal, by kind. Words in front are part of the context, not of the span.
+# Generators: what may be personal, by kind. Words in front are part of the context, not of the span. Repeats without an
+# upper length start where a run does, so that they take linear time.
 GENERATORS = {
-    "email": re.compile(r"(?<![\w.])[A-Za-z0-9._-]{2,40}\s?(?:\(at\)|\[at\]|\bat\b|@)\s?[A-Za-z0-9-]{2,40}\s?(?:\(dot\)|\[dot\]|\bdot\b)\s?[a-z]{2,10}\b"),
+    "email": re.compile(r"(?:(?<![\w.-])[A-Za-z0-9._-]{2,}|(?<=-)[A-Za-z0-9._-]{2,40})\s?(?:\(at\)|\[at\]|\bat\b|@)\s?[A-Za-z0-9-]{2,63}\s?(?:\(dot\)|\[dot\]|\bdot\b)\s?[a-z]{2,10}\b"),
     "phone": re.compile(r"(?<![\w.])(?:\([0-9]{2,4}\)[ -]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![\w.]?[0-9])"),
-    "secret": re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]{0,40}[0-9]|[A-Z0-9]{16})[A-Za-z0-9+/_-]{12,128}(?![A-Za-z0-9+/_-])"),
+    "secret": re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9]|[A-Z0-9]{16})[A-Za-z0-9+/_-]{12,}+"),
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
 }
 # A secret may also stand behind its name, whatever it looks like.
-NAMED = re.compile(r"(?i)\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?([^\s\"',;]{6,128})")
+NAMED = re.compile(r"(?i)\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?([^\s\"',;]{6,}+)")
 NAMES = {
     "email": ("mail", "contact", "kontakt", "correo"),
     "phone": ("tel", "phone", "call", "fax", "mobil"),
@@ -207,6 +208,16 @@ def _threshold(rated: np.ndarray, y: np.ndarray) -> float:
     return float(rated[good[-1]]) if len(good) else 2.0
 
 
+def _widest(rated: list[tuple[tuple[int, int, str], float]]) -> list[tuple[tuple[int, int, str], float]]:
+    """Those that don't lie inside another of their kind, so that no part stands for the whole."""
+    kept, reached = [], dict.fromkeys(KINDS, 0)
+    for span, rating in sorted(rated, key=lambda pair: (pair[0][0], -pair[0][1])):
+        if span[1] > reached[span[2]]:
+            reached[span[2]] = span[1]
+            kept.append((span, rating))
+    return kept
+
+
 def all_spans(text: str | None, model: Model) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """The base, and the base with what the method adds, both by start and kind."""
     if not text:
@@ -216,8 +227,9 @@ def all_spans(text: str | None, model: Model) -> tuple[list[tuple[int, int, str]
         return base, base
     rated = model.trees.probability(np.array([features(text, *span) for span in open_]))
     taken = list(base)
-    for rating, span in sorted(zip(rated.tolist(), open_), key=lambda pair: (-pair[0], pair[1])):
-        if rating >= model.thresholds[span[2]] and not _overlaps(span[0], span[1], taken):
+    good = _widest([(span, rating) for span, rating in zip(open_, rated.tolist()) if rating >= model.thresholds[span[2]]])
+    for span, _ in sorted(good, key=lambda pair: (-pair[1], pair[0])):
+        if not _overlaps(span[0], span[1], taken):
             taken.append(span)
     return base, sorted(taken, key=lambda span: (span[0], KINDS.index(span[2])))
 
