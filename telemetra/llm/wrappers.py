@@ -4,7 +4,7 @@ Every page is a stream of tags and texts. Repeats within a page become repeated
 host's pages are aligned one after another, and each mismatch is resolved: unlike texts become a text slot, parts
 that only some pages have become optional, and runs of the same kind become repeated groups. Expressions are
 nested lists, so streams are aligned level by level. A wrapper's slots say what each text of a page is; a slot that is the same
-on all pages of its host outside the article is part of the template.
+on all pages of its host is part of the template, inside the article too.
 """
 
 from __future__ import annotations
@@ -152,24 +152,42 @@ def filled(structure: list, values: Iterator[tuple[int, int, int]]) -> list:
     return [*structure, *next(values)] if _is_text(structure) else [*structure[:3], [filled(inner, values) for inner in structure[3]]]
 
 
+def _single_slots(part: list, path: tuple = ()) -> Iterator[tuple[tuple, list]]:
+    """(path, text slot) of those that every page has once: neither they nor what they stand in is optional or repeated."""
+    if not (part[1] or part[2]):
+        if _is_text(part):
+            yield (*path, part[0]), part
+        else:
+            for inner in part[3]:
+                yield from _single_slots(inner, (*path, part[0]))
+
+
 def template_slots(wrapper: list) -> set[tuple]:
-    """Paths whose text is the same on all pages of the host."""
+    """Paths whose text is the same on all pages of the host.
+
+    Inside an article or main element every page must have it once, and another text that all have once must differ: pages that are all
+    copies of one do not tell what of it is template.
+    """
     found: dict[tuple, tuple[int, int, int]] = {}
     for path, slot in text_slots(wrapper):
         low, high, pages = found.get(path, (slot[3], slot[4], 0))
         found[path] = (min(low, slot[3]), max(high, slot[4]), pages + slot[5])
-    return {path for path, (low, high, pages) in found.items() if low == high and pages >= TEMPLATE_PAGES}
+    same = {path for path, (low, high, pages) in found.items() if low == high and pages >= TEMPLATE_PAGES}
+    main = {path for path in found if any(_split(key)[0] in MAIN for key in path)}
+    single = [(path, slot) for path, slot in _single_slots(wrapper) if path in main]
+    differ = any(slot[3] != slot[4] for _, slot in single)
+    return same - main | (same & {path for path, _ in single} if differ else set())
 
 
 def main_blocks(root: Block, template: set[tuple]) -> Iterator[str]:
-    """Main text of a page: what is in an article or main element, or else all but boilerplate and the host's template."""
+    """Main text of a page: what is in an article or main element, or else in the page, but for boilerplate and the host's template."""
     has_main = _has_main(root)
 
     def walk(block: Block, path: tuple, in_main: bool) -> Iterator[str]:
         for child in block.children:
             inside = (*path, child.key)
             if child.key in (TEXT, LINKS):
-                if in_main or not (has_main or child.key == LINKS or inside in template):
+                if inside not in template and (in_main or not (has_main or child.key == LINKS)):
                     yield child.text
             elif not is_boilerplate(child.key, in_main):
                 yield from walk(child, inside, in_main or _split(child.key)[0] in MAIN)

@@ -73,3 +73,17 @@ def test_wrapper_is_the_same_for_any_order():
         for one in pages[1:]:
             whole = w.merge(whole, one)
         assert {path[-2] for path in w.template_slots(json.loads(json.dumps(whole)))} >= {"div.top", "div.low"}
+
+
+def test_constant_line_inside_articles_is_template(spark):
+    def article(i, more=""):
+        return f"<body><article><h1>Title {i}</h1><p>text {i}</p><p>more {i}</p>{more}<div>Read us every day</div></article></body>"
+
+    rows = [(i, f"http://a.org/{i}", article(i, "<table><tr><td>same</td></tr></table>" if i < 6 else "")) for i in range(20)]
+    rows += [(100 + i, f"http://copies.org/{i}", article(0)) for i in range(6)] + [(200, "http://few.org/", article(7))]
+    found = {r.page_id: r.main_text for r in w.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(20):
+        assert found[i] == f"Title {i}\ntext {i}\nmore {i}" + "\nsame" * (i < 6)
+    whole = "Title {0}\ntext {0}\nmore {0}\nRead us every day"
+    assert found[200] == whole.format(7)
+    assert {found[100 + i] for i in range(6)} == {whole.format(0)}
