@@ -2,7 +2,7 @@
 
 Four kinds are fixed patterns with a check (the base), and are always found. Beyond them generators with high recall
 propose spans that may overlap; boosted trees rate each by its format and context, and thresholds calibrated per kind
-select which are added. The trees learn from the corpus itself: a proposal counts as right if a strict check of
+select which are added besides those that pass a strict check. The trees learn from the corpus itself: a proposal counts as right if a strict check of
 its kind holds, such as a checksum, a known prefix or a name in front, and as wrong otherwise. Checks see more than
 the trees are given, so that proposals that merely look like checked ones are rated high too.
 """
@@ -17,7 +17,7 @@ from math import log2
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemetra.llm import boosting
@@ -27,8 +27,10 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret", "iban", "ssn")
 # Proposals that the trees are fitted on, at most, and documents they are taken from, as expected by hash.
 MAX_PROPOSALS, SAMPLE_DOCS = 20_000, 20_000
-# Precision that a kind's threshold must reach on proposals kept out of the fit.
-PRECISION = 0.97
+# Precision that a kind's threshold must reach on proposals kept out of the fit, and right ones it must rest on.
+PRECISION, LEAST_RIGHT = 0.97, 5
+# Ratings are counted in bins; a power of two, so that limits of bins are exact.
+RATING_BINS = 2**14
 CALIBRATION_FOLDS = 4
 CONTEXT = 24
 
@@ -63,7 +65,8 @@ NAMES = {
 @dataclass(frozen=True)
 class Model:
     trees: boosting.Trees
-    thresholds: dict[str, float]
+    # None for a kind with too few to calibrate, on which its strict check alone decides.
+    thresholds: dict[str, float | None]
 
 
 def _luhn(digits: str) -> bool:
@@ -168,44 +171,62 @@ def _open(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, s
 
 
 def fit(docs: DataFrame, max_proposals: int = MAX_PROPOSALS, sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Trees and thresholds from proposals in about ``sample_docs`` documents, chosen by hash.
+    """Trees from proposals in about ``sample_docs`` documents, chosen by hash, and thresholds from all other documents.
 
-    At most ``max_proposals`` of them are used, those of the lowest hashes. A kind with too few to calibrate adds nothing.
+    At most ``max_proposals`` train the trees, as many of each kind as there are or its share allows, those of the
+    lowest hashes. One reducing pass then counts the ratings of all proposals in documents kept out of the fit: those outside
+    the sample, and one fold of it. What the strict check of
+    its kind holds for is added in any case, and nothing else of a kind with too few to calibrate.
     """
     share = min(1.0, sample_docs / max(1, docs.count()))
-    chosen = docs.select("text", F.xxhash64("doc_id", "text").alias("key"))
+    keyed = docs.select("text", F.xxhash64("doc_id", "text").alias("key"))
+    trains = F.pmod(F.xxhash64("key"), F.lit(CALIBRATION_FOLDS)) > 0
     if share < 1:
-        chosen = chosen.filter(F.col("key") < int(share * 2**64 - 2**63))
+        trains &= F.col("key") < int(share * 2**64 - 2**63)
+
+    def described(batch: pd.DataFrame) -> list[tuple]:
+        return [
+            (int(key), start, KINDS.index(kind), features(text, start, end, kind), int(strict(text, start, end, kind)))
+            for key, text in zip(batch["key"], batch["text"])
+            if text
+            for start, end, kind in _open(text)[1]
+        ]
 
     def propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [
-                (int(key), start, KINDS.index(kind), features(text, start, end, kind), int(strict(text, start, end, kind)))
-                for key, text in zip(batch["key"], batch["text"])
-                if text
-                for start, end, kind in _open(text)[1]
-            ]
-            yield pd.DataFrame(rows, columns=["key", "start", "kind", "x", "y"])
-
-    found = chosen.mapInPandas(propose, "key long, start int, kind int, x array<double>, y int")
-    order = F.xxhash64("key", "start", "kind")
-    rows = found.orderBy(order, "key", "start", "kind").limit(max_proposals).select("kind", "x", "y", F.pmod(order, F.lit(CALIBRATION_FOLDS)).alias("fold")).collect()
-    width = len(features("x", 0, 1, "secret"))
-    x = np.array([r["x"] for r in rows], dtype=float).reshape(len(rows), width)
-    y, fold, kinds = (np.array([r[name] for r in rows], dtype=float) for name in ("y", "fold", "kind"))
-    trees = boosting.fit(x[fold > 0], y[fold > 0])
-    rated = trees.probability(x[fold == 0])
-    return Model(trees, {kind: _threshold(rated[kinds[fold == 0] == i], y[fold == 0][kinds[fold == 0] == i]) for i, kind in enumerate(KINDS)})
-
-
-def _threshold(rated: np.ndarray, y: np.ndarray) -> float:
-    """The lowest rating above which the share of right ones is as wanted; above one if there is none."""
-    order = np.argsort(-rated, kind="stable")
-    rated, right = rated[order], np.cumsum(y[order])
-    precision = right / np.arange(1, len(rated) + 1)
-    last = np.append(rated[1:] != rated[:-1], True)[: len(rated)]
-    good = np.flatnonzero((precision >= PRECISION) & last & (right >= 5))
-    return float(rated[good[-1]]) if len(good) else 2.0
+            yield pd.DataFrame(described(batch), columns=["key", "start", "kind", "x", "y"])
+
+    found = keyed.filter(trains).mapInPandas(propose, "key long, start int, kind int, x array<double>, y int")
+    order = [F.xxhash64("key", "start", "kind"), "key", "start"]
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("kind").orderBy(*order))).filter(F.col("rank") <= max_proposals)
+    rows = ranked.orderBy("rank", "kind").limit(max_proposals).select("x", "y").collect()
+    x = np.array([r["x"] for r in rows], dtype=float).reshape(len(rows), len(features("x", 0, 1, "secret")))
+    trees = boosting.fit(x, np.array([r["y"] for r in rows], dtype=float))
+
+    def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if rows := described(batch):
+                bins = (trees.probability(np.array([row[3] for row in rows])) * RATING_BINS).astype(int)
+                part = pd.DataFrame({"kind": [row[2] for row in rows], "bin": bins, "y": [row[4] for row in rows]})
+                yield part.groupby(["kind", "bin"], as_index=False).agg(n=("y", "size"), y=("y", "sum"))
+
+    rated = keyed.filter(~trains).mapInPandas(rate, "kind int, bin int, n long, y long")
+    counts = rated.groupBy("kind", "bin").agg(F.sum("n").alias("n"), F.sum("y").alias("y")).toPandas()
+    return Model(trees, {kind: _threshold(counts[counts["kind"] == i]) for i, kind in enumerate(KINDS)})
+
+
+def _threshold(counts: pd.DataFrame) -> float | None:
+    """The lowest rating above which the share of right ones is as wanted, if there is one, of counts by bin of rating."""
+    counts = counts.sort_values("bin", ascending=False)
+    right, n = counts["y"].cumsum().to_numpy(), counts["n"].cumsum().to_numpy()
+    good = np.flatnonzero((right >= PRECISION * n) & (right >= LEAST_RIGHT))
+    return float(counts["bin"].iloc[good[-1]] / RATING_BINS) if len(good) else None
+
+
+def _taken(text: str, span: tuple[int, int, str], rating: float, model: Model) -> bool:
+    """Whether the strict check holds, or else the rating reaches the threshold of a kind that has one."""
+    threshold = model.thresholds[span[2]]
+    return (threshold is not None and rating >= threshold) or strict(text, *span)
 
 
 def _widest(rated: list[tuple[tuple[int, int, str], float]]) -> list[tuple[tuple[int, int, str], float]]:
@@ -227,7 +248,7 @@ def all_spans(text: str | None, model: Model) -> tuple[list[tuple[int, int, str]
         return base, base
     rated = model.trees.probability(np.array([features(text, *span) for span in open_]))
     taken = list(base)
-    good = _widest([(span, rating) for span, rating in zip(open_, rated.tolist()) if rating >= model.thresholds[span[2]]])
+    good = _widest([(span, rating) for span, rating in zip(open_, rated.tolist()) if _taken(text, span, rating, model)])
     for span, _ in sorted(good, key=lambda pair: (-pair[1], pair[0])):
         if not _overlaps(span[0], span[1], taken):
             taken.append(span)

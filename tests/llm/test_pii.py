@@ -111,3 +111,26 @@ def test_long_secrets_vanish_whole(spark):
 def test_generators_take_linear_time():
     for text in ("a-" * 300_000, "-" * 300_000, "a" * 300_000, "token=" * 50_000, "A7" * 150_000 + "=" * 100_000):
         pii.proposals(text)
+
+
+def test_rare_kinds_are_calibrated_over_all_documents(spark):
+    draw = random.Random(8)
+    # No twelve digits in a row, which the base might take for a card.
+    made = lambda: "".join(draw.choices("abcdefgh", k=9)) + "7" + "".join(draw.choices("stuvwxyz", k=9))
+    rows = [(i, f"word password={made()} and token={made()} end") for i in range(1200)]
+    rows += [(5000 + i, f"my social number 123-45-{1000 + i} ok") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.fit(docs, max_proposals=200, sample_docs=200)
+    assert None not in (model.thresholds["ssn"], model.thresholds["secret"])
+    want = {"word password=[SECRET] and token=[SECRET] end", "my social number [SSN] ok"}
+    assert {r.text for r in pii.redact(docs, model).collect()} == want
+
+
+def test_kinds_with_too_few_fall_back_on_their_strict_check(spark):
+    rows = [(i, f"Some words without anything {i}") for i in range(300)]
+    rows += [(400, "password=Xk29vLq81Zt end"), (401, "social 123-45-6789 end"), (402, "social 666-45-6789 end"), (403, "iban DE89 3704 0044 0532 0130 00 end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.fit(docs)
+    found = {r.doc_id: r.text for r in pii.redact(docs, model).collect()}
+    assert model.thresholds["ssn"] is None
+    assert [found[i] for i in range(400, 404)] == ["password=[SECRET] end", "social [SSN] end", "social 666-45-6789 end", "iban [IBAN] end"]
