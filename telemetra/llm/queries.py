@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable
 
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from telemetra.llm import bpe, decontaminate, language, pii, simhash, topk, toxicity, url_rules, warc, wrappers
+from telemetra.llm import bpe, decontaminate, language, periodic, pii, simhash, topk, toxicity, url_rules, warc, wrappers
 from telemetra.session import workspace
 from telemetra.sources.scans import remove_at_exit
 
@@ -119,6 +121,39 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(index, folder, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """The texts that periodic runs are looked for in: of about one of ten documents, chosen by id, the end repeats itself."""
+
+    def repeated(doc_id: str | None, text: str | None) -> str | None:
+        h = zlib.crc32(doc_id.encode()) if doc_id is not None else 1
+        if h % 10 or not text:
+            return text
+        words, g = text.encode().split(), h // 10
+        if not words:
+            return text
+        begin = g % len(words)
+        period = 1 + (len(words) - begin) // (3 + g % 8)
+        return b" ".join(words[:begin] + [words[begin + i % period] for i in range(len(words) - begin)]).decode()
+
+    @F.pandas_udf("string")
+    def texts(ids: pd.Series, texts: pd.Series) -> pd.Series:
+        return pd.Series([repeated(*row) for row in zip(ids, texts)], dtype=object)
+
+    return docs.withColumn("text", texts(F.col("doc_id").cast("string"), F.col("text")))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every document: their number, the longest one, and hashes of their list and of the collapsed text."""
+    found = periodic.find_runs(with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    runs = F.col("periodic.runs")
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    listed = F.array_join(F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    rows = found.select("doc_id", F.size(runs).cast("long").alias("n_runs"), longest.alias("best"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("periodic.collapsed", 256).alias("collapsed_sha256"))
+    start, length, period = -F.col("best.col2"), F.col("best.length"), -F.col("best.col3")
+    exponent = F.floor(1000 * length / period).cast("long")
+    return rows.select("doc_id", "n_runs", start.alias("start"), length.alias("length"), period.alias("period"), exponent.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_main_text": op1_main_text,
@@ -131,6 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_url_rules": op9_url_rules,
     "op10_warc": op10_warc,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 CHECKS: dict[str, str] = {
     "op9_url_rules": r"""
