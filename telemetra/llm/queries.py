@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from telemetra.llm import bpe, decontaminate, language, periodic, pii, simhash, topk, toxicity, url_rules, warc, wrappers
+from telemetra.llm import bpe, decontaminate, language, licenses, negatives, periodic, pii, simhash, topk, toxicity, url_rules, warc, wrappers
 from telemetra.session import workspace
 from telemetra.sources.scans import remove_at_exit
 
@@ -154,6 +154,42 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_runs", start.alias("start"), length.alias("length"), period.alias("period"), exponent.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+def license_digest(found: DataFrame) -> DataFrame:
+    """Places of the base phrases, labels, and the surest label's share; a phrase alone counts half."""
+    base = F.filter("spans", lambda s: s["exact"])
+
+    def labels(spans: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+
+    def starts(pick: Callable[[Column], Column]) -> Column:
+        return pick(F.transform(base, lambda s: s["start"])).cast("long")
+
+    score = F.array_max(F.transform("spans", lambda s: F.when(s["exact"], F.lit(0.5)).otherwise(s["share"])))
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        F.size(base).cast("long").alias("n_base"),
+        starts(F.array_min).alias("first_word"),
+        starts(F.array_max).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("spans")).alias("labels"),
+        F.coalesce(score, F.lit(0.0)).alias("score"),
+    )
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_digest(licenses.scan(docs, licenses.default_templates(spark)))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector for each of its positives; every seventh row has the next label."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_main_text": op1_main_text,
@@ -167,6 +203,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_rules": op9_url_rules,
     "op10_warc": op10_warc,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_license_scan": op12_license_scan,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 CHECKS: dict[str, str] = {
     "op9_url_rules": r"""
@@ -206,4 +244,62 @@ CHECKS: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op12_license_scan": f"""
+        WITH t AS (
+            SELECT row_number() OVER () AS template, label, exact,
+                   regexp_extract_all(lower(text), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+            FROM (VALUES {", ".join(f"('{label}', '{text}', true)" for label, text in licenses.PHRASES)},
+                         {", ".join(f"('{label}', '{text}', false)" for label, text in licenses.NOTICES)}) AS v(label, text, exact)
+        ), tp AS (
+            SELECT template, label, exact, len(words) AS length, len(words) - 1 AS n_pairs, place, words[place + 1] || ' ' || words[place + 2] AS pair
+            FROM t, unnest(range(len(words) - 1)) AS u(place)
+        ), d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+            FROM documents
+        ), hits AS (
+            SELECT d.r, tp.*, i, i - place AS diagonal
+            FROM d, unnest(range(len(words) - 1)) AS u(i), tp WHERE words[i + 1] || ' ' || words[i + 2] = tp.pair
+        ), diagonals AS (
+            SELECT r, template, exact, diagonal FROM hits GROUP BY r, template, exact, n_pairs, diagonal
+            HAVING count(*) >= CASE WHEN exact THEN n_pairs ELSE least({licenses.LEAST_VOTES}, n_pairs) END
+        ), steps AS (
+            SELECT *, exact OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > {licenses.GAP}, true) AS new FROM diagonals
+        ), bands AS (
+            SELECT r, template, diagonal, sum(new::INT) OVER (PARTITION BY r, template ORDER BY diagonal) AS band FROM steps
+        ), spans AS (
+            SELECT r, label, exact, min(i) AS first, count(DISTINCT place) / n_pairs AS share
+            FROM hits JOIN bands USING (r, template, diagonal) GROUP BY r, template, label, exact, length, n_pairs, band
+            HAVING share >= CASE WHEN exact THEN 1.0 WHEN length < {licenses.SHORT} THEN {licenses.SHORT_SHARE} ELSE {licenses.SHARE} END
+        ), s AS (
+            SELECT r, count(*) FILTER (exact) AS n_base, min(first) FILTER (exact) AS first_word, max(first) FILTER (exact) AS last_word,
+                   string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+                   max(CASE WHEN exact THEN 0.5::DOUBLE ELSE share END) AS score
+            FROM spans GROUP BY r
+        )
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score
+        FROM d LEFT JOIN s USING (r)
+    """,
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS anchor_id, d.vec_id, q.label = d.label AS same,
+                   CAST(list_sum(list_transform(list_zip(q.e, d.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id
+        ), p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        ), n AS (
+            SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+                   CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        )
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+    """,
 }

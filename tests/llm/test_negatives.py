@@ -1,0 +1,111 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from telemetra.llm import negatives
+
+
+def brute(rows, percent=(50, 95), positives=5, negs=3):
+    """By the definition, over rows (id, label, vector)."""
+    good = {}
+    for i, label, v in rows:
+        if i is not None and label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            scaled = [math.floor(256 * x) for x in v]
+            good[i] = min(good.get(i, (label, scaled)), (label, scaled))
+    clip = lambda s: min(max(s, -(2**63)), 2**63 - 1)
+    found = []
+    for a in (i for i in good if i % 50 == 0):
+        label, q = good[a]
+        scores = {i: clip(sum(x * y for x, y in zip(q, v))) for i, (_, v) in good.items() if i != a}
+        best = sorted((-s, i) for i, s in scores.items() if good[i][0] == label)[:positives]
+        for low, p in best:
+            inside = sorted((-s, i) for i, s in scores.items() if good[i][0] != label and -low * percent[0] <= 100 * s <= -low * percent[1])
+            found += [(a, p, rank, i, -low, -s) for rank, (s, i) in enumerate(inside[:negs], 1)]
+    return sorted(found)
+
+
+def mined(spark, rows, **options):
+    table = spark.createDataFrame([(i, label, v, 1, "x", "y") for i, label, v in rows], "vec_id long, label int, embedding array<double>, rank int, cell string, part string")
+    return sorted(tuple(r) for r in negatives.mine(table, F.col("vec_id") % 50 == 0, **options).collect())
+
+
+def clusters(n, width, labels, seed=1):
+    draw = random.Random(seed)
+    centres = [[draw.gauss(0, 1) for _ in range(width)] for _ in range(6)]
+    return [(i, draw.choice(labels), [float(f"{draw.gauss(c, 0.3):.2f}") for c in draw.choice(centres)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("options", [{}, {"tiles": 9, "page": 40, "block": 3, "sample": 100}, {"tiles": 1, "page": 100}])
+def test_equals_brute_force(spark, options):
+    # A third of the rows are copies of one vector, another label has a single row.
+    rows = clusters(600, 6, [0, 1, 1, 1, 2, 7]) + [(1000 + i, i % 2, [0.5] * 6) for i in range(300)] + [(2000, 99, [0.25] * 6)]
+    expected = brute(rows)
+    assert mined(spark, rows, **options) == expected and len(expected) > 100
+
+
+def test_windows(spark):
+    rows = clusters(300, 3, [0, 1])
+    assert mined(spark, rows, percent=(100, 100), n_positives=2, n_negatives=9) == brute(rows, (100, 100), 2, 9)
+    assert mined(spark, rows, percent=(0, 33)) == brute(rows, (0, 33))
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, 1, [1.0, 2.0]), (50, None, [1.0, 1.0]), (100, 1, None), (150, 1, [None, 1.0]), (1, 1, [nan, 1.0]), (2, 2, [inf, 1.0]), (None, 1, [1.0, 1.0]), (200, 1, [])]
+    rows += [(3, 1, [1.0, 2.0]), (4, 1, [3.0]), (5, 2, [1.0, 1.0, 9.0]), (6, 2, [0.5, 1.0]), (6, 2, [0.5, 1.0]), (7, 3, [0.1, 2.0]), (7, 2, [9.0, 9.0]), (-50, 2, [-1.0, 1.0]), (8, 2, [0.0, 0.0]), (9, 1, [0.0, 0.0])]
+    assert mined(spark, rows, percent=(1, 99)) == brute(rows, (1, 99)) != []
+    huge = [(0, 1, [1e30, 1.0]), (1, 1, [1e30, 2.0]), (2, 2, [5e-13, 1.0]), (3, 2, [1e30, 0.0]), (4, 2, [1e308, 1.0]), (5, 1, [1e-28, 0.0]), (6, 2, [7e-29, 0.0])]
+    assert mined(spark, huge) == brute([r for r in huge if r[0] != 4])
+    assert mined(spark, []) == [] and mined(spark, rows[:1]) == [] and mined(spark, [(7, 1, [1.0]), (8, 2, [1.0])]) == []
+
+
+def asks(draw, n, width, label=0):
+    one = np.full((n, 1), negatives.LOWEST)
+    return negatives.Asks(-1 - np.arange(n), np.full(n, label), draw.integers(-200, 200, (n, width)).astype(float), one.copy(), np.full((n, 1), negatives.HIGHEST), one.copy())
+
+
+def test_bounds_hold_and_boxes_are_left_out():
+    draw = np.random.default_rng(4)
+    x = np.concatenate([draw.integers(-20, 20, (500, 4)) + 150 * draw.choice([-1, 1], (1, 4)) for _ in range(8)]).astype(float)
+    labels = draw.integers(0, 3, len(x))
+    order = negatives.str_order(x, labels)
+    assert sorted(order.tolist()) == list(range(len(x)))
+    # The rows of a leaf stand by id.
+    order = np.concatenate([np.sort(leaf) for leaf in np.split(order, range(negatives.LEAF, len(order), negatives.LEAF))])
+    page = negatives.Page(order, labels[order], x[order])
+    some = asks(draw, 20, 4)
+    least, most = page.leaves.bounds(some.vectors)
+    scores = some.vectors @ x[order].T
+    of_leaf = np.arange(len(x)) // page.leaf
+    assert (scores <= most[:, of_leaf]).all() and (scores >= least[:, of_leaf]).all()
+    found = page.search(some, True, 5)
+    for row in range(20):
+        best = sorted((-int(s), int(i)) for s, i, label in zip(scores[row], order, labels[order]) if label == 0)[:5]
+        assert [(-s, i) for _, _, i, s in found[row * 5 : row * 5 + 5]] == best
+    # Of the leaves with the label, each query looks into about half.
+    assert page.visited < 0.5 * 20 * (page.leaves.first == 0).sum()
+
+
+def test_windows_leave_boxes_out():
+    draw = np.random.default_rng(6)
+    x = np.repeat(np.arange(64.0), 64)[:, None] * np.ones((1, 2))
+    page = negatives.Page(np.arange(4096), np.ones(4096, dtype=np.int64), x)
+    some = asks(draw, 1, 2)
+    some.vectors[:], some.lows[:], some.highs[:] = 1.0, 20, 24
+    assert [row[2:] for row in page.search(some, False, 3)] == [(768, 24), (769, 24), (770, 24)] and page.visited <= 3
+    some = asks(draw, 1, 2, label=1)
+    assert page.search(some, False, 3) == [] and page.visited <= 3
+
+
+def test_cuts_keep_to_their_number():
+    draw = np.random.default_rng(7)
+    for tiles in (1, 2, 5, 13, 64, 256):
+        for labels in (draw.integers(0, 10, 3_000), np.zeros(3_000, dtype=int), np.arange(3_000)):
+            x = draw.normal(size=(3_000, 5))
+            cells = negatives.cut(x, labels, tiles).place(x, labels)
+            assert 0 <= cells.min() and cells.max() < tiles
+            if tiles > 4:
+                assert len(np.unique(cells)) > tiles / 4
