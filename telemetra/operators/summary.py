@@ -85,14 +85,8 @@ def _rounded(name: str) -> Column:
     return round_numeric(F.col(name), digits).alias(name)
 
 
-def daily_summary(readings: DataFrame, anomalies: DataFrame, as_of: Instant) -> DataFrame:
-    """Summary of the 24 hours before ``as_of``, labelled with its date.
-
-    Sensors without a name form no group of their own in the join, as in SQL: a NULL sensor keeps
-    its statistics and counts zero anomalies.
-    """
-    stats = stats_with_dominant(rolling_window(readings, as_of))
-    counts = anomaly_counts(rolling_window(anomalies, as_of))
+def present(stats: DataFrame, as_of: Instant) -> DataFrame:
+    """Statistics of sensors as rows of the summary table."""
     computed = {"summary_date": F.to_date(instant(as_of)), "created_at": instant(as_of)}
     statistics = {name for name in SUMMARY.names if name[:4] in ("avg_", "max_", "min_")}
 
@@ -101,7 +95,18 @@ def daily_summary(readings: DataFrame, anomalies: DataFrame, as_of: Instant) ->
             return _rounded(name)
         return computed.get(name, F.col(name)).alias(name)
 
-    return with_anomaly_counts(stats, counts).select(*[column(name) for name in SUMMARY.names])
+    return stats.select(*[column(name) for name in SUMMARY.names])
+
+
+def daily_summary(readings: DataFrame, anomalies: DataFrame, as_of: Instant) -> DataFrame:
+    """Summary of the 24 hours before ``as_of``, labelled with its date.
+
+    Sensors without a name form no group of their own in the join, as in SQL: a NULL sensor keeps
+    its statistics and counts zero anomalies.
+    """
+    stats = stats_with_dominant(rolling_window(readings, as_of))
+    counts = anomaly_counts(rolling_window(anomalies, as_of))
+    return present(with_anomaly_counts(stats, counts), as_of)
 
 
 def summary_report(summary: DataFrame, as_of: Instant) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from telemetra.operators import registry
 from telemetra.operators.evaluate import health_score
 from telemetra.operators.forest import Forest, ForestSpec, fit, with_prediction
 from telemetra.operators.gates import is_open, new_data_ready, summary_ready
+from telemetra.operators.partials import measures, summary_from_partials
 from telemetra.operators.summary import daily_summary, summary_report
 from telemetra.operators.training import extract_recent
 from telemetra.operators.upsert import assert_unique
@@ -31,19 +32,43 @@ class Trained:
     decision: str
 
 
-def run_summary(spark: SparkSession, store: Store, as_of: Instant) -> DataFrame:
-    """Summarise the last 24 hours, merge into the summary table, and report the date's rows."""
+def _days(spark: SparkSession, as_of: Instant) -> tuple[date, date]:
+    """The dates that the 24 hours before ``as_of`` touch; only their folders are listed."""
+    last = spark.range(1).select(F.to_date(instant(as_of)).alias("day")).first()["day"]
+    return last - timedelta(days=1), last
+
+
+def hourly_summary(spark: SparkSession, store: Store, as_of: Instant) -> DataFrame:
+    """Summary of the last 24 hours from the stored statistics of each hour, and readings of at most two hours."""
+    days = _days(spark, as_of)
+    return summary_from_partials(store.hourly.read_dates(spark, *days), as_of, store.readings.read_dates(spark, *days))
+
+
+def run_summary(spark: SparkSession, store: Store, as_of: Instant, from_hours: bool = False) -> DataFrame:
+    """Summarise the last 24 hours, merge into the summary table, and report the date's rows.
+
+    ``from_hours`` takes the statistics that the ETL has stored by hour; else all readings of the window are read.
+    """
     today = F.to_date(instant(as_of))
-    # The window ends at ``as_of``, so it touches two dates, and only their folders are listed.
-    last = spark.range(1).select(today.alias("day")).first()["day"]
-    days = (last - timedelta(days=1), last)
-    new = daily_summary(store.readings.read_dates(spark, *days), store.anomalies.read_dates(spark, *days), as_of)
+    days = _days(spark, as_of)
+    if from_hours:
+        new = hourly_summary(spark, store, as_of)
+    else:
+        new = daily_summary(store.readings.read_dates(spark, *days), store.anomalies.read_dates(spark, *days), as_of)
     store.upsert_summary(new, today)
     summary = store.summary.read(spark)
     assert_unique(summary.filter(F.col("summary_date") == today), SUMMARY_KEYS)
     return summary_report(summary, as_of)
 
 
+def rebuild_hours(spark: SparkSession, store: Store, first: date, last: date) -> None:
+    """Store the statistics by hour of readings that were stored without them; what is there of these dates is replaced."""
+    readings = store.readings.read_dates(spark, first, last).filter("event_time IS NOT NULL")
+    hour = F.date_trunc("hour", "event_time").alias("event_time")
+    by = ("event_date", "batch_id", "sensor_id")
+    store.hourly.replace_partitions(readings.groupBy(*by, hour).agg(*measures()))
+
+
 def check_gates(spark: SparkSession, store: Store, as_of: Instant) -> None:
     if not is_open(new_data_ready(store.readings.read(spark), as_of)):
         raise NotReady("fewer than the needed readings in the last 24 hours")

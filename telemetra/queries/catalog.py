@@ -11,9 +11,10 @@ from telemetra.functions.air import aqi_category, heat_index, is_anomaly, is_lab
 from telemetra.functions.keys import model_key
 from telemetra.functions.numeric import round_numeric
 from telemetra.functions.times import event_time, instant, rolling_window
-from telemetra.operators import enrich, evaluate, forest, gates, profiles, registry, summary, training
+from telemetra.operators import enrich, evaluate, forest, gates, partials, profiles, registry, summary, training
 from telemetra.operators.clean import clean, quality_report, rejected
 from telemetra.operators.upsert import duplicate_keys, upsert
+from telemetra.plans import daily
 from telemetra.plans.backfill import backfill
 from telemetra.queries import fixture
 from telemetra.queries.fixture import AS_OF, RANGE
@@ -21,14 +22,16 @@ from telemetra.schemas import FEATURES, SUMMARY_KEYS
 from telemetra.session import workspace
 from telemetra.sinks.batches import Sink, table_sink
 from telemetra.sources.messages import parse
-from telemetra.sources.scans import materialise
-from telemetra.streaming.etl import anomalies_shape, file_sinks, run_etl
+from telemetra.sources.scans import materialise, remove_at_exit
+from telemetra.streaming.etl import anomalies_shape, file_sinks, readings_shape, run_etl, transform
+from telemetra.streaming.rolling import rolling_summary
 from telemetra.streaming.scoring import score_messages
 from telemetra.tables import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+OFF_HOUR, ONCE_WITHIN, ROLLING_DELAY = "2024-01-14 12:34:56", "1 hour", "1 hour"
 EARLY_SUMMARY, LATE_SUMMARY = "2024-01-14 01:00:00", "2024-01-14 13:00:00"
 BACKFILL_RANGES = [
     ("2024-01-01 00:00:00", "2024-01-10 23:59:59"),
@@ -100,14 +103,29 @@ def s_anomaly_json(spark, sf_dir):
     return enrich.to_messages(enrich.detect(fixture.enriched(spark, sf_dir)), enrich.ANOMALY_FIELDS)
 
 
-def _ingest(spark: SparkSession, sf_dir: str, sinks: Callable[[Store, str], list[Sink]]) -> Store:
-    """Run the streaming ETL over the whole events table and leave its tables in the shared folder."""
-    root = workspace(spark, "ingest")
+def _folder(spark: SparkSession, name: str) -> str:
+    """A folder in the shared one for what a query leaves to be read; it goes when the process ends."""
+    root = workspace(spark, name)
+    remove_at_exit(spark, root)
+    return root
+
+
+def _ingest(
+    spark: SparkSession,
+    sf_dir: str,
+    sinks: Callable[[Store, str], list[Sink]],
+    arriving: Callable[[DataFrame], DataFrame] = lambda messages: messages,
+    once_within: str | None = None,
+) -> Store:
+    """Run the streaming ETL over the whole events table; its tables stay until the process ends."""
+    root = _folder(spark, "ingest")
     store = Store(f"{root}/tables")
-    store.readings.create(spark)
-    store.anomalies.create(spark)
-    stream = fixture.messages_of(fixture.event_stream(spark, sf_dir))
-    etl = run_etl(stream, sinks(store, f"{root}/messages"), f"{root}/checkpoint", processed_at=instant(AS_OF))
+    for stored in (store.readings, store.anomalies, store.hourly):
+        stored.create(spark)
+    stream = arriving(fixture.messages_of(fixture.event_stream(spark, sf_dir)))
+    etl = run_etl(
+        stream, sinks(store, f"{root}/messages"), f"{root}/checkpoint", processed_at=instant(AS_OF), once_within=once_within
+    )
     etl.awaitTermination()
     return store
 
@@ -126,6 +144,29 @@ def s_stream_anomalies(spark, sf_dir):
     return store.anomalies.read(spark).drop("event_date", "batch_id", "processed_at")
 
 
+@query
+def s_stream_once(spark, sf_dir):
+    """The readings that remain of a stream in which every third message arrives twice."""
+
+    def some_twice(messages: DataFrame) -> DataFrame:
+        times = F.when(F.col("row_id") % 3 == 0, 2).otherwise(1)
+        return messages.withColumn("time", F.explode(F.sequence(F.lit(1), times))).drop("time")
+
+    store = _ingest(spark, sf_dir, lambda store, _: [table_sink(store.readings, readings_shape)], some_twice, ONCE_WITHIN)
+    return store.readings.read(spark).select("sensor_id", "event_time")
+
+
+@query
+def s_rolling_summary(spark, sf_dir):
+    """Summaries of all windows of a day, one ending each hour, that the stream has closed."""
+    root = _folder(spark, "rolling")
+    enriched = transform(fixture.messages_of(fixture.event_stream(spark, sf_dir)), instant(AS_OF))
+    rolling = rolling_summary(enriched, ROLLING_DELAY)
+    sink = rolling.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+    sink.outputMode("append").trigger(availableNow=True).start(f"{root}/windows").awaitTermination()
+    return spark.read.schema(rolling.schema).parquet(f"{root}/windows")
+
+
 # --- filters and projections
 
 
@@ -291,10 +332,33 @@ def a_summary_size(spark, sf_dir):
     return summary.summary_size(_summary(spark, sf_dir, AS_OF), AS_OF)
 
 
+@query
+def a_hourly_partials(spark, sf_dir):
+    hourly = partials.hourly_partials(fixture.readings(spark, sf_dir))
+    return _rounded(hourly, *[f"sum_{name}" for name in FEATURES])
+
+
+def _from_hours(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
+    """The summary from what the streaming ETL has stored of each hour."""
+    store = _ingest(spark, sf_dir, lambda store, _: file_sinks(store, hourly=True))
+    return daily.hourly_summary(spark, store, as_of)
+
+
+@query
+def a_summary_from_hours(spark, sf_dir):
+    return _from_hours(spark, sf_dir, AS_OF)
+
+
+@query
+def a_summary_off_hour(spark, sf_dir):
+    """The window begins and ends within an hour, so the readings of two hours are needed."""
+    return _from_hours(spark, sf_dir, OFF_HOUR)
+
+
 @query
 def u_summary_upsert(spark, sf_dir):
     """The later run replaces its sensors' rows; it is stored first, since the merge reads it twice."""
-    new = materialise(_summary(spark, sf_dir, LATE_SUMMARY), "summary").rows
+    new = materialise(_summary(spark, sf_dir, LATE_SUMMARY), "summary").until_exit()
     return upsert(_summary(spark, sf_dir, EARLY_SUMMARY), new, SUMMARY_KEYS)
 
 
@@ -353,7 +417,9 @@ def _all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fit(spark: SparkSession, sf_dir: str) -> forest.Fitted:
-    return forest.fit(_all_features(spark, sf_dir), "all")
+    fitted = forest.fit(_all_features(spark, sf_dir), "all")
+    fitted.stage.until_exit()
+    return fitted
 
 
 def _rates(metrics: DataFrame) -> DataFrame:
@@ -393,7 +459,7 @@ def m_backfill(spark, sf_dir):
 def d_stream_scoring(spark, sf_dir):
     """The whole table, arriving as a stream of messages, scored by a forest fitted on it."""
     fitted = _fit(spark, sf_dir)
-    root = workspace(spark, "scoring")
+    root = _folder(spark, "scoring")
     stream = fixture.messages_of(fixture.event_stream(spark, sf_dir))
     scored = score_messages(stream, fitted.forest).select("row_id", "sensor_id", "score", "prediction")
     scored.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(
@@ -436,8 +502,8 @@ def _models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A candidate per day and source, with the health its predictions have on that day."""
     day = F.date_trunc("day", "event_time")
     model_id = F.concat_ws("_", "source", F.date_format("day", "yyyy-MM-dd"))
-    daily = evaluate.health_score(_by_source(spark, sf_dir, day.alias("day")), by=("day", "source"))
-    return daily.select(
+    by_day = evaluate.health_score(_by_source(spark, sf_dir, day.alias("day")), by=("day", "source"))
+    return by_day.select(
         model_id.alias("model_id"),
         (F.col("day") + F.expr("INTERVAL 24 HOURS")).alias("created_at"),
         "n_rows",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from telemetra.queries.fixture import AS_OF, RANGE, RAW_SQL
-from telemetra.queries.catalog import BACKFILL_RANGES, EARLY_SUMMARY, LATE_SUMMARY, MAX_SHIFT
+from telemetra.queries.catalog import BACKFILL_RANGES, EARLY_SUMMARY, LATE_SUMMARY, MAX_SHIFT, OFF_HOUR, ROLLING_DELAY
 
 _NUMBERS = ("pm2_5", "pm10", "no2", "o3", "temperature", "humidity")
 _NUMBER_LIST = ", ".join(_NUMBERS)
@@ -136,6 +136,34 @@ def _summary(as_of: str, name: str) -> list[str]:
 _EARLY = _summary(EARLY_SUMMARY, "early")
 _LATE = _summary(LATE_SUMMARY, "late")
 _TODAY = _summary(AS_OF, "today")
+_OFF_HOUR = _summary(OFF_HOUR, "today")
+
+_CLASS_NAMES = ("good", "moderate", "unhealthy_sensitive", "unhealthy", "hazardous", "unknown")
+_PARTIALS = f"""
+SELECT sensor_id, date_trunc('hour', event_time) AS event_time, COUNT(*) AS n, COUNT(*) FILTER (WHERE {_FLAG}) AS n_anomalies,
+  {", ".join(f"{_round(f'SUM(CAST({name} AS DOUBLE))', 6)} AS sum_{name}, COUNT({name}) AS n_{name}" for name in _NUMBERS)},
+  MAX(pm2_5) AS max_pm2_5, MAX(pm10) AS max_pm10, MAX(no2) AS max_no2, MAX(temperature) AS max_temperature, MIN(pm2_5) AS min_pm2_5,
+  {", ".join(f"COUNT(*) FILTER (WHERE aqi_category = '{name}') AS class_{name}" for name in _CLASS_NAMES)},
+  COUNT(*) FILTER (WHERE aqi_category IS NULL) AS class_none
+FROM readings WHERE event_time IS NOT NULL GROUP BY ALL"""
+# Every window of 24 hours that ends on an hour and no later than the stream's last event time less its delay.
+_ROLLING = f"""
+WITH ends AS (
+  SELECT unnest(generate_series(date_trunc('hour', MIN(event_time)), MAX(event_time) - INTERVAL '{ROLLING_DELAY}', INTERVAL 1 HOUR)) AS as_of
+  FROM readings
+),
+inside AS (SELECT as_of, r.* FROM ends JOIN readings r ON event_time >= as_of - INTERVAL 24 HOURS AND event_time < as_of),
+classes AS (
+  SELECT as_of, sensor_id, aqi_category, ROW_NUMBER() OVER (
+    PARTITION BY as_of, sensor_id ORDER BY COUNT(*) DESC, aqi_category ASC NULLS LAST) AS place
+  FROM inside GROUP BY as_of, sensor_id, aqi_category
+),
+rolled AS (
+  SELECT as_of, {_STATS}, CAST(COUNT(*) FILTER (WHERE {_FLAG}) AS INTEGER) AS anomaly_count FROM inside GROUP BY as_of, sensor_id
+)
+SELECT s.as_of, s.sensor_id, {", ".join(f"{_round(f's.{column}', digits)} AS {column}" for column, digits in _SUMMARY_COLUMNS)},
+  s.total_readings, s.anomaly_count, c.aqi_category AS dominant_aqi
+FROM rolled s JOIN classes c ON c.place = 1 AND c.as_of = s.as_of AND c.sensor_id = s.sensor_id"""
 
 # --- models
 
@@ -318,6 +346,11 @@ FROM raw"""
         _dominant(f"(SELECT * FROM readings WHERE {_in_window(AS_OF)}) AS recent"),
     ),
     "a_daily_summary": _sql("SELECT * FROM today", *_TODAY),
+    "s_stream_once": _sql("SELECT DISTINCT sensor_id, event_time FROM readings"),
+    "s_rolling_summary": _sql(f"SELECT * FROM ({_ROLLING}) AS windows"),
+    "a_hourly_partials": _sql(_PARTIALS),
+    "a_summary_from_hours": _sql("SELECT * FROM today", *_TODAY),
+    "a_summary_off_hour": _sql("SELECT * FROM today", *_OFF_HOUR),
     "a_summary_report": _sql(
         "SELECT sensor_id, summary_date, total_readings, anomaly_count, dominant_aqi FROM today ORDER BY sensor_id",
         *_TODAY,

@@ -92,6 +92,19 @@ SUMMARY = _struct(
 
 SUMMARY_KEYS = ("summary_date", "sensor_id")
 
+# Mergeable statistics of a sensor and hour; event_time is the start of the hour.
+HOURLY = _struct(
+    ("sensor_id", STRING),
+    ("event_time", TIMESTAMP),
+    ("n", LONG),
+    *[(f"sum_{name}", DOUBLE) for name in FEATURES],
+    *[(f"n_{name}", LONG) for name in FEATURES],
+    ("n_anomalies", LONG),
+    *[(f"max_{name}", DOUBLE) for name in ("pm2_5", "pm10", "no2", "temperature")],
+    ("min_pm2_5", DOUBLE),
+    *[(f"class_{name}", LONG) for name in ("good", "moderate", "unhealthy_sensitive", "unhealthy", "hazardous", "unknown", "none")],
+)
+
 # What the sinks add to a stored row: surrogate key and the two partition columns.
 ROW_ID = T.StructField("row_id", LONG)
 STORED_PARTITIONS = _struct(("event_date", DATE), ("batch_id", LONG))

@@ -19,14 +19,20 @@ from telemetra.operators.enrich import (
     flatten_readings,
     to_messages,
 )
+from telemetra.operators.partials import hourly_partials
 from telemetra.sinks.batches import Sink, message_file_sink, table_sink
 from telemetra.sources.messages import ANOMALY_TOPIC, PROCESSED_TOPIC, parse
+from telemetra.streaming.duplicates import drop_repeats
 from telemetra.tables import Store
 
 
-def transform(messages: DataFrame, processed_at: Column | None = None) -> DataFrame:
-    """Messages to clean, enriched rows. No shuffle: rows are handled where they are read."""
-    return enrich(clean(parse(messages)), processed_at)
+def transform(messages: DataFrame, processed_at: Column | None = None, once_within: str | None = None) -> DataFrame:
+    """Messages to clean, enriched rows. No shuffle: rows are handled where they are read.
+
+    With ``once_within`` a sensor's message counts once, see ``drop_repeats``, which shuffles by key.
+    """
+    rows = clean(parse(messages))
+    return enrich(rows if once_within is None else drop_repeats(rows, once_within), processed_at)
 
 
 def readings_shape(enriched: DataFrame) -> DataFrame:
@@ -37,6 +43,10 @@ def anomalies_shape(enriched: DataFrame) -> DataFrame:
     return flatten_anomalies(detect(enriched), carry=("row_id",))
 
 
+def hourly_shape(enriched: DataFrame) -> DataFrame:
+    return hourly_partials(flatten_readings(enriched))
+
+
 def processed_messages(enriched: DataFrame) -> DataFrame:
     return to_messages(enriched, PROCESSED_FIELDS)
 
@@ -45,12 +55,19 @@ def anomaly_messages(enriched: DataFrame) -> DataFrame:
     return to_messages(detect(enriched), ANOMALY_FIELDS)
 
 
-def file_sinks(store: Store, message_root: str | None = None, rebalance: bool = False) -> list[Sink]:
-    """Readings and anomalies as tables and, with ``message_root``, both kinds of message as files."""
+def file_sinks(
+    store: Store, message_root: str | None = None, rebalance: bool = False, hourly: bool = False
+) -> list[Sink]:
+    """Readings and anomalies as tables and, with ``message_root``, both kinds of message as files.
+
+    ``hourly`` adds each batch's statistics by sensor and hour, from which summaries follow without a look at readings.
+    """
     sinks = [
         table_sink(store.readings, readings_shape, rebalance),
         table_sink(store.anomalies, anomalies_shape, rebalance),
     ]
+    if hourly:
+        sinks.append(table_sink(store.hourly, hourly_shape))
     if message_root is not None:
         sinks += [
             message_file_sink(f"{message_root}/{PROCESSED_TOPIC}", processed_messages),
@@ -82,13 +99,14 @@ def run_etl(
     checkpoint: str,
     trigger: dict | None = None,
     processed_at: Column | None = None,
+    once_within: str | None = None,
 ) -> StreamingQuery:
     """Start the ETL. The default trigger is ``availableNow``: work off what is there, then stop.
 
     A service passes ``{"processingTime": "1 minute"}`` and then waits with ``await_any``.
     """
     return (
-        transform(messages, processed_at)
+        transform(messages, processed_at, once_within)
         .writeStream.foreachBatch(fan_out(sinks))
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
