@@ -69,8 +69,13 @@ def rebuild_hours(spark: SparkSession, store: Store, first: date, last: date) ->
     store.hourly.replace_partitions(readings.groupBy(*by, hour).agg(*measures()))
 
 
+def _recent_readings(spark: SparkSession, store: Store, as_of: Instant) -> DataFrame:
+    """Readings of the dates that a window of 24 hours before ``as_of``, without an upper end, touches."""
+    return store.readings.read_dates(spark, _days(spark, as_of)[0])
+
+
 def check_gates(spark: SparkSession, store: Store, as_of: Instant) -> None:
-    if not is_open(new_data_ready(store.readings.read(spark), as_of)):
+    if not is_open(new_data_ready(_recent_readings(spark, store, as_of), as_of)):
         raise NotReady("fewer than the needed readings in the last 24 hours")
     if not is_open(summary_ready(store.summary.read(spark), as_of)):
         raise NotReady("no summary for this date yet")
@@ -81,7 +86,7 @@ def run_training(
 ) -> Trained:
     """Gates, extraction, validation, fit, evaluation, registry entry and promotion decision."""
     check_gates(spark, store, as_of)
-    extracted = extract_recent(store.readings.read(spark), as_of)
+    extracted = extract_recent(_recent_readings(spark, store, as_of), as_of)
     fitted = fit(extracted, model_id, spec)
     forest = fitted.forest
     with fitted.stage:

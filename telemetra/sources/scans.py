@@ -74,12 +74,6 @@ class Staged:
         return self.rows
 
 
-def exists(spark: SparkSession, folder: str) -> bool:
-    """Whether there is such a folder, in any store that Spark can reach."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder in any store that Spark can reach."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

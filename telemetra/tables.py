@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetra import schemas
-from telemetra.operators.upsert import upsert
-from telemetra.sources.scans import exists, materialise
+from telemetra.compaction import Compacted, Wanted
+from telemetra.functions.times import Instant, instant
+from telemetra.versions import VersionedTable
+
+# Dates beyond this, and the folder of rows without a date, are none.
+MAX_DAY = "9999-12-31"
 
 
 @dataclass(frozen=True)
@@ -26,18 +30,34 @@ class Table:
         empty = spark.createDataFrame([], self.schema)
         empty.write.mode("ignore").partitionBy(*self.partitions).parquet(self.path)
 
+    @property
+    def by_batch(self) -> bool:
+        """Whether the streaming ETL writes this table, so that its closed dates can be compacted."""
+        return self.partitions == tuple(schemas.STORED_PARTITIONS.names)
+
     def read(self, spark: SparkSession) -> DataFrame:
+        if self.by_batch:
+            return Compacted(self.path, self.schema).read(spark)
         return spark.read.schema(self.schema).parquet(self.path)
 
-    def read_dates(self, spark: SparkSession, first: date, last: date) -> DataFrame:
-        """The rows of some dates, without listing the folders of any other. The table is partitioned by date first."""
-        by = self.partitions[0]
-        days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
-        folders = [f"{self.path}/{by}={day.isoformat()}" for day in days]
-        there = [folder for folder in folders if exists(spark, folder)]
-        if not there:
-            return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).option("basePath", self.path).parquet(*there)
+    def read_dates(self, spark: SparkSession, first: date, last: date | None = None) -> DataFrame:
+        """The rows of some dates, to the latest one if ``last`` is None, without listing the folders of any other.
+
+        For tables partitioned by date first.
+        """
+        compacted = Compacted(self.path, self.schema)
+        if last is None:
+            closed = set(compacted.table.version(spark).folders)
+            days = sorted(day for day in closed | set(compacted.days(spark)) if first.isoformat() <= day <= MAX_DAY)
+        else:
+            days = [(first + timedelta(days=n)).isoformat() for n in range((last - first).days + 1)]
+        return compacted.read(spark, days)
+
+    def read_window(self, spark: SparkSession, start: Instant, end: Instant, sensor: str | None = None) -> DataFrame:
+        """Rows from ``start`` to before ``end``, of one sensor or all. Of compacted dates only files with such rows are opened."""
+        at = spark.range(1).select(F.to_date(instant(start)).alias("first"), F.to_date(instant(end)).alias("last")).first()
+        days = [(at["first"] + timedelta(days=n)).isoformat() for n in range((at["last"] - at["first"]).days + 1)]
+        return Compacted(self.path, self.schema).read(spark, days, Wanted(sensor, start, end))
 
     def replace_partitions(self, df: DataFrame) -> None:
         """Write rows, replacing exactly the partitions they belong to."""
@@ -49,24 +69,11 @@ class Table:
             .parquet(self.path)
         )
 
-    def upsert(self, new: DataFrame, keys: tuple[str, ...], touched: Column) -> None:
-        """Insert new rows and overwrite those of the same key.
-
-        ``touched`` selects the partitions that ``new`` falls into; only these are read and
-        rewritten. The new rows are computed once, since the merge uses them twice.
-        """
-        with materialise(new.select(*self.schema.names), f"upsert-{self.name}") as staged:
-            old = self.read(new.sparkSession).filter(touched)
-            merged = materialise(upsert(old, staged.rows, keys), f"merged-{self.name}")
-        # The merged rows are complete before the table is touched. Should the exchange of folders be cut short, they stay.
-        try:
-            self.replace_partitions(merged.rows)
-        except Exception as error:
-            raise RuntimeError(f"{self.name} may lack rows; the whole partition is in {merged.path}") from error
-        merged.discard()
-
     def register(self, spark: SparkSession) -> None:
-        """Make the table known to SQL under its name."""
+        """Make the table known to SQL under its name; once it has compacted dates, as a view for reading."""
+        if self.by_batch and Compacted(self.path, self.schema).table.versions(spark):
+            self.read(spark).createOrReplaceTempView(self.name)
+            return
         columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in self.schema)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet "
@@ -86,12 +93,12 @@ class Store:
         self.readings = table("sensor_readings", schemas.stored(schemas.READINGS), *by_batch)
         self.anomalies = table("sensor_anomalies", schemas.stored(schemas.ANOMALIES), *by_batch)
         self.hourly = table("sensor_hourly", T.StructType([*schemas.HOURLY.fields, *schemas.STORED_PARTITIONS.fields]), *by_batch)
-        self.summary = table("sensor_daily_summary", schemas.SUMMARY, "summary_date")
+        self.summary = VersionedTable("sensor_daily_summary", f"{root.rstrip('/')}/sensor_daily_summary", schemas.SUMMARY, ("summary_date",))
         self.nodes = table("forest_nodes", schemas.FOREST_NODES, "model_id")
         self.models = table("models", schemas.MODELS, "model_id")
         self.promotions = table("promotions", schemas.PROMOTIONS, "model_id")
 
-    def tables(self) -> tuple[Table, ...]:
+    def tables(self) -> tuple[Table | VersionedTable, ...]:
         return (self.readings, self.anomalies, self.hourly, self.summary, self.nodes, self.models, self.promotions)
 
     def create(self, spark: SparkSession) -> None:

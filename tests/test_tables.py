@@ -36,16 +36,16 @@ def test_tables_are_known_to_sql(spark, tmp_path):
     rows = flat(spark, [{}])
     store.summary.replace_partitions(daily_summary(rows, rows, AS_OF))
     try:
-        store.summary.register(spark)
-        store.summary.register(spark)
+        for _ in range(2):
+            store.summary.register(spark)
+            store.promotions.register(spark)
         found = spark.sql("SELECT sensor_id, summary_date FROM sensor_daily_summary").first()
         assert tuple(found) == ("a", date(2024, 1, 15))
-        spark.sql(
-            "INSERT INTO sensor_daily_summary (summary_date, sensor_id) SELECT DATE '2024-01-16', 'b'"
-        )
-        assert store.summary.read(spark).count() == 2
+        spark.sql("INSERT INTO promotions (model_id, promoted_at) SELECT 'm', TIMESTAMP '2024-01-16 00:00:00'")
+        assert store.promotions.read(spark).count() == 1
     finally:
-        spark.sql("DROP TABLE IF EXISTS sensor_daily_summary")
+        spark.sql("DROP TABLE IF EXISTS promotions")
+        spark.catalog.dropTempView("sensor_daily_summary")
 
 
 def test_summary_rerun_overwrites_and_keeps_missing_sensors(spark, tmp_path):
@@ -70,9 +70,10 @@ def test_upsert_leaves_other_partitions_alone(spark, tmp_path):
     rows = flat(spark, [{}])
     first = daily_summary(rows, rows, AS_OF)
     store.summary.replace_partitions(first.withColumn("summary_date", F.lit(date(2024, 1, 1))))
-    files = {str(path) for path in tmp_path.rglob("summary_date=2024-01-01/*.parquet")}
+    files = {str(path) for path in tmp_path.rglob("part=2024-01-01/*.parquet")}
+    assert files
     store.upsert_summary(first, F.to_date(instant(AS_OF)))
-    assert files == {str(path) for path in tmp_path.rglob("summary_date=2024-01-01/*.parquet")}
+    assert files == {str(path) for path in tmp_path.rglob("part=2024-01-01/*.parquet")}
     assert store.summary.read(spark).count() == 2
 
 
