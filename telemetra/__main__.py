@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 import argparse
+from datetime import date
 
 from pyspark.sql import SparkSession
 
-from telemetra import rules
+from telemetra import compaction, rules
 from telemetra.operators.forest import ForestSpec
-from telemetra.operators.registry import current_model, load_forest
+from telemetra.operators.registry import current_model
 from telemetra.plans.backfill import run_backfill
 from telemetra.plans.daily import run_summary, run_training
 from telemetra.session import configure
 from telemetra.sinks.batches import kafka_sink, kafka_sink_options
 from telemetra.sources.messages import ANOMALY_TOPIC, PROCESSED_TOPIC, kafka_source_options, read_message_stream
 from telemetra.streaming.etl import anomaly_messages, await_any, file_sinks, processed_messages, run_etl
-from telemetra.streaming.scoring import score_messages
-from telemetra.tables import Store
+from telemetra.streaming.scoring import run_scoring
+from telemetra.tables import Store, Table
 
 
 # Most messages, or message files, of a micro-batch unless told otherwise.
@@ -26,7 +27,7 @@ KAFKA_BATCH, FILE_BATCH = 20_000_000, 1_000
 def ingest(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
     """Streaming ETL from Kafka, back to Kafka and into the tables; or from message files."""
     trigger = {"processingTime": args.every} if args.every else None
-    sinks = file_sinks(store, args.messages, rebalance=True)
+    sinks = file_sinks(store, args.messages, rebalance=True, hourly=True)
     if args.servers:
         limit = {"maxOffsetsPerTrigger": str(args.batch_limit or KAFKA_BATCH)}
         stream = read_message_stream(spark, **kafka_source_options(args.servers), **limit)
@@ -36,7 +37,7 @@ def ingest(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
         ]
     else:
         stream = read_message_stream(spark, "parquet", args.path, maxFilesPerTrigger=str(args.batch_limit or FILE_BATCH))
-    query = run_etl(stream, sinks, args.checkpoint, trigger)
+    query = run_etl(stream, sinks, args.checkpoint, trigger, once_within=args.once_within)
     if args.every:
         await_any(spark)
     else:
@@ -44,7 +45,7 @@ def ingest(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
 
 
 def summary(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
-    run_summary(spark, store, args.as_of).show(truncate=False)
+    run_summary(spark, store, args.as_of, args.from_hours).show(truncate=False)
 
 
 def train(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
@@ -60,13 +61,22 @@ def backfill(spark: SparkSession, store: Store, args: argparse.Namespace) -> Non
 
 def score(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
     """Score message files by the model in production; rows go to a folder."""
-    current = current_model(store.models.read(spark), store.promotions.read(spark)).first()
-    if current is None:
-        raise SystemExit("no model has been promoted yet")
+    to = Table("sensor_scores", args.to, store.scores.schema, store.scores.partitions)
     stream = read_message_stream(spark, "parquet", args.path, maxFilesPerTrigger=str(FILE_BATCH))
-    scored = score_messages(stream, load_forest(store, spark, current["model_id"]))
-    writer = scored.writeStream.format("parquet").option("checkpointLocation", args.checkpoint)
-    writer.trigger(availableNow=True).start(args.to).awaitTermination()
+    if current_model(store.models.read(spark), store.promotions.read(spark)).first() is None:
+        raise SystemExit("no model has been promoted yet")
+    query = run_scoring(stream, store, args.checkpoint, {"processingTime": args.every} if args.every else None, to)
+    query.awaitTermination()
+
+
+def compact(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
+    """Pack the batches of closed dates into few files; earlier packed batches are removed first."""
+    before = date.fromisoformat(args.before)
+    for table in (store.readings, store.anomalies, store.hourly, store.scores):
+        gone = compaction.sweep(spark, table)
+        done = compaction.compact(spark, table, before)
+        print(f"{table.name}: {len(done)} dates packed, {len(gone)} batch folders removed")
+    store.summary.vacuum(spark)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -87,9 +97,11 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--messages", help="folder for outgoing message files")
     source.add_argument("--batch-limit", type=int, help="most messages, or files, of a micro-batch")
     source.add_argument("--every", help="trigger interval, as '1 minute'; without it, stop when all is read")
-    job(summary, "--as-of")
+    source.add_argument("--once-within", help="drop repeats of a sensor's message within this time of the watermark, as '1 hour'")
+    job(summary, "--as-of").add_argument("--from-hours", action="store_true", help="from statistics stored by hour")
     job(train, "--as-of", "--model-id")
-    job(score, "--path", "--checkpoint", "--to")
+    job(score, "--path", "--checkpoint", "--to").add_argument("--every", help="trigger interval; without it, stop when all is read")
+    job(compact, "--before")
     past = job(backfill, "--as-of")
     past.add_argument("--start", action="append", required=True, help="repeatable, with as many --end")
     past.add_argument("--end", action="append", required=True)

@@ -137,6 +137,14 @@ MODELS = _struct(
     ("health_score", DOUBLE),
 )
 
+SCORES = _struct(
+    ("sensor_id", STRING),
+    ("event_time", TIMESTAMP),
+    ("score", DOUBLE),
+    ("prediction", INT),
+    ("model_id", STRING),
+)
+
 PROMOTIONS = _struct(("model_id", STRING), ("promoted_at", TIMESTAMP))
 
 

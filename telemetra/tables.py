@@ -94,12 +94,13 @@ class Store:
         self.anomalies = table("sensor_anomalies", schemas.stored(schemas.ANOMALIES), *by_batch)
         self.hourly = table("sensor_hourly", T.StructType([*schemas.HOURLY.fields, *schemas.STORED_PARTITIONS.fields]), *by_batch)
         self.summary = VersionedTable("sensor_daily_summary", f"{root.rstrip('/')}/sensor_daily_summary", schemas.SUMMARY, ("summary_date",))
+        self.scores = table("sensor_scores", schemas.stored(schemas.SCORES), *by_batch)
         self.nodes = table("forest_nodes", schemas.FOREST_NODES, "model_id")
         self.models = table("models", schemas.MODELS, "model_id")
         self.promotions = table("promotions", schemas.PROMOTIONS, "model_id")
 
     def tables(self) -> tuple[Table | VersionedTable, ...]:
-        return (self.readings, self.anomalies, self.hourly, self.summary, self.nodes, self.models, self.promotions)
+        return (self.readings, self.anomalies, self.hourly, self.scores, self.summary, self.nodes, self.models, self.promotions)
 
     def create(self, spark: SparkSession) -> None:
         for table in self.tables():
