@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemetra.compaction import compact, sweep
 from telemetra.functions.air import aqi_category, heat_index, is_anomaly, is_labelled
 from telemetra.functions.keys import model_key
 from telemetra.functions.numeric import round_numeric
 from telemetra.functions.times import event_time, instant, rolling_window
 from telemetra.operators import enrich, evaluate, forest, gates, partials, profiles, registry, summary, training
 from telemetra.operators.clean import clean, quality_report, rejected
+from telemetra.operators.learned import Shelf
 from telemetra.operators.upsert import duplicate_keys, upsert
 from telemetra.plans import daily
 from telemetra.plans.backfill import backfill
@@ -31,6 +35,7 @@ from telemetra.tables import Store
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+SENSOR, SENSOR_WINDOW = "CAP_007", ("2024-01-09 20:15:00", "2024-01-10 11:00:00")
 OFF_HOUR, ONCE_WITHIN, ROLLING_DELAY = "2024-01-14 12:34:56", "1 hour", "1 hour"
 EARLY_SUMMARY, LATE_SUMMARY = "2024-01-14 01:00:00", "2024-01-14 13:00:00"
 BACKFILL_RANGES = [
@@ -368,6 +373,36 @@ def u_uniqueness_check(spark, sf_dir):
     return duplicate_keys(both, SUMMARY_KEYS)
 
 
+@query
+def u_versioned_upsert(spark, sf_dir):
+    """Both runs merged into the stored summary table, each as a version of its own."""
+    store = Store(_folder(spark, "summaries"))
+    for as_of in (EARLY_SUMMARY, LATE_SUMMARY):
+        store.upsert_summary(_summary(spark, sf_dir, as_of), F.to_date(instant(as_of)))
+    return store.summary.read(spark)
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> Store:
+    """The readings that the ETL has stored, with the dates before as_of packed and their batch folders removed."""
+    store = _ingest(spark, sf_dir, lambda store, _: [table_sink(store.readings, readings_shape)])
+    compact(spark, store.readings, date.fromisoformat(AS_OF[:10]))
+    sweep(spark, store.readings)
+    return store
+
+
+@query
+def s_compacted_readings(spark, sf_dir):
+    """All readings, of packed dates and of others."""
+    return _compacted(spark, sf_dir).readings.read(spark).drop("event_date", "batch_id", "processed_at")
+
+
+@query
+def f_sensor_window(spark, sf_dir):
+    """A sensor's readings of a few hours, from the packed files that may hold them."""
+    found = _compacted(spark, sf_dir).readings.read_window(spark, *SENSOR_WINDOW, SENSOR)
+    return found.select("row_id", "sensor_id", "event_time", "pm2_5")
+
+
 # --- gates
 
 
@@ -585,3 +620,27 @@ def d_sensor_profile(spark, sf_dir):
 @query
 def d_sensor_clusters(spark, sf_dir):
     return profiles.sensor_clusters(fixture.readings(spark, sf_dir))
+
+
+@query
+def d_saved_models(spark, sf_dir):
+    """Forecast, groups and classifier: fitted, kept on a shelf, loaded and applied again, with what differs from before."""
+    readings = fixture.readings(spark, sf_dir)
+    hours = materialise(profiles.forecast_rows(readings), "hours").until_exit()
+    sensors = materialise(profiles.sensor_profile(readings), "sensors").until_exit()
+    jobs = [
+        (profiles.fit_forecast(hours, FORECAST_BOUNDARY), profiles.apply_forecast, hours, "forecast"),
+        (profiles.fit_clusters(sensors), profiles.apply_clusters, sensors, "cluster"),
+        (profiles.fit_classifier(readings), profiles.apply_classifier, readings.select("row_id", *FEATURES), "is_flagged"),
+    ]
+    shelf = Shelf(_folder(spark, "shelf"))
+    for learned, *_ in jobs:
+        shelf.save(spark, learned, AS_OF)
+    compared = []
+    for learned, apply, rows, output in jobs:
+        before, after = apply(rows, learned), apply(rows, shelf.load(spark, learned.kind))
+        counts = after.agg(F.count(F.lit(1)).alias("n_rows"), F.count(output).alias("n_outputs"))
+        differs = before.exceptAll(after).agg(F.count(F.lit(1)).alias("n_different"))
+        compared.append(counts.withColumns({"n_different": differs.scalar(), "kind": F.lit(learned.kind)}))
+    shelved = shelf.entries(spark).select("kind", "version")
+    return shelved.join(reduce(DataFrame.unionByName, compared), "kind")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from telemetra.queries.fixture import AS_OF, RANGE, RAW_SQL
-from telemetra.queries.catalog import BACKFILL_RANGES, EARLY_SUMMARY, LATE_SUMMARY, MAX_SHIFT, OFF_HOUR, ROLLING_DELAY
+from telemetra.queries.catalog import BACKFILL_RANGES, EARLY_SUMMARY, LATE_SUMMARY, MAX_SHIFT, OFF_HOUR, ROLLING_DELAY, SENSOR, SENSOR_WINDOW
 
 _NUMBERS = ("pm2_5", "pm10", "no2", "o3", "temperature", "humidity")
 _NUMBER_LIST = ", ".join(_NUMBERS)
@@ -357,6 +357,19 @@ FROM raw"""
     ),
     "a_summary_size": _sql("SELECT COUNT(*) AS total_sensors FROM today", *_TODAY),
     "u_summary_upsert": _sql(_KEPT, *_EARLY, *_LATE),
+    "u_versioned_upsert": _sql(_KEPT, *_EARLY, *_LATE),
+    "s_compacted_readings": _sql(f"SELECT {_READING_COLUMNS} FROM readings"),
+    "f_sensor_window": _sql(
+        f"SELECT row_id, sensor_id, event_time, pm2_5 FROM readings WHERE sensor_id = '{SENSOR}' "
+        f"AND event_time >= TIMESTAMP '{SENSOR_WINDOW[0]}' AND event_time < TIMESTAMP '{SENSOR_WINDOW[1]}'"
+    ),
+    "d_saved_models": _sql(
+        f"""SELECT 'forecast' AS kind, 1 AS version, COUNT(*) AS n_rows, COUNT(*) AS n_outputs, 0 AS n_different
+            FROM (SELECT DISTINCT sensor_id, date_trunc('hour', event_time) FROM readings) AS hours
+            UNION ALL SELECT 'clusters', 1, COUNT(*), COUNT(*) FILTER (WHERE complete), 0
+            FROM (SELECT {" AND ".join(f"COUNT({name}) > 1" for name in _NUMBERS)} AS complete FROM readings GROUP BY sensor_id) AS sensors
+            UNION ALL SELECT 'classifier', 1, COUNT(*), COUNT(*) FILTER (WHERE {" AND ".join(f"{name} IS NOT NULL AND NOT isnan(CAST({name} AS DOUBLE))" for name in _NUMBERS)}), 0 FROM readings"""
+    ),
     "u_uniqueness_check": _sql(
         "SELECT summary_date, sensor_id, COUNT(*) AS n_rows FROM (SELECT * FROM early UNION ALL SELECT * FROM late) "
         "AS both_runs GROUP BY summary_date, sensor_id HAVING COUNT(*) > 1",

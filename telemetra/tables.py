@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from telemetra import schemas
 from telemetra.compaction import Compacted, Wanted
 from telemetra.functions.times import Instant, instant
+from telemetra.operators.learned import Shelf
 from telemetra.versions import VersionedTable
 
 # Dates beyond this, and the folder of rows without a date, are none.
@@ -97,6 +98,7 @@ class Store:
         self.scores = table("sensor_scores", schemas.stored(schemas.SCORES), *by_batch)
         self.nodes = table("forest_nodes", schemas.FOREST_NODES, "model_id")
         self.models = table("models", schemas.MODELS, "model_id")
+        self.learned = Shelf(f"{root.rstrip('/')}/learned")
         self.promotions = table("promotions", schemas.PROMOTIONS, "model_id")
 
     def tables(self) -> tuple[Table | VersionedTable, ...]:
