@@ -27,7 +27,7 @@ def hours_before(at: Instant, hours: int) -> Column:
     return instant(at) - F.make_dt_interval(hours=F.lit(hours))
 
 
-def _with_dates(df: DataFrame, predicate: Column, first: Column | None, last: Column | None) -> DataFrame:
+def between_dates(df: DataFrame, predicate: Column, first: Column | None, last: Column | None) -> DataFrame:
     """Add date bounds where the table is partitioned by event_date, so that partitions are pruned."""
     if "event_date" in df.columns:
         if first is not None:
@@ -40,16 +40,16 @@ def _with_dates(df: DataFrame, predicate: Column, first: Column | None, last: Co
 def rolling_window(df: DataFrame, as_of: Instant, hours: int = SUMMARY_HOURS) -> DataFrame:
     """Rows of the half-open window [as_of - hours, as_of)."""
     start, end, when = hours_before(as_of, hours), instant(as_of), F.col("event_time")
-    return _with_dates(df, (when >= start) & (when < end), start, end)
+    return between_dates(df, (when >= start) & (when < end), start, end)
 
 
 def recent_window(df: DataFrame, as_of: Instant, hours: int = SUMMARY_HOURS) -> DataFrame:
     """Rows from as_of - hours on, with no upper end."""
     start = hours_before(as_of, hours)
-    return _with_dates(df, F.col("event_time") >= start, start, None)
+    return between_dates(df, F.col("event_time") >= start, start, None)
 
 
 def closed_window(df: DataFrame, start: Instant, end: Instant) -> DataFrame:
     """Rows of the closed range [start, end]."""
     first, last = instant(start), instant(end)
-    return _with_dates(df, F.col("event_time").between(first, last), first, last)
+    return between_dates(df, F.col("event_time").between(first, last), first, last)

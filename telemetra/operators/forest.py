@@ -3,13 +3,18 @@
 Sampling is a filter and a window, trees grow in parallel on groups of at most ``max_samples``
 rows, and scoring is a vectorised function over the columns of any DataFrame, batch or streaming.
 A fitted forest has a fixed maximum size (trees x 2 x samples nodes) that does not depend on the
-data, so it travels with the scoring function.
+data, so it travels with the scoring function. Several training sets, which may overlap, are fitted
+together: a row carries the id of the model it is for, and every pass reads the readings once.
+
+Which rows a tree gets and where its nodes split follows from hashes that any SQL engine has, so the
+same forest can be grown level by level in SQL.
 """
 
 from __future__ import annotations
 
+import hashlib
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 from math import ceil, log, log2
@@ -31,7 +36,12 @@ EULER = 0.5772156649015329
 # The pool from which trees draw holds this many times the rows that all trees together need,
 # and each tree first takes this many times the rows it keeps.
 POOL_FACTOR = 4
+# Of large sets this many times the pool is looked at, by hash of the row. Rows that many copies share are found apart: from this
+# share of the pool on, by counting rows in so many buckets.
+OVER, HEAVY_SHARE, BUCKETS = 64, 0.01, 65_536
 HASH_RANGE = 2**64
+# Draws are whole numbers below this prime.
+PRIME = 2**31 - 1
 # Feature and children of a node that is not split.
 LEAF = -1
 
@@ -85,11 +95,9 @@ def max_depth(sample_size: int) -> int:
     return ceil(log2(max(sample_size, 2)))
 
 
-def _hash_below(share: float, *columns: str | F.Column) -> F.Column:
-    """Condition met by about ``share`` of the rows, the same rows however they are partitioned."""
-    if share >= 1:
-        return F.lit(True)
-    return F.xxhash64(*columns) < int(share * HASH_RANGE - HASH_RANGE / 2)
+def _chance(*columns: str | F.Column) -> F.Column:
+    """A number in [0, 1) for each row, the same however rows are partitioned."""
+    return F.xxhash64(*columns) / float(HASH_RANGE) + 0.5
 
 
 def _row_key(spec: ForestSpec) -> F.Column:
@@ -105,46 +113,117 @@ class Survey:
     n_valid: int
 
 
-def survey(extracted: dict[str, DataFrame], spec: ForestSpec) -> dict[str, Survey]:
+def tagged(extracted: dict[str, DataFrame], spec: ForestSpec) -> DataFrame:
+    """Rows (model_id, row_id, features) of several training sets."""
+    named = [rows.select(F.lit(key).alias("model_id"), "row_id", *spec.features) for key, rows in extracted.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
+def survey_tagged(rows: DataFrame, keys: Sequence[str], spec: ForestSpec) -> dict[str, Survey]:
     """Rows extracted and valid per training set, all sets counted in one pass."""
-    named = [rows.select(F.lit(key).alias("model_id"), *spec.features) for key, rows in extracted.items()]
-    counted = row_counts(reduce(DataFrame.unionByName, named), ("model_id",), spec.features).collect()
+    counted = row_counts(rows, ("model_id",), spec.features).collect()
     known = {row["model_id"]: Survey(row["n_extracted"], row["n_valid"]) for row in counted}
-    return {key: known.get(key, Survey(0, 0)) for key in extracted}
+    return {key: known.get(key, Survey(0, 0)) for key in keys}
+
 
+def survey(extracted: dict[str, DataFrame], spec: ForestSpec) -> dict[str, Survey]:
+    return survey_tagged(tagged(extracted, spec), list(extracted), spec)
 
-def _pool(training: DataFrame, share: float, spec: ForestSpec) -> DataFrame:
-    """About ``share`` of the rows, numbered among their copies.
 
-    Rows with the same key and features share a hash and would be taken all together or not at all, so they are
-    counted first, on the map side as well, and each group gives its part of the pool.
+def _by_model(values: dict[str, float]) -> F.Column:
+    """A number of each row's model."""
+    return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col("model_id"))
+
+
+def _frequent(rows: DataFrame, known: dict[str, Survey], least: float, spec: ForestSpec) -> DataFrame:
+    """Rows of which there are at least ``least`` copies, with their number.
+
+    Rows are counted by bucket of their hash, at most ``BUCKETS`` numbers for each task and model. Only rows of buckets that stand
+    out are counted one by one, on the map side first, where copies become one row.
     """
-    grouped = training.groupBy("row_id", *spec.features).agg(F.count(F.lit(1)).alias("n"))
-    chance = F.xxhash64(_row_key(spec), F.lit(spec.seed)) / float(HASH_RANGE) + 0.5
-    taken = grouped.withColumn("taken", F.floor(F.col("n") * share + chance)).filter("taken > 0")
-    numbered = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("taken", "n").cast("int"))))
-    return numbered.select("row_id", *spec.features, "copy")
+    in_bucket = rows.withColumn("bucket", F.pmod(_row_key(spec), F.lit(BUCKETS)))
+    mean = _by_model({key: one.n_valid / BUCKETS for key, one in known.items()})
+    sizes = in_bucket.groupBy("model_id", "bucket").agg(F.count(F.lit(1)).alias("size"))
+    full = sizes.filter(F.col("size") >= F.greatest(F.lit(float(least)), mean + least / 2)).select("model_id", "bucket")
+    stand_out = materialise(full, "forest-buckets").until_exit()
+    copies = in_bucket.join(stand_out, ["model_id", "bucket"], "left_semi")
+    return copies.groupBy("model_id", "row_id", *spec.features).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
 
 
-def candidates(training: DataFrame, model_id: str, known: Survey, spec: ForestSpec) -> DataFrame:
-    """For every tree a few times as many rows as it will keep, chosen by hash.
+def _pool(rows: DataFrame, known: dict[str, Survey], spec: ForestSpec) -> DataFrame:
+    """About as many rows of each model as the pool holds, numbered among their copies.
 
-    One hash per row cuts the training set down to a pool of fixed expected size; only pool rows
-    are considered once per tree.
+    Rows with the same key and features share a hash and would be taken all together or not at all, so a group of n copies
+    gives its part by count. Of a large set only rows of the lowest hashes are grouped, a fixed number whatever the set's size, and
+    each group stands for those that were passed over. Groups large enough to matter by themselves are all counted.
     """
     pool_rows = POOL_FACTOR * spec.n_trees * spec.max_samples
-    pool = _pool(training, min(1.0, pool_rows / known.n_valid), spec)
+    share = {key: min(1.0, pool_rows / max(1, one.n_valid)) for key, one in known.items()}
+    looked_at = {key: min(1.0, OVER * part) for key, part in share.items()}
+    columns = ["model_id", "row_id", *spec.features, "n"]
+    if all(part == 1.0 for part in looked_at.values()):
+        grouped = rows.groupBy(*columns[:-1]).agg(F.count(F.lit(1)).alias("n")).withColumn("expected", F.col("n") * _by_model(share))
+    else:
+        least = OVER * pool_rows * HEAVY_SHARE
+        low = rows.filter(_chance(_row_key(spec), F.lit(spec.seed + 2)) < _by_model(looked_at))
+        light = low.groupBy(*columns[:-1]).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") < least) | (_by_model(looked_at) == 1.0))
+        large = {key: one for key, one in known.items() if looked_at[key] < 1.0}
+        heavy = _frequent(rows.filter(F.col("model_id").isin(list(large))), large, least, spec)
+        grouped = light.withColumn("expected", F.col("n") * _by_model({key: share[key] / looked_at[key] for key in share}))
+        grouped = grouped.unionByName(heavy.withColumn("expected", F.col("n") * _by_model(share)))
+    taken = F.floor(F.col("expected") + _chance(_row_key(spec), F.lit(spec.seed)))
+    chosen = grouped.withColumn("taken", taken).filter("taken > 0")
+    numbered = chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("taken", "n").cast("int"))))
+    return numbered.select("model_id", "row_id", *spec.features, "copy")
+
+
+def _mark(spec: ForestSpec) -> F.Column:
+    """A row's number below ``PRIME``, from the md5 of its key, features (six digits after the point) and copy."""
+    numbers = [F.col(name).cast("double").try_cast("decimal(38,6)").cast("string") for name in spec.features]
+    text = F.concat_ws("|", F.col("row_id").cast("string"), *numbers, F.col("copy").cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % PRIME
+
+
+def _hexes(text: str) -> tuple[int, int]:
+    """The first two groups of eight digits of an md5."""
+    digest = hashlib.md5(text.encode(), usedforsecurity=False).hexdigest()
+    return int(digest[:8], 16), int(digest[8:16], 16)
+
+
+def tree_factors(spec: ForestSpec, tree: int) -> tuple[int, int]:
+    """Factor and summand that turn a row's mark into its draw for a tree."""
+    factor, summand = _hexes(f"{spec.seed}|{tree}")
+    return 1 + factor % (PRIME - 1), summand % PRIME
+
+
+def candidates_tagged(rows: DataFrame, known: dict[str, Survey], spec: ForestSpec) -> DataFrame:
+    """For every tree a few times as many of a model's rows as it will keep, those of the lowest draws.
+
+    Pool rows are few, but a hundred times as many with their trees: they are spread over all cores first.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    pool = _pool(rows, known, spec).withColumn("mark", _mark(spec)).repartition(cores, "mark", "row_id")
+    pool_rows = POOL_FACTOR * spec.n_trees * spec.max_samples
+    limits = {key: min(float(PRIME), PRIME * POOL_FACTOR * spec.max_samples / max(1, min(one.n_valid, pool_rows))) for key, one in known.items()}
+    factors, summands = zip(*[tree_factors(spec, tree) for tree in range(spec.n_trees)])
+
+    def of_tree(numbers: Sequence[int]) -> F.Column:
+        return F.element_at(F.array(*[F.lit(n).cast("long") for n in numbers]), F.col("tree_id") + 1)
+
     per_tree = pool.select(
-        F.lit(model_id).alias("model_id"),
+        "model_id",
         F.explode(F.sequence(F.lit(0), F.lit(spec.n_trees - 1))).alias("tree_id"),
         "row_id",
         "copy",
-        _row_key(spec).alias("key"),
+        "mark",
         *[F.col(name).cast("double").alias(name) for name in spec.features],
     )
-    draw = ("key", "copy", "tree_id", F.lit(spec.seed + 1))
-    share = POOL_FACTOR * spec.max_samples / min(known.n_valid, pool_rows)
-    return per_tree.filter(_hash_below(share, *draw)).withColumn("draw", F.xxhash64(*draw)).drop("key")
+    draw = (of_tree(factors) * F.col("mark") + of_tree(summands)) % PRIME
+    return per_tree.withColumn("draw", draw).filter(F.col("draw") < _by_model(limits)).drop("mark")
+
+
+def candidates(training: DataFrame, model_id: str, known: Survey, spec: ForestSpec) -> DataFrame:
+    return candidates_tagged(tagged({model_id: training}, spec), {model_id: known}, spec)
 
 
 def samples(drawn: DataFrame, spec: ForestSpec, n_models: int = 1) -> DataFrame:
@@ -155,14 +234,15 @@ def samples(drawn: DataFrame, spec: ForestSpec, n_models: int = 1) -> DataFrame:
     """
     cores = drawn.sparkSession.sparkContext.defaultParallelism
     spread = drawn.repartition(max(cores, n_models * min(spec.n_trees, cores)), "model_id", "tree_id")
-    lowest = Window.partitionBy("model_id", "tree_id").orderBy("draw", "row_id", "copy")
+    lowest = Window.partitionBy("model_id", "tree_id").orderBy("draw", "row_id", "copy", *spec.features)
     return spread.withColumn("place", F.row_number().over(lowest)).filter(F.col("place") <= spec.max_samples)
 
 
-def _grow_tree(rows: np.ndarray, rng: np.random.Generator) -> list[tuple]:
+def _grow_tree(rows: np.ndarray, name: str) -> list[tuple]:
     """Split rows at random until they are alone, alike, or at the depth limit.
 
-    Nodes are numbered as in a heap: the children of node i are 2i+1 and 2i+2.
+    Nodes are numbered as in a heap: the children of node i are 2i+1 and 2i+2. The md5 of a tree's name and a node's number
+    chooses among the features that differ, and the place between their lowest and highest value.
     """
     limit = max_depth(len(rows))
     nodes = []
@@ -175,8 +255,9 @@ def _grow_tree(rows: np.ndarray, rng: np.random.Generator) -> list[tuple]:
             path = depth + mean_path_length(len(part))
             nodes.append((node, LEAF, None, LEAF, LEAF, len(part), depth, path))
             continue
-        feature = int(rng.choice(splittable))
-        threshold = rng.uniform(low[feature], high[feature])
+        which, where = _hexes(f"{name}|{node}")
+        feature = int(splittable[which * splittable.size >> 32])
+        threshold = low[feature] + where / 2.0**32 * (high[feature] - low[feature])
         if threshold >= high[feature]:
             threshold = low[feature]
         left = part[:, feature] <= threshold
@@ -193,8 +274,7 @@ def grow(sampled: DataFrame, spec: ForestSpec) -> DataFrame:
 
     def tree(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         model_id, tree_id = key
-        ordered = rows.sort_values(["draw", "row_id"])[features].to_numpy(dtype="float64")
-        grown = _grow_tree(ordered, np.random.default_rng([seed, tree_id]))
+        grown = _grow_tree(rows[features].to_numpy(dtype="float64"), f"{seed}|{tree_id}")
         nodes = pd.DataFrame(grown, columns=columns)
         return nodes.assign(model_id=model_id, tree_id=tree_id)[FOREST_NODES.names]
 
@@ -243,35 +323,65 @@ def _heap_arrays(forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return feature, threshold, length
 
 
-def score_column(forest: Forest) -> F.Column:
-    """Anomaly score in (0, 1]; NULL where a feature is missing."""
+def _scorer(forest: Forest) -> Callable[[np.ndarray], np.ndarray]:
+    """A function from features (a row for each, a column for each reading) to scores; NaN where a feature is missing."""
     feature, threshold, length = _heap_arrays(forest)
     trees, inner = feature.shape
     levels = max_depth(forest.sample_size)
     scale = trees * mean_path_length(forest.sample_size)
 
+    def scores(values: np.ndarray) -> np.ndarray:
+        n_rows = values.shape[1]
+        flat, row = values.ravel(), np.arange(n_rows)
+        total = np.zeros(n_rows)
+        for tree in range(trees):
+            start, limit = feature[tree] * n_rows, threshold[tree]
+            node = np.zeros(n_rows, dtype=np.int64)
+            for _ in range(levels):
+                right = flat.take(start.take(node) + row) > limit.take(node)
+                node *= 2
+                node += 1
+                node += right
+            total += length[tree].take(node - inner)
+        found = np.exp2(-total / scale) if scale else np.ones(n_rows)
+        found[np.isnan(values).any(axis=0)] = np.nan
+        return found
+
+    return scores
+
+
+def _values(columns: Sequence[pd.Series]) -> np.ndarray:
+    return np.vstack([column.to_numpy(dtype="float64", na_value=np.nan) for column in columns])
+
+
+def score_column(forest: Forest) -> F.Column:
+    """Anomaly score in (0, 1]; NULL where a feature is missing."""
+    scores = _scorer(forest)
+
     @F.pandas_udf(T.DoubleType())
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
-            values = np.vstack([column.to_numpy(dtype="float64", na_value=np.nan) for column in columns])
-            n_rows = values.shape[1]
-            flat, row = values.ravel(), np.arange(n_rows)
-            total = np.zeros(n_rows)
-            for tree in range(trees):
-                start, limit = feature[tree] * n_rows, threshold[tree]
-                node = np.zeros(n_rows, dtype=np.int64)
-                for _ in range(levels):
-                    right = flat.take(start.take(node) + row) > limit.take(node)
-                    node *= 2
-                    node += 1
-                    node += right
-                total += length[tree].take(node - inner)
-            scores = pd.Series(np.exp2(-total / scale) if scale else np.ones(n_rows))
-            yield scores.mask(np.isnan(values).any(axis=0))
+            yield pd.Series(scores(_values(columns)))
 
     return score(*[F.col(name).cast("double") for name in forest.spec.features])
 
 
+def score_tagged(rows: DataFrame, forests: dict[str, Forest], spec: ForestSpec) -> DataFrame:
+    """Rows (model_id, row_id, score), each by the forest of its model."""
+    scorers = {key: _scorer(forest) for key, forest in forests.items()}
+
+    @F.pandas_udf(T.DoubleType())
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for models, *columns in batches:
+            values, found = _values(columns), np.empty(len(models))
+            for key, places in models.groupby(models).indices.items():
+                found[places] = scorers[key](np.ascontiguousarray(values[:, places]))
+            yield pd.Series(found)
+
+    scored = rows.select("model_id", "row_id", score("model_id", *[F.col(name).cast("double") for name in spec.features]).alias("score"))
+    return scored.withColumn("score", F.when(~F.isnan("score"), F.col("score")))
+
+
 def score(df: DataFrame, forest: Forest) -> DataFrame:
     """Add the anomaly score. Only the features travel to Python, other columns stay where they are."""
     scored = df.withColumn("score", score_column(forest))
@@ -288,31 +398,25 @@ def predict(df: DataFrame, forest: Forest) -> DataFrame:
     return with_prediction(score(df, forest), forest.threshold)
 
 
-def fit_many(
-    extracted: dict[str, DataFrame], spec: ForestSpec, min_rows: int = rules.MIN_TRAINING_ROWS
+def fit_tagged(
+    extracted: DataFrame, keys: Sequence[str], spec: ForestSpec, min_rows: int = rules.MIN_TRAINING_ROWS, known: dict[str, Survey] | None = None
 ) -> dict[str, Fitted]:
-    """Fit one forest per set of extracted rows (row_id and features), all of them in the same jobs.
+    """Fit one forest per model id on the extracted rows (model_id, row_id and features) that carry it, all in the same jobs.
 
     Only complete rows count, and each set needs ``min_rows`` of them. The score threshold leaves
-    the share ``contamination`` of them above it.
+    the share ``contamination`` of them above it. ``known`` is the survey of these rows, if it was made already.
     """
-    known = survey(extracted, spec)
+    known = {key: (known or survey_tagged(extracted, keys, spec))[key] for key in keys}
     counts = {key: assert_enough(one.n_extracted, one.n_valid, min_rows) for key, one in known.items()}
-    trainings = {key: validate(rows, spec.features) for key, rows in extracted.items()}
-    drawn = [candidates(training, key, known[key], spec) for key, training in trainings.items()]
-    grown = grow(samples(reduce(DataFrame.unionByName, drawn), spec, len(trainings)), spec)
-    nodes = _fetch_nodes(grown, spec, len(trainings))
+    training = validate(extracted, spec.features)
+    grown = grow(samples(candidates_tagged(training, known, spec), spec, len(keys)), spec)
+    nodes = _fetch_nodes(grown, spec, len(keys))
     forests = {
-        key: Forest(key, spec, min(spec.max_samples, counts[key]), nodes[nodes["model_id"] == key])
-        for key in trainings
+        key: Forest(key, spec, min(spec.max_samples, counts[key]), nodes[nodes["model_id"] == key]) for key in keys
     }
     for forest in forests.values():
         assert_whole(forest)
-    scored = [
-        score(training, forests[key]).select(F.lit(key).alias("model_id"), "row_id", "score")
-        for key, training in trainings.items()
-    ]
-    stage = materialise(reduce(DataFrame.unionByName, scored), "training-scores")
+    stage = materialise(score_tagged(training, forests, spec), "training-scores")
     try:
         thresholds = exact_quantile(stage.rows, "score", 1 - spec.contamination, "model_id", counts)
     except Exception:
@@ -329,6 +433,13 @@ def fit_many(
     }
 
 
+def fit_many(
+    extracted: dict[str, DataFrame], spec: ForestSpec, min_rows: int = rules.MIN_TRAINING_ROWS
+) -> dict[str, Fitted]:
+    """Fit one forest per set of extracted rows (row_id and features), all of them in the same jobs."""
+    return fit_tagged(tagged(extracted, spec), list(extracted), spec, min_rows)
+
+
 def fit(
     extracted: DataFrame, model_id: str, spec: ForestSpec = ForestSpec(), min_rows: int = rules.MIN_TRAINING_ROWS
 ) -> Fitted:

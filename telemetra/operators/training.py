@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.functions.times import Instant, closed_window, recent_window
+from telemetra.functions.times import Instant, between_dates, closed_window, instant, recent_window
 from telemetra.rules import MIN_TRAINING_ROWS, TRAINING_HUMIDITY
 from telemetra.schemas import FEATURES
 
@@ -44,6 +44,23 @@ def extract_range(readings: DataFrame, start: Instant, end: Instant, row_id: str
     return _features(closed_window(readings, start, end), row_id)
 
 
+def extract_ranges(
+    readings: DataFrame, ranges: dict[str, tuple[Instant, Instant]], row_id: str = "row_id"
+) -> DataFrame:
+    """Features of the readings in any of some closed ranges: a row (model_id, row_id, features) for each range that holds one.
+
+    The ranges may overlap. Readings are read once, between the earliest start and the latest end.
+    """
+    starts, ends = ([instant(bound) for bound in bounds] for bounds in zip(*ranges.values()))
+    first, last = (F.least(*starts), F.greatest(*ends)) if len(ranges) > 1 else (starts[0], ends[0])
+    when = F.col("event_time")
+    spans = [F.struct(F.lit(key).alias("model_id"), a.alias("a"), b.alias("b")) for key, a, b in zip(ranges, starts, ends)]
+    holding = F.filter(F.array(*spans), lambda span: when.between(span["a"], span["b"]))
+    inside = between_dates(readings, when.between(first, last), first, last).filter(F.col(FEATURES[0]).isNotNull())
+    held = inside.select(F.col(row_id).alias("row_id"), *FEATURES, F.explode(holding).alias("span"))
+    return held.select("span.model_id", "row_id", *FEATURES)
+
+
 def extract_range_sql(spark: SparkSession, readings: DataFrame, start: str, end: str) -> DataFrame:
     """The same by a SQL statement. Its bounds on ``event_date`` let stored readings be pruned; others get the column."""
     if "event_date" not in readings.columns:

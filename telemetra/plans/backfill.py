@@ -13,9 +13,9 @@ from telemetra import rules
 from telemetra.functions.keys import model_key
 from telemetra.functions.times import Instant, instant
 from telemetra.operators.evaluate import assert_healthy, health_score, with_pathology
-from telemetra.operators.forest import Fitted, ForestSpec, fit_many, survey, with_prediction
+from telemetra.operators.forest import Fitted, ForestSpec, Survey, fit_tagged, survey_tagged, with_prediction
 from telemetra.operators.registry import save_model
-from telemetra.operators.training import NotEnoughRows, assert_enough, extract_range
+from telemetra.operators.training import NotEnoughRows, assert_enough, extract_ranges
 from telemetra.tables import Store
 
 # Ranges fitted in the same jobs. It bounds the node rows on the driver and the width of the plan.
@@ -101,27 +101,37 @@ def run_backfill(
     is done stays when a later range fails. Repeated ranges count once. Ranges without a model, being empty, too
     small or pathological, are named by an error once all others are done.
     """
-    readings = store.readings.read(spark)
     wanted = list(dict.fromkeys(ranges))
     by_key = dict(zip(model_keys(spark, wanted), wanted))
     errors: dict[str, str] = {}
     done: list[tuple] = []
     for start in range(0, len(by_key), RANGES_PER_JOB):
         part = dict(list(by_key.items())[start : start + RANGES_PER_JOB])
-        extracted = {key: extract_range(readings, *bounds) for key, bounds in part.items()}
-        for key, known in survey(extracted, spec).items():
+        readings = _readings_of(spark, store, list(part.values()))
+        known = survey_tagged(extract_ranges(readings, part), list(part), spec)
+        for key, one in known.items():
             try:
-                assert_enough(known.n_extracted, known.n_valid, min_rows)
+                assert_enough(one.n_extracted, one.n_valid, min_rows)
             except NotEnoughRows as reason:
                 errors[key] = str(reason)
                 del part[key]
         if part:
-            done += _fit_and_keep(readings, store, part, created_at, min_rows, spec, errors)
+            done += _fit_and_keep(readings, store, part, created_at, min_rows, spec, errors, known)
     if errors:
         raise BackfillFailed(errors)
     return spark.createDataFrame(done, METRICS)
 
 
+def _readings_of(spark: SparkSession, store: Store, ranges: list[tuple[str, str]]) -> DataFrame:
+    """Stored readings of the dates from the earliest start to the latest end; no other folders are listed."""
+    dates = spark.createDataFrame(ranges, "start STRING, end STRING").agg(
+        F.min(F.to_date(F.col("start").cast("timestamp"))).alias("first"),
+        F.max(F.to_date(F.col("end").cast("timestamp"))).alias("last"),
+    )
+    row = dates.first()
+    return store.readings.read_dates(spark, row["first"], row["last"])
+
+
 def _fit_and_keep(
     readings: DataFrame,
     store: Store,
@@ -130,9 +140,10 @@ def _fit_and_keep(
     min_rows: int,
     spec: ForestSpec,
     errors: dict[str, str],
+    known: dict[str, Survey],
 ) -> list[tuple]:
     """Fit ranges that have enough rows and store the healthy models; returns the metrics of these."""
-    result = _fit_ranges(readings, ranges, min_rows, spec, "row_id")
+    result = _fit_ranges(readings, ranges, min_rows, spec, "row_id", known)
     try:
         rows = with_pathology(result.metrics).collect()
         for row in rows:
@@ -147,13 +158,14 @@ def _fit_and_keep(
 
 
 def _fit_ranges(
-    readings: DataFrame, ranges: dict[str, tuple[str, str]], min_rows: int, spec: ForestSpec, row_id: str
+    readings: DataFrame,
+    ranges: dict[str, tuple[str, str]],
+    min_rows: int,
+    spec: ForestSpec,
+    row_id: str,
+    known: dict[str, Survey] | None = None,
 ) -> Backfill:
-    extracted = {
-        key: extract_range(readings, *bounds, row_id).withColumnRenamed(row_id, "row_id")
-        for key, bounds in ranges.items()
-    }
-    fitted = fit_many(extracted, spec, min_rows)
+    fitted = fit_tagged(extract_ranges(readings, ranges, row_id), list(ranges), spec, min_rows, known)
     predictions = [with_prediction(one.scores, one.forest.threshold) for one in fitted.values()]
     metrics = health_score(reduce(DataFrame.unionByName, predictions), spec.contamination, by=("model_id",))
     # One row per range: computed here, so that they outlast the stored scores.

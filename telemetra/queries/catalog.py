@@ -468,26 +468,30 @@ def m_forest_fit(spark, sf_dir):
     extracted, spec = _all_features(spark, sf_dir), forest.ForestSpec()
     known = forest.survey({"all": extracted}, spec)["all"]
     drawn = forest.candidates(training.validate(extracted), "all", known, spec)
-    return forest.grow(forest.samples(drawn, spec), spec)
+    return _rounded(forest.grow(forest.samples(drawn, spec), spec), "threshold", "path_length", digits=9)
+
+
+def _predicted(fitted: forest.Fitted) -> DataFrame:
+    return forest.with_prediction(fitted.scores, fitted.forest.threshold)
 
 
 @query
 def m_forest_score(spark, sf_dir):
-    fitted = _fit(spark, sf_dir)
-    return forest.with_prediction(fitted.scores, fitted.forest.threshold)
+    return _rounded(_predicted(_fit(spark, sf_dir)).select("row_id", "score", "prediction"), "score", digits=9)
 
 
 @query
 def m_forest_health(spark, sf_dir):
     fitted = _fit(spark, sf_dir)
-    return _rates(evaluate.health_score(forest.with_prediction(fitted.scores, fitted.forest.threshold)))
+    return _rates(evaluate.health_score(_predicted(fitted))).withColumn("threshold", F.lit(round(fitted.forest.threshold, 9)))
 
 
 @query
 def m_backfill(spark, sf_dir):
     result = backfill(fixture.readings(spark, sf_dir), BACKFILL_RANGES)
     result.discard()
-    return _rates(result.metrics)
+    thresholds = [(key, round(fitted.forest.threshold, 9)) for key, fitted in result.fitted.items()]
+    return _rates(result.metrics).join(spark.createDataFrame(thresholds, "model_id STRING, threshold DOUBLE"), "model_id")
 
 
 @query
@@ -500,7 +504,7 @@ def d_stream_scoring(spark, sf_dir):
     scored.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(
         availableNow=True
     ).start(f"{root}/scores").awaitTermination()
-    return spark.read.schema(scored.schema).parquet(f"{root}/scores")
+    return _rounded(spark.read.schema(scored.schema).parquet(f"{root}/scores"), "score", digits=9)
 
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

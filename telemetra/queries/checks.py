@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from telemetra.queries.forest_sql import forest
 from telemetra.queries.fixture import AS_OF, RANGE, RAW_SQL
 from telemetra.queries.catalog import BACKFILL_RANGES, EARLY_SUMMARY, LATE_SUMMARY, MAX_SHIFT, OFF_HOUR, ROLLING_DELAY, SENSOR, SENSOR_WINDOW
 
@@ -201,20 +202,30 @@ _CURRENT = """current_champion AS (
   ORDER BY created_at DESC, model_id DESC LIMIT 1)"""
 
 # Rows above the interpolated 0.95 quantile of n different scores.
-_ABOVE = "n_rows - 1 - CAST(floor((n_rows - 1) * 0.95e0) AS BIGINT) AS n_anomalies"
 _HEALTH = (
     f"n_rows, {_round(_RATE, 3)} AS anomaly_rate, {_round(f'1e0 - abs(0.05e0 - {_RATE})', 3)} AS health_score"
 )
+_ALL_FORESTS = forest(f"SELECT * FROM readings WHERE {_COMPLETE}")
+_RANGE_FORESTS = [
+    cte
+    for place, (start, end) in enumerate(BACKFILL_RANGES)
+    for cte in forest(
+        f"SELECT * FROM readings WHERE event_time BETWEEN TIMESTAMP '{start}' AND TIMESTAMP '{end}' AND {_COMPLETE}", f"r{place}"
+    )
+]
 
 
-def _range_rows(start: str, end: str) -> str:
-    key = "isolation_forest_" + "_to_".join(text.replace(" ", "T").replace(":", "-") for text in (start, end))
+def _judged(name: str) -> str:
+    """Counts of a forest's predictions, and its threshold."""
     return (
-        f"SELECT '{key}' AS model_id, COUNT(*) AS n_rows FROM readings "
-        f"WHERE event_time BETWEEN TIMESTAMP '{start}' AND TIMESTAMP '{end}' AND {_COMPLETE}"
+        f"SELECT {_COUNTED}, round(quantile_cont(score, 0.95), 9) AS threshold FROM {name}_scores"
     )
 
 
+def _range_key(start: str, end: str) -> str:
+    return "isolation_forest_" + "_to_".join(text.replace(" ", "T").replace(":", "-") for text in (start, end))
+
+
 # --- series
 
 _HOURLY = """hourly AS (
@@ -394,13 +405,23 @@ FROM raw"""
         f"SELECT COUNT(*) AS n_extracted, COUNT(*) FILTER (WHERE {_COMPLETE}) AS n_valid, "
         f"COUNT(*) - COUNT(*) FILTER (WHERE {_COMPLETE}) AS n_rejected FROM readings"
     ),
-    "m_forest_health": _sql(
-        f"SELECT {_HEALTH} FROM (SELECT *, {_ABOVE} FROM "
-        f"(SELECT COUNT(*) AS n_rows FROM readings WHERE {_COMPLETE}) AS scored) AS counted"
+    "m_forest_fit": _sql(
+        f"""SELECT 'all' AS model_id, * EXCLUDE (threshold, path_length), {_round("threshold", 9)} AS threshold,
+            {_round("path_length", 9)} AS path_length FROM f_nodes""",
+        *_ALL_FORESTS,
+    ),
+    "m_forest_score": _sql(f"SELECT row_id, {_round('score', 9)} AS score, prediction FROM f_scores", *_ALL_FORESTS),
+    "d_stream_scoring": _sql(
+        f"SELECT r.row_id, r.sensor_id, {_round('s.score', 9)} AS score, s.prediction FROM readings r LEFT JOIN f_scores s ON s.row_id = r.row_id",
+        *_ALL_FORESTS,
     ),
+    "m_forest_health": _sql(f"SELECT {_HEALTH}, threshold FROM ({_judged('f')}) AS counted", *_ALL_FORESTS),
     "m_backfill": _sql(
-        f"SELECT model_id, {_HEALTH} FROM (SELECT *, {_ABOVE} FROM "
-        f"({' UNION ALL '.join(_range_rows(*bounds) for bounds in BACKFILL_RANGES)}) AS ranges) AS counted"
+        " UNION ALL ".join(
+            f"SELECT '{_range_key(*bounds)}' AS model_id, {_HEALTH}, threshold FROM ({_judged(f'r{place}')}) AS counted_{place}"
+            for place, bounds in enumerate(BACKFILL_RANGES)
+        ),
+        *_RANGE_FORESTS,
     ),
     "m_health_score": _sql(
         f"SELECT *, {_RATE} AS anomaly_rate, 1e0 - abs(0.05e0 - {_RATE}) AS health_score "

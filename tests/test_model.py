@@ -186,8 +186,78 @@ def test_sample_is_exact_and_drawn_from_a_bounded_pool(spark):
     assert pool <= 2 * forest.POOL_FACTOR * 4 * 64
     sizes = forest.samples(drawn, spec).groupBy("tree_id").count().collect()
     assert [row["count"] for row in sizes] == [64] * 4
-    plan = forest.grow(forest.samples(drawn, spec), spec)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 2
+
+
+def shuffled(df):
+    """Rows that each exchange of an executed plan has written."""
+    df.collect()
+
+    def walk(node):
+        metrics = node.metrics()
+        if node.nodeName().startswith("Exchange"):
+            yield metrics.get("shuffleRecordsWritten").get().value()
+        if "QueryStage" in node.nodeName():
+            yield from walk(node.plan())
+        elif node.nodeName().startswith("AdaptiveSparkPlan"):
+            yield from walk(node.executedPlan())
+        for i in range(node.children().size()):
+            yield from walk(node.children().apply(i))
+
+    return list(walk(df._jdf.queryExecution().executedPlan()))
+
+
+def test_of_a_large_set_only_a_bounded_part_is_shuffled(spark, tmp_path):
+    """Beside one number for each bucket, a fixed multiple of the pool, not the training set."""
+    n, spec = 400_000, forest.ForestSpec(n_trees=4, max_samples=64)
+    pool = forest.POOL_FACTOR * 4 * 64
+    made = spark.range(n).select(F.col("id").alias("row_id"), *[F.rand(3).alias(name) for name in FEATURES])
+    made.write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    rows = shuffled(forest.samples(forest.candidates(df, "m", forest.Survey(n, n), spec), spec))
+    assert len(rows) >= 3 and max(rows) < 1.2 * forest.OVER * pool < n / 4
+    assert sorted(rows)[-2] < 4 * pool
+    assert forest.samples(forest.candidates(df, "m", forest.Survey(n, n), spec), spec).count() == 4 * 64
+
+
+def test_small_groups_of_copies_in_a_large_set(spark):
+    """Groups too small to be found apart are drawn whole or in parts; together they have their share."""
+    n, spec = 400_000, forest.ForestSpec(n_trees=4, max_samples=64)
+    copies = spark.range(1_000).crossJoin(spark.range(200).select(F.lit(1).alias("one")))
+    same = copies.select((-F.col("id") - 1).alias("row_id"), *[(F.col("id") / 1000.0).alias(name) for name in FEATURES])
+    other = spark.range(n // 2).select(F.col("id").alias("row_id"), *[F.rand(3).alias(name) for name in FEATURES])
+    df = same.unionByName(other)
+    pool = forest._pool(forest.tagged({"m": df}, spec), {"m": forest.Survey(n, n)}, spec)
+    rows = pool.groupBy((F.col("row_id") < 0).alias("copied")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("row_id").alias("groups")).collect()
+    found = {r.copied: r for r in rows}
+    wanted = forest.POOL_FACTOR * 4 * 64
+    assert 0.75 * wanted < found[True].n + found[False].n < 1.25 * wanted
+    assert 0.35 < found[True].n / wanted < 0.65 and found[True].groups > 100
+
+
+def test_ranges_are_read_in_one_scan(spark, sf_small):
+    readings = fixture.readings(spark, sf_small)
+    days = [f"2024-01-{day:02}" for day in range(1, 17)]
+    ranges = {f"r{i}": (f"{day} 00:00:00", f"2024-01-{i + 12:02} 12:00:00") for i, day in enumerate(days)}
+    found = training.extract_ranges(readings, ranges)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "GreaterThanOrEqual(ts,2024-01-01" in plan
+    columns = ["row_id", *FEATURES]
+    for key, bounds in ranges.items():
+        one, other = found.filter(F.col("model_id") == key).select(columns), training.extract_range(readings, *bounds)
+        assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+    assert found.groupBy("row_id").count().agg(F.max("count")).first()[0] >= 12
+
+
+def test_a_row_in_three_ranges_counts_three_times(spark):
+    rows = flat(spark, [{"pm2_5": float(n % 23)} for n in range(90)])
+    ranges = {key: ("2024-01-14 00:00:00", f"2024-01-{day} 00:00:00") for key, day in (("a", 15), ("b", 16), ("c", 17))}
+    known = forest.survey_tagged(training.extract_ranges(rows, ranges), list(ranges), SPEC)
+    assert {one.n_valid for one in known.values()} == {90}
+    fitted = forest.fit_tagged(training.extract_ranges(rows, ranges), list(ranges), SPEC)
+    nodes = [one.forest.nodes.drop(columns="model_id").sort_values(["tree_id", "node_id"]).reset_index(drop=True) for one in fitted.values()]
+    assert nodes[0].equals(nodes[1]) and nodes[0].equals(nodes[2])
+    assert len({one.forest.threshold for one in fitted.values()}) == 1
+    fitted["a"].stage.discard()
 
 
 def with_copies(spark, n):
@@ -200,7 +270,7 @@ def with_copies(spark, n):
     return different.unionByName(copies)
 
 
-@pytest.mark.parametrize("n", [1_500, 60_000])
+@pytest.mark.parametrize("n", [1_500, 60_000, 399_999])
 def test_copies_are_sampled_by_their_share(spark, n):
     spec = forest.ForestSpec(n_trees=10, max_samples=64)
     df = with_copies(spark, n)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import compare, duck
@@ -46,3 +47,11 @@ def test_checks_belong_to_queries():
 
 def test_entry(spark):
     assert entry(spark).count() == 13
+
+
+def test_forest_checks_fail_on_other_scores(spark, sf_small, connection):
+    """The SQL of the forest is no formality: scores that only look like scores differ from it."""
+    frame = queries()["m_forest_score"](spark, sf_small).withColumn("score", F.round(F.xxhash64("row_id") / 2.0**64 + 0.5, 9))
+    assert "rows differ" in compare(frame, [tuple(row) for row in frame.collect()], connection, oracle_sql()["m_forest_score"])
+    nodes = queries()["m_forest_fit"](spark, sf_small).withColumn("threshold", F.col("threshold") * 1.000001)
+    assert "rows differ" in compare(nodes, [tuple(row) for row in nodes.collect()], connection, oracle_sql()["m_forest_fit"])
