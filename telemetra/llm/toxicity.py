@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from telemetra.llm import transducers
 from telemetra.llm.transducers import END, EVENTS, INSULT, NEGATION, OTHER, REPORT, TARGET, THREAT
+from telemetra.sources.scans import materialise
 
 # Labelled rows that a model is fitted on, at most. They are those of the lowest hashes.
 MAX_LABELLED = 30_000
@@ -31,7 +32,7 @@ LEAST_EVIDENCE, LEAST_PRECISION = 18.0, 0.9
 BEGINNINGS = range(4, 8)
 RIDGE = 0.02
 CACHED_WORDS = 100_000
-# Documents whose words are held at a time while learning.
+# Documents whose words or matches are held at a time.
 TOGETHER = 256
 
 # Words of each class that the grammar starts with, in English, German, French and Spanish.
@@ -127,6 +128,14 @@ def learn_words(sample: DataFrame) -> list[str]:
                 rows.append((_content_key(words), int(y), list(set(words))))
             yield pd.DataFrame(rows, columns=["key", "y", "words"])
 
+    rows = sample.mapInPandas(per_document, "key long, y int, words array<string>")
+    with materialise(rows.groupBy("key", "y").agg(F.min("words").alias("words")), "toxicity-words") as stored:
+        return _strong_words(sample, stored.rows)
+
+
+def _strong_words(sample: DataFrame, once: DataFrame) -> list[str]:
+    """The words of ``learn_words`` from rows (y, words) in which near copies count once."""
+
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in _parts(batches):
             counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -135,8 +144,6 @@ def learn_words(sample: DataFrame) -> list[str]:
             names = list(counts[0].keys() | counts[1].keys())
             yield pd.DataFrame({"feature": names, "pos": [counts[1][f] for f in names], "neg": [counts[0][f] for f in names]})
 
-    rows = sample.mapInPandas(per_document, "key long, y int, words array<string>")
-    once = rows.groupBy("key", "y").agg(F.min("words").alias("words"))
     totals = {r["y"]: r["count"] for r in once.groupBy("y").count().collect()}
     n_pos, n = sum(v for y, v in totals.items() if y > 0), sum(totals.values())
     if not 0 < n_pos < n:
@@ -192,7 +199,11 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, b
 
     Rows without a label or id teach nothing. The fit takes at most ``bound`` rows.
     """
-    sample = labelled_sample(docs, labels, folds, held_out, bound)
+    with materialise(labelled_sample(docs, labels, folds, held_out, bound), "toxicity-sample") as stored:
+        return _fit(stored.rows)
+
+
+def _fit(sample: DataFrame) -> Model:
     learned = learn_words(sample)
     words = _seed_words() | {word: INSULT for word in learned if not word.endswith("*")}
     beginnings = frozenset(word[:-1] for word in learned if word.endswith("*"))
@@ -200,7 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, b
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         classes = Classes(words, beginnings)
-        for batch in batches:
+        for batch in _parts(batches):
             events = [_counts(_events(text, classes, machine)) for text in batch["text"]]
             kinds = Counter((tuple(x.round(3).tolist()), int(y > 0)) for x, y in zip(events, batch["y"]))
             yield pd.DataFrame([(list(x), y, n) for (x, y), n in kinds.items()], columns=["x", "y", "n"])
@@ -242,7 +253,7 @@ def score(docs: DataFrame, model: Model, text_column: str = "text", to: str = "t
     def toxicity(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         classes = Classes(model.words, model.beginnings)
         weights = np.array(model.weights)
-        for texts in batches:
+        for texts in (part for batch in batches for part in (batch.iloc[i : i + TOGETHER] for i in range(0, len(batch), TOGETHER))):
             scores, found = [], []
             for text in texts:
                 events = _events(text, classes, machine)
