@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from telemetra.llm import bpe, decontaminate, pii, simhash, toxicity
 from telemetra.sources.scans import materialise
 
+# Rows that a stage hands to Python at a time, at most.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -27,8 +29,18 @@ def _free(docs: DataFrame, name: str) -> str:
     return name
 
 
+def _in_small_batches(spark: SparkSession) -> None:
+    """Hand few texts at a time to Python, since texts can be long: buffers on both sides grow to the largest batch and stay.
+
+    This sets the session's ``spark.sql.execution.arrow.maxRecordsPerBatch`` and leaves a smaller one alone.
+    """
+    if int(spark.conf.get(BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not rated toxic."""
+    _in_small_batches(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rating = _free(docs, "toxicity")
     scored = toxicity.score(docs, model, to=rating)
@@ -37,6 +49,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest id; of several rows with that id the first in column order."""
+    _in_small_batches(spark)
     found = simhash.near_duplicates(docs.select("doc_id", "text")).filter("doc_id is not null")
     smallest = F.max(F.col("doc_id") == F.col("component_id"))
     odd = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), smallest.alias("first")).filter("n > 1 or not first")
@@ -51,6 +64,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    _in_small_batches(spark)
     items = _free(docs, "items")
     found = decontaminate.find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), to=items)
     return found.filter(F.size(items) == 0).drop(items)
@@ -58,12 +72,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind, and ``n_chars`` counted again."""
+    _in_small_batches(spark)
     redacted = pii.redact(docs, pii.fit(docs))
     return redacted.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document."""
+    _in_small_batches(spark)
     found = bpe.encoded(docs.select("doc_id", "lang", "source", "text"), VOCABULARY, "n_tokens long, ids array<int>", lambda t: bpe.whole(t)[:2])
     return found.select("doc_id", "lang", "source", "tokens.*")
 
