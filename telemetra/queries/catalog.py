@@ -25,6 +25,7 @@ from telemetra.queries.fixture import AS_OF, RANGE
 from telemetra.schemas import FEATURES, SUMMARY_KEYS
 from telemetra.session import workspace
 from telemetra.sinks.batches import Sink, table_sink
+from telemetra.sinks.unique import Guard
 from telemetra.sources.messages import parse
 from telemetra.sources.scans import materialise, remove_at_exit
 from telemetra.streaming.etl import anomalies_shape, file_sinks, readings_shape, run_etl, transform
@@ -161,6 +162,18 @@ def s_stream_once(spark, sf_dir):
     return store.readings.read(spark).select("sensor_id", "event_time")
 
 
+@query
+def u_unique_append(spark, sf_dir):
+    """Readings stored in two batches, of which the second repeats the first: sensor and time are unique, and the first one stays."""
+    store = Store(_folder(spark, "unique"))
+    store.readings.create(spark)
+    sink = Guard(store.readings).sink(readings_shape)
+    messages = fixture.messages(spark, sf_dir)
+    for batch_id, rows in enumerate((messages.filter("row_id % 2 = 0"), messages)):
+        sink(transform(rows, instant(AS_OF)), batch_id)
+    return store.readings.read(spark).select("sensor_id", "event_time", "batch_id")
+
+
 @query
 def s_rolling_summary(spark, sf_dir):
     """Summaries of all windows of a day, one ending each hour, that the stream has closed."""

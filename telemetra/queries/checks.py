@@ -358,6 +358,9 @@ FROM raw"""
     ),
     "a_daily_summary": _sql("SELECT * FROM today", *_TODAY),
     "s_stream_once": _sql("SELECT DISTINCT sensor_id, event_time FROM readings"),
+    "u_unique_append": _sql(
+        "SELECT sensor_id, event_time, MIN(row_id % 2) AS batch_id FROM readings GROUP BY sensor_id, event_time"
+    ),
     "s_rolling_summary": _sql(f"SELECT * FROM ({_ROLLING}) AS windows"),
     "a_hourly_partials": _sql(_PARTIALS),
     "a_summary_from_hours": _sql("SELECT * FROM today", *_TODAY),

@@ -54,6 +54,10 @@ class Table:
             days = [(first + timedelta(days=n)).isoformat() for n in range((last - first).days + 1)]
         return compacted.read(spark, days)
 
+    def read_days(self, spark: SparkSession, days: list[date]) -> DataFrame:
+        """The rows of single dates."""
+        return Compacted(self.path, self.schema).read(spark, [day.isoformat() for day in days])
+
     def read_window(self, spark: SparkSession, start: Instant, end: Instant, sensor: str | None = None) -> DataFrame:
         """Rows from ``start`` to before ``end``, of one sensor or all. Of compacted dates only files with such rows are opened."""
         at = spark.range(1).select(F.to_date(instant(start)).alias("first"), F.to_date(instant(end)).alias("last")).first()
