@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import os
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -27,7 +26,7 @@ WINDOW, TOP_BITS = 32, 8
 # Shared chunks that are encoded once for all tasks: at most so many, of at most so many characters.
 MAX_SHARED, MAX_SHARED_CHARS = 16_384, 2_048
 # Words that a task remembers, half of them at least being the ones used last.
-MAX_WORDS = 150_000
+MAX_WORDS = 300_000
 # Texts whose tokens are returned together.
 TOGETHER = 512
 # Characters that are hashed at a time.
@@ -126,14 +125,16 @@ class Encoder:
 
     def learn(self, words: set[str]) -> None:
         """Encode words that are not remembered, all in one call."""
-        new = [word for word in words if word not in self.word_ids]
+        new = words.difference(self.word_ids)
         if len(self.word_ids) + len(new) > MAX_WORDS // 2:
-            self.older, self.word_ids, self.word_texts, new = (self.word_ids, self.word_texts), {}, {}, list(words)
+            self.older, self.word_ids, self.word_texts, new = (self.word_ids, self.word_texts), {}, {}, words
+        if not new:
+            return
         ids, texts = self.older
         again = [word for word in new if word in ids]
         self.word_ids.update(zip(again, map(ids.__getitem__, again)))
         self.word_texts.update(zip(again, map(texts.__getitem__, again)))
-        self._encode_words([word for word in new if word not in ids])
+        self._encode_words(list(new.difference(again)))
 
     def _encode_words(self, words: list[str]) -> None:
         """Most words are encoded in one text, parted by a special token, which is faster than one by one."""
@@ -142,7 +143,7 @@ class Encoder:
             self.word_ids[word] = " ".join(map(str, encoding.ids))
             self.word_texts[word] = self.tokenizer.decode(encoding.ids, skip_special_tokens=False)
             self.any_empty |= not encoding.ids
-        rest = [word for word in words if not (self.mark is None or "<|" in word)]
+        rest = [word for word in words if self.mark is not None and "<|" not in word] if apart else words
         if rest:
             ids = self.tokenizer.encode_batch_fast([self.parting.join(rest)], add_special_tokens=False)[0].ids
             for known, names in ((self.word_ids, self.ids), (self.word_texts, self.texts)):
@@ -170,23 +171,18 @@ class Encoder:
         if not text:
             return NO_TOKENS
         text = plain(text)
-        # First the words of all chunks that are not shared, so that new ones are encoded in one call.
+        # Between two shared chunks everything is split into words as one, from the tail of the one to the head of the other.
         pieces: list[Tokens | list[str]] = []
-        border = ""
+        between: list[str] = []
         for piece in chunks(text):
             known = self.shared.get(piece)
-            parted = None if known else _parted(piece)
-            if known is None and parted is None:
-                border += piece
+            if known is None or known.inner is None:
+                between.append(piece)
                 continue
-            head, inner, tail = known or parted
-            if known and inner is None:
-                border += head
-                continue
-            pieces += [[border + head] if border + head else [], inner]
-            border = tail
-        if border:
-            pieces.append([border])
+            between.append(known.head)
+            pieces += [WORD.findall("".join(between)), known.inner]
+            between = [known.tail]
+        pieces.append(WORD.findall("".join(between)))
         self.learn({word for words in pieces if isinstance(words, list) for word in words})
         parts = [self.join(part) if isinstance(part, list) else part for part in pieces]
         parts = [part for part in parts if part.ids]
@@ -198,7 +194,7 @@ def _parted(chunk: str) -> tuple[str, list[str], str] | None:
     first = SPACE.search(chunk)
     if first is None:
         return None
-    last = max(chunk.rfind(c) for c in " \t\n\r")
+    last = max(chunk.rfind(" "), chunk.rfind("\n"), chunk.rfind("\t"), chunk.rfind("\r"))
     return chunk[: first.start()], WORD.findall(chunk, first.start(), last), chunk[last + 1 :]
 
 
@@ -206,34 +202,36 @@ def shared_chunks(docs: DataFrame, path: str, bound: int = MAX_SHARED, text_colu
     """The chunks whose reuse saves most characters, encoded once each.
 
     All chunks of all texts are counted; of those that occur more than once, the ``bound`` with the most characters saved
-    are taken, which keeps the table's size below a fixed one.
+    are taken, which keeps the table's size below a fixed one. Each is then cut again out of one text that holds it.
     """
-    texts = docs.select(F.col(text_column).alias("text"))
+    texts = docs.select(F.col(text_column).alias("text"), F.xxhash64(text_column).alias("holder"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen: Counter[str] = Counter()
-            for text in batch["text"]:
+            keys: list[int] = []
+            sizes, holders = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)]
+            for text, holder in zip(batch["text"], batch["holder"].tolist()):
                 if text:
-                    seen.update(chunk for chunk in chunks(plain(text)) if len(chunk) <= MAX_SHARED_CHARS)
-            yield pd.DataFrame([(_key(c), len(c), n) for c, n in seen.items()], columns=["key", "chars", "n"])
-
-    counted = texts.mapInPandas(count, "key long, chars int, n long").groupBy("key").agg(F.sum("n").alias("n"), F.max("chars").alias("chars"))
+                    found = chunks(plain(text))
+                    keys += map(_key, found)
+                    sizes.append(np.fromiter(map(len, found), dtype=np.int32, count=len(found)))
+                    holders.append(np.full(len(found), holder))
+            frame = pd.DataFrame({"key": np.array(keys, dtype=np.int64), "chars": np.concatenate(sizes), "holder": np.concatenate(holders)})
+            yield frame[frame["chars"] <= MAX_SHARED_CHARS]
+
+    counted = texts.mapInPandas(count, "key long, chars int, holder long").groupBy("key")
+    counted = counted.agg(F.count(F.lit(1)).alias("n"), F.max("chars").alias("chars"), F.min("holder").alias("holder"))
     saved = (F.col("n") - 1) * F.col("chars")
-    keys = counted.filter("n > 1").orderBy(saved.desc(), "key").limit(bound).select("key").toArrow()["key"].to_numpy()
-    if not len(keys):
+    best = counted.filter("n > 1").orderBy(saved.desc(), "key").limit(bound).select("key", "holder").toArrow()
+    if not len(best):
         return {}
-    wanted = docs.sparkSession.sparkContext.broadcast(np.sort(keys))
+    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(best["key"].to_pylist()))
+    # A row for each text that holds a wanted chunk: at most as many as chunks.
+    holders = docs.sparkSession.createDataFrame([(h,) for h in sorted(set(best["holder"].to_pylist()))], "holder long")
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        left = set(wanted.value.tolist())
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                for chunk in chunks(plain(text)) if text and left else ():
-                    if len(chunk) <= MAX_SHARED_CHARS and (key := _key(chunk)) in left:
-                        left.discard(key)
-                        rows.append((key, chunk))
+            rows = [(key, chunk) for text in batch["text"] for chunk in chunks(plain(text)) if (key := _key(chunk)) in wanted.value]
             yield pd.DataFrame(rows, columns=["key", "chunk"])
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,7 +240,8 @@ def shared_chunks(docs: DataFrame, path: str, bound: int = MAX_SHARED, text_colu
             rows = [(chunk, *_flat(encoder.chunk(chunk))) for chunk in batch["chunk"]]
             yield pd.DataFrame(rows, columns=["chunk", "head", "tail", "ids", "decoded"])
 
-    distinct = texts.mapInPandas(fetch, "key long, chunk string").groupBy("key").agg(F.min("chunk").alias("chunk"))
+    held = texts.join(F.broadcast(holders), "holder", "left_semi").select("text")
+    distinct = held.mapInPandas(fetch, "key long, chunk string").groupBy("key").agg(F.min("chunk").alias("chunk"))
     encoded = distinct.mapInPandas(encode, "chunk string, head string, tail string, ids string, decoded string")
     return {r["chunk"]: Chunk(r["head"], None if r["ids"] is None else Tokens(r["ids"], r["decoded"]), r["tail"]) for r in encoded.collect()}
 
