@@ -19,7 +19,8 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes".split(
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BORDERS = frozenset("ul ol dl table select article section div body".split())
 TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
-NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+NAMED = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+CLASS = re.compile(r"[A-Za-z]+(?:[-_]+[A-Za-z]+)*")
 RAW_END = {name: re.compile(f"</{name}(?=[\\s/>])", re.IGNORECASE) for name in RAW}
 TEXT, LINKS = "#", "#a"
 # Elements nested deeper stand beside each other at this depth, as browsers do it.
@@ -78,9 +79,11 @@ def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
 
 
 def _key(name: str, attributes: str) -> str:
+    """An element's name with its classes, role and id, whole but for their digits. A section's id names a place to link to and says nothing."""
     if not attributes:
         return name
-    words = {word.lower() for found in NAMED.findall(attributes) for word in re.findall(r"[A-Za-z]+", "".join(found))}
+    found = [(kind.lower(), "".join(values)) for kind, *values in NAMED.findall(attributes)]
+    words = {word.lower() for kind, value in found if kind != "id" or name != "section" for word in CLASS.findall(value)}
     return f"{name}.{'.'.join(sorted(words))}" if words else name
 
 

@@ -39,8 +39,12 @@ BOILERPLATE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb"
     " breadcrumbs header masthead footer sidebar aside widget notice notices alert cookie cookies consent popup modal overlay newsletter"
     " subscribe subscription signup login search form share sharing social comment comments reply replies respond disqus related"
-    " recommended copyright toolbar pagination complementary contentinfo skip".split()
+    " recommended copyright toolbar pagination complementary contentinfo skip site-header site-footer site-nav main-nav page-header page-footer"
+    " ad-banner ad-slot ad-container cookie-banner cookie-notice cookie-consent share-buttons social-links social-share comment-list comment-form"
+    " related-posts related-articles newsletter-signup sidebar-left sidebar-right skip-link".split()
 )
+# Class words decide on an element only if it holds less of the page's text than this.
+MOST = 0.5
 MAIN = frozenset(("article", "main"))
 
 
@@ -50,8 +54,19 @@ def _split(key: str) -> tuple[str, list[str]]:
 
 
 def is_boilerplate(key: str, in_main: bool) -> bool:
+    """Whether an element's name, or one of its classes as a whole, says that it isn't main text."""
+    name, _ = _split(key)
+    return _by_name(key, in_main) or (name not in MAIN and _by_class(key))
+
+
+def _by_name(key: str, in_main: bool) -> bool:
+    name, _ = _split(key)
+    return name in BOILERPLATE or (name == "header" and not in_main)
+
+
+def _by_class(key: str) -> bool:
     name, words = _split(key)
-    return name in BOILERPLATE or (name == "header" and not in_main) or (name not in MAIN and name != "body" and name != "html" and any(w in BOILERPLATE_WORDS for w in words))
+    return name not in ("body", "html") and any(word in BOILERPLATE_WORDS for word in words)
 
 
 # An expression is [key, optional, repeated, parts]; that of a text is [# or #a, optional, repeated, lowest, highest, pages],
@@ -180,8 +195,28 @@ def template_slots(wrapper: list) -> set[tuple]:
 
 
 def main_blocks(root: Block, template: set[tuple]) -> Iterator[str]:
-    """Main text of a page: what is in an article or main element, or else in the page, but for boilerplate and the host's template."""
-    has_main = _has_main(root)
+    """Main text of a page: what is in an article or main element, or else in the page, but for boilerplate and the host's template.
+
+    An article or main element without text doesn't count. A class says nothing about an element that holds an article or main
+    element, or most of the page's text.
+    """
+    sizes: dict[int, int] = {}
+    holds_main: dict[int, bool] = {}
+
+    def measure(block: Block) -> None:
+        for child in block.children:
+            measure(child)
+        sizes[id(block)] = len(block.text) + sum(sizes[id(child)] for child in block.children)
+        own = [child for child in block.children if not _by_name(child.key, False)]
+        holds_main[id(block)] = any((_split(child.key)[0] in MAIN and sizes[id(child)] > 0) or holds_main[id(child)] for child in own)
+
+    measure(root)
+    has_main, most = holds_main[id(root)], MOST * sizes[id(root)]
+
+    def dropped(block: Block, in_main: bool) -> bool:
+        if _by_name(block.key, in_main):
+            return True
+        return _split(block.key)[0] not in MAIN and _by_class(block.key) and not holds_main[id(block)] and sizes[id(block)] <= most
 
     def walk(block: Block, path: tuple, in_main: bool) -> Iterator[str]:
         for child in block.children:
@@ -189,15 +224,12 @@ def main_blocks(root: Block, template: set[tuple]) -> Iterator[str]:
             if child.key in (TEXT, LINKS):
                 if inside not in template and (in_main or not (has_main or child.key == LINKS)):
                     yield child.text
-            elif not is_boilerplate(child.key, in_main):
+            elif not dropped(child, in_main):
                 yield from walk(child, inside, in_main or _split(child.key)[0] in MAIN)
 
     return walk(root, (root.key,), False)
 
 
-def _has_main(block: Block) -> bool:
-    return any(not is_boilerplate(child.key, False) and (_split(child.key)[0] in MAIN or _has_main(child)) for child in block.children)
-
 
 def host(url: Column) -> Column:
     """Lower-case host of a url; empty without one."""

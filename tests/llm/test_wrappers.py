@@ -87,3 +87,23 @@ def test_constant_line_inside_articles_is_template(spark):
     whole = "Title {0}\ntext {0}\nmore {0}\nRead us every day"
     assert found[200] == whole.format(7)
     assert {found[100 + i] for i in range(6)} == {whole.format(0)}
+
+
+def test_classes_count_as_a_whole_and_never_for_most_of_a_page():
+    story = "<p>Long story</p>"
+    assert text(f'<div class="content has-sidebar"><article>{story}</article></div>') == "Long story"
+    assert text(f'<div class="layout no-sidebar">{story}</div>') == "Long story"
+    assert text(f'<article><div class="entry-header"><h1>Title</h1></div>{story}</article>') == "Title\nLong story"
+    assert text(f'<article>{story}<section id="related-work"><p>Others</p></section><section id="search"><p>How to</p></section></article>') == "Long story\nOthers\nHow to"
+    assert text("<p>first</p><main></main><p>second</p>") == "first\nsecond"
+    assert text(f'<div class="sidebar"><article>{story}</article></div><div class="sidebar"><p>x</p></div>') == "Long story"
+    assert text(f'<div class="widget">{story * 9}</div><p>end</p>') == "\n".join(["Long story"] * 9 + ["end"])
+    assert text(f'<article>{story * 9}<div class="ad">Buy</div><div id="comments"><p>Me too</p></div><div class="cookie-notice">Ok?</div></article>') == "\n".join(["Long story"] * 9)
+    assert text(f'<article>{story}<aside class="none">Side</aside></article><main><p> </p></main>') == "Long story"
+
+
+def test_only_the_wrapper_can_tell_a_template_without_classes(spark):
+    """Pages whose template has no telling class or element: what is the same on all pages goes."""
+    rows = [(i, f"http://plain.net/{i}", f"<body><dl><dt>Our site</dt><dd>since 1999</dd></dl><div><h1>Story {i}</h1><p>Words of {i}.</p></div><ul><li>All rights kept</li></ul></body>") for i in range(12)]
+    found = w.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.main_text for r in found} == {i: f"Story {i}\nWords of {i}." for i in range(12)}
