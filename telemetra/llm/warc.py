@@ -229,7 +229,9 @@ def read(index: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
     Rows are sorted by place, so each frame is read once. Digest and length of a response are taken from the payload
     that was read, and must equal its header; those of a revisit from its header.
     """
-    rows = index.repartition("bundle").sortWithinPartitions("bundle", "frame", "start")
+    # Rows are small but stand for whole bundles, so there is a partition for each bundle, which Spark doesn't merge by size.
+    n_bundles = index.agg(F.count_distinct("bundle").alias("n")).first()["n"]
+    rows = index.repartition(max(1, n_bundles), "bundle").sortWithinPartitions("bundle", "frame", "start")
     columns = [column.split()[0] for column in RECORD.split(", ")]
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
