@@ -14,6 +14,7 @@ from telemetra.plans.daily import NotReady, run_summary, run_training
 from telemetra.queries import fixture
 from telemetra.streaming.etl import file_sinks, run_etl
 from telemetra.tables import Store, Table
+from telemetra.versions import VersionedTable
 
 AS_OF = "2024-01-15 00:00:00"
 
@@ -113,7 +114,7 @@ def test_reading_dates_lists_only_their_folders(spark, tmp_path):
     assert table.read_dates(spark, date(2025, 1, 1), date(2025, 1, 2)).count() == 0
 
 
-def test_upsert_that_is_cut_short_keeps_the_merged_rows(spark, tmp_path, monkeypatch):
+def test_upsert_that_is_cut_short_changes_nothing(spark, tmp_path, monkeypatch):
     table = Store(str(tmp_path / "cut")).summary
     row = spark.createDataFrame([(date(2024, 1, 1), "a")], "summary_date DATE, sensor_id STRING")
     for field in table.schema:
@@ -121,12 +122,14 @@ def test_upsert_that_is_cut_short_keeps_the_merged_rows(spark, tmp_path, monkeyp
             row = row.withColumn(field.name, F.lit(None).cast(field.dataType))
     table.replace_partitions(row)
 
-    def broken(self, df):
+    def broken(*_, **__):
         raise OSError("no space")
 
-    monkeypatch.setattr(Table, "replace_partitions", broken)
-    with pytest.raises(RuntimeError, match="whole partition is in") as failed:
-        table.upsert(row.withColumn("sensor_id", F.lit("b")), ("summary_date", "sensor_id"), F.lit(True))
-    path = str(failed.value).rsplit(" ", 1)[1]
-    assert {r["sensor_id"] for r in spark.read.parquet(path).collect()} == {"a", "b"}
-    assert table.read(spark).count() == 1
+    more = row.withColumn("sensor_id", F.lit("b"))
+    monkeypatch.setattr(VersionedTable, "commit", broken)
+    with pytest.raises(OSError, match="no space"):
+        table.upsert(more, ("summary_date", "sensor_id"), F.lit(True))
+    monkeypatch.undo()
+    assert [r["sensor_id"] for r in table.read(spark).collect()] == ["a"]
+    table.upsert(more, ("summary_date", "sensor_id"), F.lit(True))
+    assert {r["sensor_id"] for r in table.read(spark).collect()} == {"a", "b"}
