@@ -26,8 +26,8 @@ ROUNDS = 3
 SHARED = 0.02
 # Probability of a letter that is no piece, in every language, and added count of a piece.
 UNKNOWN, ADDED = 1e-7, 0.01
-# Longest piece that is looked up, and the length in which longer runs of letters are cut, as of a script without spaces.
-LONGEST_PIECE, LONGEST_WORD = 12, 48
+# The length in which longer runs of letters are cut, as of a script without spaces: sums over more would leave the range of doubles.
+LONGEST_WORD = 48
 # Words that a task remembers, words that are scored together, and characters of texts that are split together.
 MAX_WORDS, TOGETHER, SLICE = 200_000, 8_192, 1_000_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -50,7 +50,7 @@ def pieces_of(path: str) -> dict[str, int]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     names = [model.id_to_piece(i) for i in range(model.vocab_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
-    good = [name for name in names if (name == START or WORD.fullmatch(name.removeprefix(START))) and name == name.lower() and len(name) <= LONGEST_PIECE]
+    good = [name for name in names if (name == START or WORD.fullmatch(name.removeprefix(START))) and name == name.lower()]
     return {name: i for i, name in enumerate(dict.fromkeys(good), 1)}
 
 
@@ -67,6 +67,7 @@ class Pieces:
 
     def __init__(self, pieces: dict[str, int]) -> None:
         self.unknown = len(pieces) + 1
+        self.longest = max(map(len, pieces), default=1)
         self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for size in {len(piece) for piece in pieces}:
             same = [piece for piece in pieces if len(piece) == size]
@@ -80,7 +81,7 @@ class Pieces:
         """Piece numbers by word, start and length less one, for words of one length; a lone letter is always some piece."""
         codes = _codes(words)
         n, length = codes.shape
-        result = np.zeros((n, length, min(LONGEST_PIECE, length)), dtype=np.int32)
+        result = np.zeros((n, length, min(self.longest, length)), dtype=np.int32)
         keys = np.zeros((n, length), dtype=np.uint64)
         for size in range(1, result.shape[2] + 1):
             keys = keys[:, : length - size + 1] * FACTOR + codes[:, size - 1 :]

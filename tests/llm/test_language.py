@@ -12,7 +12,7 @@ PATH = public_tokenizers.path("piece_bpe_32k.model")
 def all_segmentations(word):
     if not word:
         yield []
-    for n in range(1, min(len(word), language.LONGEST_PIECE) + 1):
+    for n in range(1, len(word) + 1):
         for rest in all_segmentations(word[n:]):
             yield [word[:n], *rest]
 
