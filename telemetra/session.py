@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,11 +29,18 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """Executors on several machines need a folder that all of them see."""
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A new folder for an intermediate table, below a folder that all executors share.
 
-    That is the one the session names in ``spark.checkpoint.dir``, or else its warehouse. The rule is
-    the same for every master, and no setting of the session is changed.
+    That is the one the session names in ``spark.checkpoint.dir``, or else its warehouse, and no setting of the session is
+    changed. A warehouse in a machine's own files is no such folder unless all executors run in this one process.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
+    named, warehouse = spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.sql.warehouse.dir")
+    if named is None and warehouse.startswith(("/", "file:")) and not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+        raise NoSharedFolder(f"set spark.checkpoint.dir: {warehouse} is a folder of one machine")
+    root = named or f"{warehouse}/_intermediate"
     return f"{root.rstrip('/')}/telemetra/{name}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 from pathlib import Path
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from samples import flat
 from telemetra import schemas
 from telemetra.functions.times import instant
 from telemetra.operators.summary import daily_summary
-from telemetra.session import workspace
+from telemetra.session import NoSharedFolder, workspace
 from telemetra.sources.scans import load_staged, materialise, stage_file
 from telemetra.tables import Store
 
@@ -99,3 +100,19 @@ def test_workspace_is_below_the_named_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = workspace(spark, "x"), workspace(spark, "x")
     assert first.startswith(f"{root}/telemetra/x-") and first != second
+
+
+def test_a_folder_of_one_machine_is_not_shared(spark):
+    """Without a named folder only a session of one process may use its local warehouse."""
+
+    def session(**settings):
+        conf = MagicMock()
+        conf.get.side_effect = lambda key, *default: settings.get(key.rsplit(".", 1)[-1] if key != "spark.sql.warehouse.dir" else "warehouse", *default)
+        return MagicMock(conf=conf)
+
+    assert workspace(session(dir="hdfs://x/c", warehouse="file:/w", master="yarn"), "n").startswith("hdfs://x/c/telemetra/n-")
+    assert workspace(session(warehouse="hdfs://x/w", master="yarn"), "n").startswith("hdfs://x/w/_intermediate/telemetra/n-")
+    assert workspace(session(warehouse="file:/w", master="local[8]"), "n").startswith("file:/w/_intermediate/")
+    for master in ("yarn", "local-cluster[3,2,1024]", "spark://host:7077"):
+        with pytest.raises(NoSharedFolder):
+            workspace(session(warehouse="file:/w", master=master), "n")
