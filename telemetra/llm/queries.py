@@ -40,13 +40,14 @@ def pii_digest(found: DataFrame) -> DataFrame:
         return F.size(F.filter("pii.base", lambda s: s["kind"] == kind)).cast("long")
 
     counts = [count(kind).alias(f"n_{kind}") for kind in pii.BASE]
-    return found.select("doc_id", *counts, F.sha2(listed("pii.base"), 256).alias("base_sha256"), listed("pii.spans").alias("spans"))
+    n_spans = F.size("pii.spans").cast("long").alias("n_spans")
+    return found.select("doc_id", *counts, F.sha2(listed("pii.base"), 256).alias("base_sha256"), listed("pii.spans").alias("spans"), n_spans)
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii_digest(pii.find(docs, pii.fit(docs)))
+    return pii_digest(pii.fit_and_find(docs))
 
 
 def bpe_digest(docs: DataFrame, path: str) -> DataFrame:
