@@ -11,7 +11,7 @@ the item's length. Words are runs of letters, digits and underscores in lower ca
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from itertools import repeat
 
@@ -22,13 +22,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SIMILARITY = 0.8
-# Shorter items are no evidence of a copy and are left out, as a word 5-gram is the unit of near-duplicates.
+# Shorter items have no room for an edit: they are found where their words stand as they are.
 MIN_WORDS = 5
 # Items are sent to the executors in blocks of at most this many characters, one pass over the documents each.
 BLOCK_CHARS = 4_000_000
-# Walks, hashes of each walk, sampled places of each hash. A window whose embedding agrees with that of an item in
-# a share s of the places is found with probability 1 - (1 - s ** PLACES) ** (WALKS * HASHES); see ``recall``.
-WALKS, HASHES, PLACES = 8, 16, 3
+# Walks over windows of up to so many words, and as many more for each further so many; hashes of each walk, sampled places of each hash.
+# A window whose embedding agrees with that of an item in a share s of the places is found with probability
+# 1 - (1 - s ** PLACES) ** (walks * HASHES); see ``recall``. The share falls as items grow, so long ones need more walks.
+WALKS, WALKED_WORDS, HASHES, PLACES = 8, 100, 16, 3
+# Random bits that are kept as a table, in bytes; those of larger classes are computed at every step.
+TABLE_BYTES = 1 << 25
 SEED = 20240607
 # Items are treated together if their lengths differ by less than this factor; the shortest gives the window.
 LENGTH_STEP = 1.2
@@ -50,9 +53,34 @@ def words_of(text: str | None) -> list[bytes]:
     return lower.encode("utf-8", "surrogatepass").translate(PARTING).split()
 
 
-def recall(agreement: float) -> float:
+def walks_of(window: int) -> int:
+    """Number of walks over windows of a length."""
+    return WALKS * max(1, -(-window // WALKED_WORDS))
+
+
+def recall(agreement: float, window: int = WALKED_WORDS) -> float:
     """Chance that a window is proposed whose embedding agrees in this share of places."""
-    return 1 - (1 - agreement**PLACES) ** (WALKS * HASHES)
+    return 1 - (1 - agreement**PLACES) ** (walks_of(window) * HASHES)
+
+
+class Turns:
+    """The random bits of walks: one for each walk, step and symbol, by a hash of the three."""
+
+    def __init__(self, steps: int, n_symbols: int, n_walks: int) -> None:
+        self.table: np.ndarray | None = None
+        if steps * n_symbols * n_walks <= TABLE_BYTES:
+            symbols = np.arange(n_symbols)
+            self.table = np.array([[self._bits(walk, step, symbols) for step in range(steps)] for walk in range(n_walks)])
+
+    @staticmethod
+    def _bits(walk: int, step: int, symbols: np.ndarray) -> np.ndarray:
+        key = symbols.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(((SEED + walk) << 24) + step)
+        key = (key ^ (key >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        key = (key ^ (key >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return (key >> np.uint64(63)).astype(np.int8)
+
+    def of(self, walk: int, step: int, symbols: np.ndarray) -> np.ndarray:
+        return self.table[walk, step, symbols] if self.table is not None else self._bits(walk, step, symbols)
 
 
 @dataclass(frozen=True)
@@ -63,7 +91,7 @@ class LengthClass:
     most_edits: int
     items: list[tuple[int, np.ndarray]]
     member: np.ndarray
-    turns: np.ndarray = field(repr=False)
+    turns: Turns = field(repr=False)
     places: np.ndarray = field(repr=False)
     # Each item's words, as item times the number of words plus word, sorted.
     pairs: np.ndarray = field(repr=False)
@@ -71,7 +99,7 @@ class LengthClass:
     owners: list[np.ndarray] = field(repr=False)
 
 
-def _walk(symbols: np.ndarray, starts: np.ndarray, window: int, turns: np.ndarray, places: np.ndarray) -> np.ndarray:
+def _walk(symbols: np.ndarray, starts: np.ndarray, window: int, turns: Turns, walk: int, places: np.ndarray) -> np.ndarray:
     """Bit-sampling hashes of the CGK embeddings of windows, one column for each hash of this walk.
 
     In every step the walk writes the symbol it stands on and moves on if that symbol's random bit of the step is set.
@@ -84,7 +112,7 @@ def _walk(symbols: np.ndarray, starts: np.ndarray, window: int, turns: np.ndarra
         symbol = np.where(at < end, symbols[np.minimum(at, len(symbols) - 1)], 0)
         if step in sampled:
             sampled[step] = symbol.astype(np.int64)
-        at += turns[step, symbol]
+        at += turns.of(walk, step, symbol)
     hashes = np.empty((len(starts), len(places)), dtype=np.uint64)
     for i, chosen in enumerate(places):
         key = np.full(len(starts), 1469598103934665603 + i, dtype=np.uint64)
@@ -118,17 +146,17 @@ def _classes(items: list[tuple[int, np.ndarray]], n_words: int, similarity: floa
         window = len(items[0][1])
         group = [item for item in items if len(item[1]) <= max(window, int(window * LENGTH_STEP))]
         items = items[len(group) :]
-        steps = 3 * window
-        turns = rng.integers(0, 2, (WALKS, steps, n_words + 1), dtype=np.int8)
-        places = np.sort(rng.integers(0, max(1, 2 * window), (WALKS, HASHES, PLACES)), axis=2)
+        n_walks = walks_of(window)
+        places = np.sort(rng.integers(0, max(1, 2 * window), (n_walks, HASHES, PLACES)), axis=2)
+        turns = Turns(int(places.max()) + 1, n_words + 1, n_walks)
         member = np.zeros(n_words + 1, dtype=bool)
         joined = np.concatenate([words[:window] for _, words in group])
         for _, words in group:
             member[words] = True
         starts = np.arange(len(group)) * window
         keys, owners = [], []
-        for walk in range(WALKS):
-            hashes = _walk(joined, starts, window, turns[walk], places[walk])
+        for walk in range(n_walks):
+            hashes = _walk(joined, starts, window, turns, walk, places[walk])
             order = np.argsort(hashes, axis=0, kind="stable")
             keys.append(np.take_along_axis(hashes, order, axis=0).T.copy())
             owners.append(order.T.copy())
@@ -141,8 +169,8 @@ def _classes(items: list[tuple[int, np.ndarray]], n_words: int, similarity: floa
 def _proposed(one: LengthClass, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Pairs (place in ``starts``, item) that share a hash, without repeats."""
     pairs = []
-    for walk in range(WALKS):
-        hashes = _walk(symbols, starts, one.window, one.turns[walk], one.places[walk])
+    for walk in range(len(one.places)):
+        hashes = _walk(symbols, starts, one.window, one.turns, walk, one.places[walk])
         for i in range(HASHES):
             keys, owners = one.keys[walk][i], one.owners[walk][i]
             low = np.searchsorted(keys, hashes[:, i], "left")
@@ -175,13 +203,62 @@ def _likely(one: LengthClass, symbols: np.ndarray, starts: np.ndarray, ends: np.
     return pairs[wanted[item] - n_distinct <= allowed[item]]
 
 
-def _search(documents: list[np.ndarray], classes: list[LengthClass], similarity: float) -> list[list[tuple[int, int, int, int]]]:
+@dataclass(frozen=True)
+class Short:
+    """Items of one length that are too short for an edit, with sorted hashes of their words."""
+
+    length: int
+    keys: np.ndarray
+    ids: np.ndarray
+    words: np.ndarray
+
+
+def _hashes(columns: list[np.ndarray]) -> np.ndarray:
+    key = np.zeros(len(columns[0]), dtype=np.uint64)
+    for column in columns:
+        key = (key ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(32)
+    return key
+
+
+def _short(items: list[tuple[int, np.ndarray]]) -> list[Short]:
+    result = []
+    for length in sorted({len(words) for _, words in items}):
+        same = [item for item in items if len(item[1]) == length]
+        words = np.array([words for _, words in same])
+        keys = _hashes(list(words.T))
+        order = np.argsort(keys, kind="stable")
+        result.append(Short(length, keys[order], np.array([item_id for item_id, _ in same])[order], words[order]))
+    return result
+
+
+def _exact(one: Short, joined: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, tuple[int, int, int, int]]]:
+    """(document, match) of every place where a short item's words stand, in the order of places."""
+    columns = [joined[i : len(joined) - one.length + 1 + i] for i in range(one.length)]
+    if not len(columns[0]):
+        return
+    hashes = _hashes(columns)
+    low, high = np.searchsorted(one.keys, hashes, "left"), np.searchsorted(one.keys, hashes, "right")
+    for start in np.flatnonzero(high > low).tolist():
+        document = int(np.searchsorted(ends, start, "right"))
+        if document >= len(ends) or start + one.length > ends[document]:
+            continue
+        at = start - int(ends[document] - lengths[document])
+        for i in range(low[start], high[start]):
+            if (joined[start : start + one.length] == one.words[i]).all():
+                yield document, (int(one.ids[i]), at, at + one.length, 0)
+
+
+def _search(documents: list[np.ndarray], classes: list[LengthClass], similarity: float, short: Sequence[Short] = ()) -> list[list[tuple[int, int, int, int]]]:
     """(item, start, end, edits) found in each of some documents, given as word numbers (zero for words of no item)."""
     found: list[dict[int, tuple[int, int, int, int]]] = [{} for _ in documents]
     lengths = np.array([len(words) for words in documents])
     ends = np.cumsum(lengths)
     widest = max((one.window for one in classes), default=0)
     joined = np.concatenate([*documents, np.zeros(widest, dtype=np.int32)])
+    for few_words in short:
+        for document, match in _exact(few_words, joined, ends, lengths):
+            found[document].setdefault(match[0], match)
     for one in classes:
         # A window that matches has no more strange words than edits are allowed.
         known = one.member[joined]
@@ -227,13 +304,16 @@ def _in_parts(texts: pd.Series, vocabulary: dict[bytes, int]) -> Iterator[list[n
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, list[bytes]]]]:
-    """Items (id, words) in blocks of bounded size; null, short and id-less ones are left out, repeats count once."""
+    """Items (id, words) in blocks of about a size; those without a word or id are left out, repeats count once.
+
+    All texts of an id are in one block, so that it is found once.
+    """
     block, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna().distinct().orderBy("item_id", "text").toLocalIterator():
         words = words_of(row["text"])
-        if len(words) < MIN_WORDS:
+        if not words:
             continue
-        if block and size + len(row["text"]) > BLOCK_CHARS:
+        if block and size + len(row["text"]) > BLOCK_CHARS and block[-1][0] != row["item_id"]:
             yield block
             block, size = [], 0
         block.append((row["item_id"], words))
@@ -263,9 +343,10 @@ def _finder(spark: SparkSession, block: list[tuple[int, list[bytes]]], similarit
     @F.pandas_udf(FOUND)
     def items(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         vocabulary, numbered = shared.value
-        classes = _classes(numbered, len(vocabulary), similarity)
+        classes = _classes([item for item in numbered if len(item[1]) >= MIN_WORDS], len(vocabulary), similarity)
+        short = _short([item for item in numbered if len(item[1]) < MIN_WORDS])
         for texts in batches:
-            found = [matches for part in _in_parts(texts, vocabulary) for matches in _search(part, classes, similarity)]
+            found = [matches for part in _in_parts(texts, vocabulary) for matches in _search(part, classes, similarity, short)]
             yield pd.Series([[dict(zip(("item_id", "start", "end", "edits"), match)) for match in matches] for matches in found])
 
     return items

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from telemetra.llm import decontaminate as d
@@ -55,7 +57,51 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (None, "a b c d e f g"), (2, "x a b c d e f"), (3, "z " * 200_000 + "A, b! c d e f")], "doc_id long, text string")
     bench = spark.createDataFrame([(7, "a b c d e f"), (7, "a b c d e f"), (8, None), (None, "a b c d e"), (9, ""), (10, "a b")], "item_id long, text string")
     rows = d.find_items(docs, bench).collect()
-    assert [[m.item_id for m in r["items"]] for r in rows] == [[], [], [7], [7], [7]]
+    assert [[m.item_id for m in r["items"]] for r in rows] == [[], [], [7, 10], [7, 10], [7, 10]]
     assert rows[4]["items"][0].start == 200_000
     assert [r["items"] for r in d.find_items(docs, bench.limit(0)).collect()] == [[]] * 5
     assert d.find_items(docs.limit(0), bench).collect() == []
+
+
+@pytest.mark.parametrize("length, least", [(60, 0.95), (200, 0.95), (400, 0.95), (800, 0.95)])
+def test_recall_of_long_items(length, least):
+    """Items with a fifth of their words edited, as many as may be."""
+    draw = random.Random(length)
+    vocabulary = ["w%d" % i for i in range(2_000)] + ["the", "of"] * 200
+    items = [draw.choices(vocabulary, k=length) for _ in range(24)]
+    numbers = {word: i for i, word in enumerate(sorted(set(vocabulary)), 1)}
+    coded = [(i, np.array([numbers[w] for w in words], dtype=np.int32)) for i, words in enumerate(items)]
+    classes = d._classes(coded, len(numbers), 0.8)
+    documents, truth = [], []
+    for i, words in enumerate(items):
+        around = [draw.choices(vocabulary, k=draw.randrange(30)) for _ in range(2)]
+        text = around[0] + edited(draw, words, length // 5, vocabulary) + around[1]
+        documents.append(np.array([numbers[w] for w in text], dtype=np.int32))
+        truth.append(brute(" ".join(text), " ".join(words)))
+    found = [{match[0] for match in matches} for matches in d._search(documents, classes, 0.8)]
+    hits = sum(i in one for i, one in enumerate(found))
+    assert all(truth) and hits >= least * len(items)
+
+
+def test_bits_are_the_same_with_and_without_a_table(monkeypatch):
+    symbols = np.array([0, 5, 9, 3, 3])
+    small = d.Turns(20, 10, 4)
+    monkeypatch.setattr(d, "TABLE_BYTES", 0)
+    large = d.Turns(20, 10, 4)
+    assert small.table is not None and large.table is None
+    bits = [[(a.of(walk, step, symbols)).tolist() for walk in range(4) for step in range(20)] for a in (small, large)]
+    assert bits[0] == bits[1] and 0.3 < np.mean(bits[0]) < 0.7
+
+
+def test_short_items_are_found_exactly(spark):
+    docs = spark.createDataFrame([(1, "one two three"), (2, "two one"), (3, "one"), (4, "x one. TWO one two"), (5, None), (6, "\u65e5\u672c\u8a9e\u306e\u6587"), (7, "two")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "one two"), (2, "two three four"), (3, "\u65e5\u672c\u8a9e\u306e\u6587"), (4, "three"), (4, "one two three"), (5, "!!")], "item_id long, text string")
+    found = {r.doc_id: [(m.item_id, m.start, m.end, m.edits) for m in r["items"]] for r in d.find_items(docs, bench).collect()}
+    assert found == {1: [(1, 0, 2, 0), (4, 2, 3, 0)], 2: [], 3: [], 4: [(1, 1, 3, 0)], 5: [], 6: [(3, 0, 1, 0)], 7: []}
+
+
+def test_an_id_is_found_once_whatever_the_blocks(spark, monkeypatch):
+    monkeypatch.setattr(d, "BLOCK_CHARS", 10)
+    bench = spark.createDataFrame([(1, "a b c d e f"), (1, "g h i j k l"), (2, "m n o p q r")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k l m n o p q r")], "doc_id long, text string")
+    assert [m.item_id for m in d.find_items(docs, bench).first()["items"]] == [1, 2]
