@@ -97,7 +97,7 @@ def _key(chunk: str) -> int:
 class Encoder:
     """Encodes texts by chunks and words, with the library's tokenizer for words not seen before."""
 
-    def __init__(self, path: str, shared: dict[str, Chunk] | None = None) -> None:
+    def __init__(self, path: str, shared: dict[str, Chunk] | None = None, remember: int = MAX_WORDS) -> None:
         # A task has one core; threads of the library would only get into each other's way.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -115,7 +115,7 @@ class Encoder:
         if self.mark is not None:
             # No token's text has a line feed, so this parts words in joined tokens as well.
             self.ids[self.mark] = self.texts[self.mark] = "\n"
-        self.shared = shared or {}
+        self.shared, self.remember = shared or {}, remember
         # What ``Tokens`` has, for each word; the words used last, and those before them.
         self.word_ids: dict[str, str] = {}
         self.word_texts: dict[str, str] = {}
@@ -126,7 +126,7 @@ class Encoder:
     def learn(self, words: set[str]) -> None:
         """Encode words that are not remembered, all in one call."""
         new = words.difference(self.word_ids)
-        if len(self.word_ids) + len(new) > MAX_WORDS // 2:
+        if len(self.word_ids) + len(new) > self.remember // 2:
             self.older, self.word_ids, self.word_texts, new = (self.word_ids, self.word_texts), {}, {}, words
         if not new:
             return
@@ -258,10 +258,12 @@ def encoded(
     text_column: str = "text",
     bound: int = MAX_SHARED,
     to: str = "tokens",
+    remember: int = MAX_WORDS,
 ) -> DataFrame:
     """Add a struct ``to`` to every row: number, ids and decoded text, or what ``finish`` makes of them as ``columns``.
 
-    ``path`` is the vocabulary's file, which every executor must have. Null and empty texts have no tokens. No
+    ``path`` is the vocabulary's file, which every executor must have. A task remembers the tokens of at most ``remember`` words; fewer take
+    less memory and more time. Null and empty texts have no tokens. No
     row is lost or repeated, and every other column stays as it is.
     """
     shared = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, path, bound, text_column))
@@ -270,7 +272,7 @@ def encoded(
 
     @F.pandas_udf(columns)
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path, shared.value)
+        encoder = Encoder(path, shared.value, remember)
         for texts in batches:
             for begin in range(0, len(texts), TOGETHER):
                 part = texts.iloc[begin : begin + TOGETHER]
