@@ -17,7 +17,9 @@ from telemetra.llm import bpe, decontaminate, pii, simhash, toxicity
 from telemetra.sources.scans import materialise
 
 # Rows that a stage hands to Python at a time, at most.
-BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 500
+# Words whose tokens a task remembers: fewer than by default, since executors keep what earlier stages grew to.
+REMEMBERED_WORDS = 50_000
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -73,14 +75,15 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind, and ``n_chars`` counted again."""
     _in_small_batches(spark)
-    redacted = pii.redact(docs, pii.fit(docs))
+    redacted = pii.redact(docs)
     return redacted.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document."""
     _in_small_batches(spark)
-    found = bpe.encoded(docs.select("doc_id", "lang", "source", "text"), VOCABULARY, "n_tokens long, ids array<int>", lambda t: bpe.whole(t)[:2])
+    rows = docs.select("doc_id", "lang", "source", "text")
+    found = bpe.encoded(rows, VOCABULARY, "n_tokens long, ids array<int>", lambda t: bpe.whole(t)[:2], remember=REMEMBERED_WORDS)
     return found.select("doc_id", "lang", "source", "tokens.*")
 
 
