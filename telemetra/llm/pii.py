@@ -399,39 +399,57 @@ def fit_and_find(docs: DataFrame, to: str = "pii", max_proposals: int = MAX_PROP
     ``docs`` has doc_id and text. Proposals are stored with their ratings, thresholds are counted from these, and what reaches
     them is selected from the stored rows.
     """
-    trees, share = fit_trees(docs, max_proposals, sample_docs)
-    hidden, key = f"_{to}_rated", f"_{to}_key"
-    stored = materialise(rated(docs, trees, hidden).withColumn(key, _key()), "pii-rated").until_exit()
-    apart = stored.select(f"{hidden}.proposals", F.col(key).alias("key")).filter(~_trains(share))
-    thresholds = calibrated(apart, trees)
+    hidden = f"_{to}_rated"
+    stored, thresholds = _rated_once(docs, hidden, max_proposals, sample_docs)
 
     @F.pandas_udf(SPANS)
     def spans(base: pd.Series, found: pd.Series) -> pd.Series:
-        rows = []
-        for own, open_ in zip(base, found):
-            own = [(s["start"], s["end"], s["kind"]) for s in own]
-            rated_ = [((s["start"], s["end"], s["kind"]), s["rating"]) for s in open_]
-            rows.append([dict(zip(("start", "end", "kind"), s)) for s in selected(own, rated_, thresholds)])
+        rows = [[dict(zip(("start", "end", "kind"), s)) for s in _chosen(own, open_, thresholds)] for own, open_ in zip(base, found)]
         return pd.Series(rows, dtype=object)
 
     base, found = F.col(f"{hidden}.base"), F.col(f"{hidden}.proposals")
     chosen = F.when(F.size(found) > 0, spans(base, found)).otherwise(base)
-    return stored.withColumn(to, F.struct(base.alias("base"), chosen.alias("spans"))).drop(hidden, key)
+    return stored.withColumn(to, F.struct(base.alias("base"), chosen.alias("spans"))).drop(hidden)
+
+
+def _rated_once(docs: DataFrame, hidden: str, max_proposals: int, sample_docs: int) -> tuple[DataFrame, dict[str, float]]:
+    """The stored rows with ``hidden``, their base and rated proposals, and the thresholds counted from these."""
+    trees, share = fit_trees(docs, max_proposals, sample_docs)
+    key = f"{hidden}_key"
+    stored = materialise(rated(docs, trees, hidden).withColumn(key, _key()), "pii-rated").until_exit()
+    apart = stored.select(f"{hidden}.proposals", F.col(key).alias("key")).filter(~_trains(share))
+    return stored.drop(key), calibrated(apart, trees)
 
 
 def redact(docs: DataFrame, model: Model | None = None, text_column: str = "text") -> DataFrame:
     """The same rows and columns, with the kind in brackets in place of every span; null texts stay null.
 
-    Without a model one is fitted on these documents (doc_id and text), whose texts are rated once.
+    Without a model one is fitted on these documents (doc_id and text), whose texts are rated once. Spans are chosen and
+    replaced in one call, so that a task needs one Python process, and only texts with something to choose are handed to it.
     """
-    found = fit_and_find(docs, FOUND) if model is None else find(docs, model, text_column, FOUND)
+    if model is not None:
+
+        @F.pandas_udf("string")
+        def found_and_redacted(texts: pd.Series) -> pd.Series:
+            return pd.Series([None if text is None else _without(text, all_spans(text, model)[1]) for text in texts], dtype=object)
+
+        return docs.withColumn(text_column, found_and_redacted(F.col(text_column)))
+    stored, thresholds = _rated_once(docs, FOUND, MAX_PROPOSALS, SAMPLE_DOCS)
 
     @F.pandas_udf("string")
-    def redacted(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        rows = [None if text is None else _without(text, [(s["start"], s["end"], s["kind"]) for s in own]) for text, own in zip(texts, spans)]
+    def redacted(texts: pd.Series, base: pd.Series, found: pd.Series) -> pd.Series:
+        rows = [None if text is None else _without(text, _chosen(own, open_, thresholds)) for text, own, open_ in zip(texts, base, found)]
         return pd.Series(rows, dtype=object)
 
-    return found.withColumn(text_column, redacted(F.col(text_column), F.col(f"{FOUND}.spans"))).drop(FOUND)
+    base, found, text = F.col(f"{FOUND}.base"), F.col(f"{FOUND}.proposals"), F.col(text_column)
+    some = F.when((F.size(base) > 0) | (F.size(found) > 0), text)
+    return stored.withColumn(text_column, F.coalesce(redacted(some, base, found), text)).drop(FOUND)
+
+
+def _chosen(base: Iterable[dict], found: Iterable[dict], thresholds: dict[str, float]) -> list[tuple[int, int, str]]:
+    """``selected`` from the structs of a stored row."""
+    rated_ = [((s["start"], s["end"], s["kind"]), s["rating"]) for s in found]
+    return selected([(s["start"], s["end"], s["kind"]) for s in base], rated_, thresholds)
 
 
 def _without(text: str, spans: list[tuple[int, int, str]]) -> str:

@@ -93,6 +93,18 @@ def test_redaction_keeps_columns_and_rows(spark):
     assert pii.redact(docs.limit(0), pii.fit(docs.limit(0))).collect() == []
 
 
+def test_redaction_takes_one_python_process_a_task(spark):
+    rows = [(i, f"word{i} a.{i}@example.com token=Xk29vLq81Zt{i}") for i in range(30)] + [(None, None), (40, ""), (41, "plain words only"), (41, "plain words only")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.redact(docs)
+    # Chained calls would run a second process beside the first, and executors keep both.
+    for redacted in (found, pii.redact(docs, pii.fit(docs))):
+        assert redacted._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    spans = pii.fit_and_find(docs).select("text", "pii.spans").collect()
+    want = [None if r.text is None else pii._without(r.text, [tuple(s) for s in r.spans]) for r in spans]
+    assert sorted(want, key=str) == sorted((r.text for r in found.collect()), key=str) and want.count("plain words only") == 2
+
+
 def test_long_secrets_vanish_whole(spark):
     draw = random.Random(2)
     long = "".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=300))
