@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
+from operator import itemgetter
 from typing import NamedTuple
 
 import numpy as np
@@ -33,8 +34,10 @@ TOGETHER = 512
 SEGMENT = 1 << 20
 # White space at which texts can be cut: the tokenizer takes it as white space and keeps no part of it.
 SPACE = re.compile(r"[ \t\n\r]")
-# Latin letters before one sign at the end of a word are a word of their own, as is the sign.
-WORD = re.compile(r"[a-zß-öø-įı-ɏ]+(?=[.,;:!?](?:[ \t\n\r]|\Z))|[^ \t\n\r]+")
+# A sign behind a Latin letter at the end of a word is a word of its own.
+SIGN = re.compile(r"[.,;:!?](?<=[a-zß-öø-įı-ɏ].)(?=[ \t\n\r]|\Z)")
+# Words that the tokenizer leaves whole.
+LETTERS = re.compile(r"[a-zß-öø-įı-ɏ]+")
 # Texts with a character beyond these, or with what may begin a special token, are not put into lower case beforehand.
 ODD = re.compile(r"[^\x00-\u012f\u0131-\u024f]|<\|")
 _GEAR = np.random.default_rng(20240607).integers(0, 2**32, 65_536, dtype=np.uint32)
@@ -60,11 +63,24 @@ class Chunk(NamedTuple):
 
 
 NO_TOKENS = Tokens("", "")
+IDS, TEXT = itemgetter(0), itemgetter(1)
 
 
 def plain(text: str) -> str:
     """Lower case, as the tokenizer makes it, where that is certain to give the same tokens; else the text itself."""
-    return text if ODD.search(text) else text.lower()
+    try:
+        # Most texts are of these characters, and this is the faster way to tell.
+        text.encode("latin-1")
+        odd = "<|" in text
+    except UnicodeEncodeError:
+        odd = ODD.search(text)
+    return text if odd else text.lower()
+
+
+def words(text: str) -> list[str]:
+    """What stands between white space, with signs apart that end a word."""
+    text = SIGN.sub(r" \g<0>", text).replace("\n", " ").replace("\t", " ").replace("\r", " ")
+    return list(filter(None, text.split(" ")))
 
 
 def cuts(text: str) -> list[int]:
@@ -76,9 +92,8 @@ def cuts(text: str) -> list[int]:
         rolled = _GEAR[(codes ^ (codes >> 16)) & 0xFFFF]
         reach = 1
         while reach < WINDOW:
-            longer = rolled.copy()
-            longer[reach:] += rolled[:-reach] << np.uint32(reach)
-            rolled, reach = longer, 2 * reach
+            rolled[reach:] += rolled[:-reach] << np.uint32(reach)
+            reach *= 2
         found.append(np.flatnonzero(rolled >> np.uint32(32 - TOP_BITS) == 0) + first + 1)
         found[-1] = found[-1][found[-1] > begin]
     ends = np.concatenate(found).tolist() if found else []
@@ -109,62 +124,72 @@ class Encoder:
             raise ValueError("tokens of this vocabulary can't be decoded word by word")
         special = [(i, token.content) for i, token in self.tokenizer.get_added_tokens_decoder().items() if token.special and not token.normalized]
         self.mark, self.parting = special[0] if special else (None, None)
-        size = self.tokenizer.get_vocab_size()
-        self.ids = [str(i) for i in range(size)]
-        self.texts = [self.tokenizer.decode([i], skip_special_tokens=False) for i in range(size)]
+        # Every token's id and text, with a line feed behind those that end a word. Texts of tokens have no such characters.
+        ending, numbers = getattr(self.tokenizer.model, "end_of_word_suffix", None), range(self.tokenizer.get_vocab_size())
+        behind = ["\n" if ending and (self.tokenizer.id_to_token(i) or "").endswith(ending) else " " for i in numbers]
+        self.ids = [f"{i}{sign}" for i, sign in zip(numbers, behind)]
+        self.texts = [self.tokenizer.decode([i], skip_special_tokens=False) + sign for i, sign in zip(numbers, behind)]
         if self.mark is not None:
-            # No token's text has a line feed, so this parts words in joined tokens as well.
-            self.ids[self.mark] = self.texts[self.mark] = "\n"
+            self.ids[self.mark] = self.texts[self.mark] = "\r"
         self.shared, self.remember = shared or {}, remember
         # What ``Tokens`` has, for each word; the words used last, and those before them.
-        self.word_ids: dict[str, str] = {}
-        self.word_texts: dict[str, str] = {}
-        self.older: tuple[dict[str, str], dict[str, str]] = ({}, {})
+        self.known: dict[str, tuple[str, str]] = {}
+        self.older: dict[str, tuple[str, str]] = {}
         # Words without tokens, which leave no space.
         self.any_empty = False
 
     def learn(self, words: set[str]) -> None:
         """Encode words that are not remembered, all in one call."""
-        new = words.difference(self.word_ids)
-        if len(self.word_ids) + len(new) > self.remember // 2:
-            self.older, self.word_ids, self.word_texts, new = (self.word_ids, self.word_texts), {}, {}, words
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > self.remember // 2:
+            self.older, self.known, new = self.known, {}, words
         if not new:
             return
-        ids, texts = self.older
-        again = [word for word in new if word in ids]
-        self.word_ids.update(zip(again, map(ids.__getitem__, again)))
-        self.word_texts.update(zip(again, map(texts.__getitem__, again)))
+        again = {word: self.older[word] for word in new if word in self.older}
+        self.known.update(again)
         self._encode_words(list(new.difference(again)))
 
     def _encode_words(self, words: list[str]) -> None:
-        """Most words are encoded in one text, parted by a special token, which is faster than one by one."""
+        """Most words are encoded in one text, which is faster than one by one: those of Latin letters with spaces between them."""
+        whole = list(filter(LETTERS.fullmatch, words))
+        if whole:
+            found = [part.split("\n") for part in self._joined(whole, " ")]
+            # There is one ending token for each word, unless the vocabulary parts words or has no such tokens.
+            if all(len(parts) == len(whole) + 1 and not parts[-1] for parts in found):
+                self.known.update(zip(whole, zip(*found)))
+                words = [word for word in words if not LETTERS.fullmatch(word)]
         apart = [word for word in words if self.mark is None or "<|" in word]
         for word, encoding in zip(apart, self.tokenizer.encode_batch_fast(apart, add_special_tokens=False) if apart else ()):
-            self.word_ids[word] = " ".join(map(str, encoding.ids))
-            self.word_texts[word] = self.tokenizer.decode(encoding.ids, skip_special_tokens=False)
+            self.known[word] = " ".join(map(str, encoding.ids)), self.tokenizer.decode(encoding.ids, skip_special_tokens=False)
             self.any_empty |= not encoding.ids
         rest = [word for word in words if self.mark is not None and "<|" not in word] if apart else words
         if rest:
-            ids = self.tokenizer.encode_batch_fast([self.parting.join(rest)], add_special_tokens=False)[0].ids
-            for known, names in ((self.word_ids, self.ids), (self.word_texts, self.texts)):
-                parted = [part.strip(" ") for part in " ".join([names[i] for i in ids]).split("\n")]
-                known.update(zip(rest, parted, strict=True))
-            self.any_empty |= "" in parted
+            # The others are parted by a special token.
+            found = [part.replace("\n", " ").split("\r") for part in self._joined(rest, self.parting)]
+            pairs = [(ids.strip(" "), text.strip(" ")) for ids, text in zip(*found, strict=True)]
+            self.known.update(zip(rest, pairs, strict=True))
+            self.any_empty |= ("", "") in pairs
+
+    def _joined(self, words: list[str], between: str) -> tuple[str, str]:
+        """The ids and the texts of words encoded as one."""
+        ids = self.tokenizer.encode_batch_fast([between.join(words)], add_special_tokens=False)[0].ids
+        return "".join(map(self.ids.__getitem__, ids)), "".join(map(self.texts.__getitem__, ids))
 
     def join(self, words: list[str]) -> Tokens:
         """Tokens of words that are remembered, in order."""
+        found = list(map(self.known.__getitem__, words))
         if self.any_empty:
-            words = [word for word in words if self.word_ids[word]]
-        return Tokens(" ".join(map(self.word_ids.__getitem__, words)), " ".join(map(self.word_texts.__getitem__, words)))
+            found = [pair for pair in found if pair[0]]
+        return Tokens(" ".join(map(IDS, found)), " ".join(map(TEXT, found)))
 
     def chunk(self, chunk: str) -> Chunk:
         """The tokens of a chunk that stands alone."""
         parted = _parted(chunk)
         if parted is None:
             return Chunk(chunk, None, "")
-        head, words, tail = parted
-        self.learn(set(words))
-        return Chunk(head, self.join(words), tail)
+        head, between, tail = parted
+        self.learn(set(between))
+        return Chunk(head, self.join(between), tail)
 
     def encode(self, text: str | None) -> Tokens:
         """Tokens of a whole text; a null text counts as empty."""
@@ -180,10 +205,10 @@ class Encoder:
                 between.append(piece)
                 continue
             between.append(known.head)
-            pieces += [WORD.findall("".join(between)), known.inner]
+            pieces += [words("".join(between)), known.inner]
             between = [known.tail]
-        pieces.append(WORD.findall("".join(between)))
-        self.learn({word for words in pieces if isinstance(words, list) for word in words})
+        pieces.append(words("".join(between)))
+        self.learn(set().union(*(piece for piece in pieces if isinstance(piece, list))))
         parts = [self.join(part) if isinstance(part, list) else part for part in pieces]
         parts = [part for part in parts if part.ids]
         return Tokens(" ".join([p.ids for p in parts]), " ".join([p.text for p in parts]))
@@ -195,7 +220,7 @@ def _parted(chunk: str) -> tuple[str, list[str], str] | None:
     if first is None:
         return None
     last = max(chunk.rfind(" "), chunk.rfind("\n"), chunk.rfind("\t"), chunk.rfind("\r"))
-    return chunk[: first.start()], WORD.findall(chunk, first.start(), last), chunk[last + 1 :]
+    return chunk[: first.start()], words(chunk[first.start() : last]), chunk[last + 1 :]
 
 
 def shared_chunks(docs: DataFrame, path: str, bound: int = MAX_SHARED, text_column: str = "text") -> dict[str, Chunk]:
@@ -226,8 +251,8 @@ def shared_chunks(docs: DataFrame, path: str, bound: int = MAX_SHARED, text_colu
     if not len(best):
         return {}
     wanted = docs.sparkSession.sparkContext.broadcast(frozenset(best["key"].to_pylist()))
-    # A row for each text that holds a wanted chunk: at most as many as chunks.
-    holders = docs.sparkSession.createDataFrame([(h,) for h in sorted(set(best["holder"].to_pylist()))], "holder long")
+    # The texts that hold a wanted chunk: at most as many as chunks. An Arrow table needs no Python process on the executors.
+    holders = docs.sparkSession.createDataFrame(best.select(["holder"]))
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -282,7 +307,7 @@ def encoded(
 
 
 def whole(tokens: Tokens) -> tuple:
-    return tokens.n, np.array(tokens.ids.split(), dtype=np.int32), tokens.text
+    return tokens.n, np.fromstring(tokens.ids, dtype=np.int32, sep=" "), tokens.text
 
 
 def decoded(tokens: DataFrame, path: str, ids_column: str = "ids") -> DataFrame:

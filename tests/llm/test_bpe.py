@@ -41,6 +41,30 @@ def test_equals_the_library(spark, library):
             assert row.tokens.decoded == tokenizer.decode(ids, skip_special_tokens=False)
 
 
+def test_words_are_encoded_in_one_text_without_marks(library):
+    encoder, marked = bpe.Encoder(PATH), []
+    joined = encoder._joined
+    encoder._joined = lambda words, between: marked.extend(words * (between != " ")) or joined(words, between)
+    text = "Wörter, die nie (so) stehen: ÀÉa. b2 c.d it's, straße! \tx\ry\n\nz., ŉ?"
+    assert encoder.encode(text).ids.split() == [str(i) for i in library(text)]
+    assert {"(so)", "b2", "c.d", "it's"} <= set(marked) and not {"wörter", "die", "straße", "x", "y"} & set(marked)
+    # A vocabulary that parts such words, or has no tokens that end them, gets marks for all of them.
+    for names in ([f"{i} " for i in range(len(encoder.ids))], [f"{i}\n" for i in range(len(encoder.ids))]):
+        other = bpe.Encoder(PATH)
+        other.ids = [name if own != "\r" else own for own, name in zip(other.ids, names)]
+        assert other.encode(text).ids.split() == [str(i) for i in library(text)]
+
+
+def test_shared_chunks_start_no_python_for_a_list_of_ids(spark, monkeypatch):
+    made = []
+    create = type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **b: made.append(type(data)) or create(self, data, *a, **b))
+    passage = "".join(random.Random(3).choices("abcdefgh   ", k=5000))
+    docs = spark.createDataFrame([(i, f"{i} " + passage) for i in range(5)], "doc_id long, text string")
+    made.clear()
+    assert bpe.shared_chunks(docs, PATH) and list not in made
+
+
 def test_digest_and_decoding(spark, library):
     docs = spark.createDataFrame([(1, "Hello  world it's"), (1, "Hello  world it's"), (2, None)], "doc_id long, text string")
     rows = sorted(bpe_digest(docs, PATH).collect(), key=lambda r: r.doc_id)
