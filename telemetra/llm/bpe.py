@@ -5,37 +5,47 @@ that share a passage share its chunks. Chunks that documents share are counted o
 save most work are encoded once, and their tokens go to all tasks as a table of bounded size. Any other
 chunk is encoded where it stands. Tokens never reach across white space, so a chunk's tokens hold between its first
 and its last white space; where chunks join, the words around the border are encoded again as one, over as many chunks
-as it takes, until the result is that of the whole text. A table of bounded size remembers words within a task.
+as it takes, until the result is that of the whole text. Texts are split into words and put together again many at a
+time, as Arrow columns, so each word is looked up once for all of them; a table of bounded size remembers words within a task.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import batched
 from operator import itemgetter
-from typing import NamedTuple
+from typing import TYPE_CHECKING, NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 # The hash looks at this many characters; a chunk ends where its top bits are zero, on average after 256.
 WINDOW, TOP_BITS = 32, 8
 # Shared chunks that are encoded once for all tasks: at most so many, of at most so many characters.
 MAX_SHARED, MAX_SHARED_CHARS = 16_384, 2_048
 # Words that a task remembers, half of them at least being the ones used last.
 MAX_WORDS = 300_000
-# Texts whose tokens are returned together.
-TOGETHER = 512
+# Texts that are encoded together: at most so many, and no further one after so many characters.
+TOGETHER, TOGETHER_CHARS = 512, 1 << 18
+# Words of Latin letters that go to the tokenizer as one text.
+JOINED = 64
 # Characters that are hashed at a time.
 SEGMENT = 1 << 20
 # White space at which texts can be cut: the tokenizer takes it as white space and keeps no part of it.
 SPACE = re.compile(r"[ \t\n\r]")
-# A sign behind a Latin letter at the end of a word is a word of its own.
-SIGN = re.compile(r"[.,;:!?](?<=[a-zß-öø-įı-ɏ].)(?=[ \t\n\r]|\Z)")
+# Signs behind a Latin letter at the end of a word are a word of their own. Apostrophes and what special tokens are made of stay.
+SIGN = re.compile(r"[.,;:!?\"#$%&*+\-/=@^~](?<=[a-zß-öø-įı-ɏ].)[.,;:!?\"#$%&*+\-/=@^~]*(?=[ \t\n\r]|\Z)")
 # Words that the tokenizer leaves whole.
 LETTERS = re.compile(r"[a-zß-öø-įı-ɏ]+")
 # Texts with a character beyond these, or with what may begin a special token, are not put into lower case beforehand.
@@ -64,6 +74,8 @@ class Chunk(NamedTuple):
 
 NO_TOKENS = Tokens("", "")
 IDS, TEXT = itemgetter(0), itemgetter(1)
+# The words of vocabularies that part text in the usual way.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def plain(text: str) -> str:
@@ -77,10 +89,9 @@ def plain(text: str) -> str:
     return text if odd else text.lower()
 
 
-def words(text: str) -> list[str]:
-    """What stands between white space, with signs apart that end a word."""
-    text = SIGN.sub(r" \g<0>", text).replace("\n", " ").replace("\t", " ").replace("\r", " ")
-    return list(filter(None, text.split(" ")))
+def spaced(text: str) -> str:
+    """The text with spaces for white space, and before signs that end a word."""
+    return SIGN.sub(r" \g<0>", text).replace("\n", " ").replace("\t", " ").replace("\r", " ")
 
 
 def cuts(text: str) -> list[int]:
@@ -135,92 +146,142 @@ class Encoder:
         # What ``Tokens`` has, for each word; the words used last, and those before them.
         self.known: dict[str, tuple[str, str]] = {}
         self.older: dict[str, tuple[str, str]] = {}
-        # Words without tokens, which leave no space.
-        self.any_empty = False
-
-    def learn(self, words: set[str]) -> None:
-        """Encode words that are not remembered, all in one call."""
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > self.remember // 2:
-            self.older, self.known, new = self.known, {}, words
-        if not new:
-            return
-        again = {word: self.older[word] for word in new if word in self.older}
-        self.known.update(again)
-        self._encode_words(list(new.difference(again)))
-
-    def _encode_words(self, words: list[str]) -> None:
+        self.simple = _simple(self.tokenizer)
+
+    def look_up(self, words: list[str]) -> list[tuple[str, str]]:
+        """Ids and text of distinct words; those that are not remembered are encoded in one call."""
+        found = list(map(self.known.get, words))
+        fresh = [word for word, pair in zip(words, found) if pair is None]
+        if fresh:
+            pairs = {word: pair for word in fresh if (pair := self.older.get(word)) is not None}
+            pairs |= self._encode_words([word for word in fresh if word not in pairs])
+            found = [pair or pairs[word] for word, pair in zip(words, found)]
+            most = self.remember // 2
+            if len(self.known) + len(pairs) > most:
+                self.older, self.known, pairs = self.known, {}, dict(zip(words[:most], found))
+            self.known.update(pairs)
+        return found
+
+    def _encode_words(self, words: list[str]) -> dict[str, tuple[str, str]]:
         """Most words are encoded in one text, which is faster than one by one: those of Latin letters with spaces between them."""
+        known: dict[str, tuple[str, str]] = {}
         whole = list(filter(LETTERS.fullmatch, words))
         if whole:
             found = [part.split("\n") for part in self._joined(whole, " ")]
             # There is one ending token for each word, unless the vocabulary parts words or has no such tokens.
             if all(len(parts) == len(whole) + 1 and not parts[-1] for parts in found):
-                self.known.update(zip(whole, zip(*found)))
-                words = [word for word in words if not LETTERS.fullmatch(word)]
+                known.update(zip(whole, zip(*found)))
+                words = [word for word in words if word not in known]
         apart = [word for word in words if self.mark is None or "<|" in word]
         for word, encoding in zip(apart, self.tokenizer.encode_batch_fast(apart, add_special_tokens=False) if apart else ()):
-            self.known[word] = " ".join(map(str, encoding.ids)), self.tokenizer.decode(encoding.ids, skip_special_tokens=False)
-            self.any_empty |= not encoding.ids
+            known[word] = " ".join(map(str, encoding.ids)), self.tokenizer.decode(encoding.ids, skip_special_tokens=False)
         rest = [word for word in words if self.mark is not None and "<|" not in word] if apart else words
         if rest:
             # The others are parted by a special token.
             found = [part.replace("\n", " ").split("\r") for part in self._joined(rest, self.parting)]
-            pairs = [(ids.strip(" "), text.strip(" ")) for ids, text in zip(*found, strict=True)]
-            self.known.update(zip(rest, pairs, strict=True))
-            self.any_empty |= ("", "") in pairs
+            known.update(zip(rest, zip(*([part.strip(" ") for part in parts] for parts in found), strict=True), strict=True))
+        return known
 
     def _joined(self, words: list[str], between: str) -> tuple[str, str]:
         """The ids and the texts of words encoded as one."""
-        ids = self.tokenizer.encode_batch_fast([between.join(words)], add_special_tokens=False)[0].ids
+        if between == " " and self.simple is not None:
+            texts = [between.join(words[i : i + JOINED]).lower() for i in range(0, len(words), JOINED)]
+            parts = self.simple.encode_batch_fast(texts, add_special_tokens=False)
+            ids = [i for part in parts for i in part.ids]
+        else:
+            ids = self.tokenizer.encode_batch_fast([between.join(words)], add_special_tokens=False)[0].ids
         return "".join(map(self.ids.__getitem__, ids)), "".join(map(self.texts.__getitem__, ids))
 
-    def join(self, words: list[str]) -> Tokens:
-        """Tokens of words that are remembered, in order."""
-        found = list(map(self.known.__getitem__, words))
-        if self.any_empty:
-            found = [pair for pair in found if pair[0]]
-        return Tokens(" ".join(map(IDS, found)), " ".join(map(TEXT, found)))
-
-    def chunk(self, chunk: str) -> Chunk:
-        """The tokens of a chunk that stands alone."""
-        parted = _parted(chunk)
-        if parted is None:
-            return Chunk(chunk, None, "")
-        head, between, tail = parted
-        self.learn(set(between))
-        return Chunk(head, self.join(between), tail)
-
-    def encode(self, text: str | None) -> Tokens:
-        """Tokens of a whole text; a null text counts as empty."""
-        if not text:
-            return NO_TOKENS
-        text = plain(text)
+    def _tokens(self, rows: list[list[str | Tokens]]) -> list[Tokens]:
+        """The tokens of rows of pieces, each a string with spaces between words or tokens already known; a row begins with a string."""
+        if not rows:
+            return []
+        strings = [piece for row in rows for piece in row if isinstance(piece, str)]
+        split = pc.split_pattern(pa.array(strings, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        pairs = self.look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        # Behind the words come the tokens already known, each at its place between the pieces.
+        ends, place, at, bounds, given = split.offsets.to_numpy(), 0, [], [0], []
+        for row in rows:
+            for piece in row:
+                if isinstance(piece, str):
+                    place += 1
+                else:
+                    at.append(ends[place])
+                    given.append(piece)
+            bounds.append(ends[place] + len(given))
+        index = np.insert(coded.indices.to_numpy(), at, np.arange(len(pairs), len(pairs) + len(given)))
+        columns = [[*map(part, pairs), *map(part, given)] for part in (IDS, TEXT)]
+        # What has no tokens leaves no space.
+        kept = np.fromiter(map(bool, columns[0]), dtype=bool, count=len(columns[0]))[index]
+        offsets = pa.array(np.concatenate([[0], np.cumsum(kept)])[bounds], pa.int64())
+        index = pa.array(index[kept])
+        lists = (pa.LargeListArray.from_arrays(offsets, pa.array(column, pa.large_string()).take(index)) for column in columns)
+        return list(map(Tokens, *(pc.binary_join(list_, pa.scalar(" ", pa.large_string())).to_pylist() for list_ in lists)))
+
+    def chunks(self, found: list[str]) -> list[Chunk]:
+        """The tokens of chunks that stand alone."""
+        parted = list(map(_parted, found))
+        tokens = iter(self._tokens([[parts[1]] for parts in parted if parts]))
+        return [Chunk(parts[0], next(tokens), parts[2]) if parts else Chunk(chunk, None, "") for chunk, parts in zip(found, parted)]
+
+    def _pieces(self, text: str | None) -> list[str | Tokens]:
+        """Tokens of shared chunks, and the strings before, between and behind them."""
+        text = plain(text) if text else ""
         # Between two shared chunks everything is split into words as one, from the tail of the one to the head of the other.
-        pieces: list[Tokens | list[str]] = []
+        pieces: list[str | Tokens] = []
         between: list[str] = []
-        for piece in chunks(text):
+        for piece in chunks(text) if self.shared else [text]:
             known = self.shared.get(piece)
             if known is None or known.inner is None:
                 between.append(piece)
                 continue
             between.append(known.head)
-            pieces += [words("".join(between)), known.inner]
+            pieces += [spaced("".join(between)), known.inner]
             between = [known.tail]
-        pieces.append(words("".join(between)))
-        self.learn(set().union(*(piece for piece in pieces if isinstance(piece, list))))
-        parts = [self.join(part) if isinstance(part, list) else part for part in pieces]
-        parts = [part for part in parts if part.ids]
-        return Tokens(" ".join([p.ids for p in parts]), " ".join([p.text for p in parts]))
+        return [*pieces, spaced("".join(between))]
+
+    def encode(self, text: str | None) -> Tokens:
+        """Tokens of a whole text; a null text counts as empty."""
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[Tokens]:
+        """Tokens of whole texts, in order."""
+        rows: list[list[str | Tokens]] = []
+        size = 0
+        for text in texts:
+            rows.append(self._pieces(text))
+            size += len(text or "")
+            if len(rows) >= TOGETHER or size >= TOGETHER_CHARS:
+                yield from self._tokens(rows)
+                rows, size = [], 0
+        if rows:
+            yield from self._tokens(rows)
+
+
+def _simple(tokenizer: Tokenizer) -> Tokenizer | None:
+    """The same model for words of Latin letters in lower case, without the steps that leave them as they are; none if others are there."""
+    from tokenizers import Regex, Tokenizer, normalizers, pre_tokenizers
+
+    to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    usual = [
+        (tokenizer.normalizer, normalizers.Sequence([normalizers.NFC(), normalizers.Replace(Regex(r"\s+"), " "), normalizers.Lowercase()])),
+        (tokenizer.pre_tokenizer, pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(PARTS), "removed", invert=True), to_bytes])),
+    ]
+    if any(step is None or json.loads(step.__getstate__()) != json.loads(known.__getstate__()) for step, known in usual):
+        return None
+    simple = Tokenizer(tokenizer.model)
+    simple.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), to_bytes])
+    return simple
 
 
-def _parted(chunk: str) -> tuple[str, list[str], str] | None:
+def _parted(chunk: str) -> tuple[str, str, str] | None:
     """The part before a chunk's first white space, the words after it, and the part behind its last; none without any."""
     first = SPACE.search(chunk)
     if first is None:
         return None
     last = max(chunk.rfind(" "), chunk.rfind("\n"), chunk.rfind("\t"), chunk.rfind("\r"))
-    return chunk[: first.start()], words(chunk[first.start() : last]), chunk[last + 1 :]
+    return chunk[: first.start()], spaced(chunk[first.start() : last]), chunk[last + 1 :]
 
 
 def shared_chunks(docs: DataFrame, path: str, bound: int = MAX_SHARED, text_column: str = "text") -> dict[str, Chunk]:
@@ -262,7 +323,8 @@ def shared_chunks(docs: DataFrame, path: str, bound: int = MAX_SHARED, text_colu
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(path)
         for batch in batches:
-            rows = [(chunk, *_flat(encoder.chunk(chunk))) for chunk in batch["chunk"]]
+            found = encoder.chunks(batch["chunk"].tolist())
+            rows = [(text, *_flat(chunk)) for text, chunk in zip(batch["chunk"], found)]
             yield pd.DataFrame(rows, columns=["chunk", "head", "tail", "ids", "decoded"])
 
     held = texts.join(F.broadcast(holders), "holder", "left_semi").select("text")
@@ -299,9 +361,8 @@ def encoded(
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(path, shared.value, remember)
         for texts in batches:
-            for begin in range(0, len(texts), TOGETHER):
-                part = texts.iloc[begin : begin + TOGETHER]
-                yield pd.DataFrame([last(encoder.encode(text)) for text in part], columns=names)
+            for part in batched(map(last, encoder.encode_all(texts)), TOGETHER):
+                yield pd.DataFrame(list(part), columns=names)
 
     return docs.withColumn(to, tokens(F.col(text_column)))
 

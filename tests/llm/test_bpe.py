@@ -55,6 +55,35 @@ def test_words_are_encoded_in_one_text_without_marks(library):
         assert other.encode(text).ids.split() == [str(i) for i in library(text)]
 
 
+def test_words_of_many_texts_are_encoded_once(library, monkeypatch):
+    encoder, asked, marked = bpe.Encoder(PATH, remember=6), [], []
+    encode, joined = encoder._encode_words, encoder._joined
+    encoder._encode_words = lambda words: asked.append(words) or encode(words)
+    encoder._joined = lambda words, between: marked.extend(words * (between != " ")) or joined(words, between)
+    texts = ["One two ***\t|", None, " ", "two  one!!! thrée.*** four", "<|endoftext|> one. two|>", "Ǆ Ā*** \u0394 one"]
+    found = list(encoder.encode_all(texts))
+    assert [t.ids for t in found] == [" ".join(map(str, library(text))) for text in texts]
+    # One call for all texts, each word once; signs that end words need no marks, and no more words stay than allowed.
+    assert len(asked) == 1 and len(asked[0]) == len(set(asked[0])) and len(encoder.known) + len(encoder.older) <= 6
+    assert {"***", "!!!", ".***", "one", "thrée"} <= set(asked[0]) and not any("one" in word for word in marked)
+    # Texts that are encoded together may be few.
+    monkeypatch.setattr(bpe, "TOGETHER", 2)
+    assert list(encoder.encode_all(texts * 3)) == found * 3 and len(encoder.known) + len(encoder.older) <= 6
+    monkeypatch.setattr(bpe, "TOGETHER_CHARS", 1)
+    assert list(encoder.encode_all(texts * 3)) == found * 3
+    assert list(encoder.encode_all([])) == [] and encoder.chunks([]) == []
+
+
+def test_words_of_letters_skip_steps_of_known_vocabularies_only(library, tmp_path):
+    text = "Ünïcode WÖRTER, ǅ ȺĀ stand'ng \u0141ódź..."
+    assert bpe.Encoder(PATH).simple is not None
+    other = Tokenizer.from_file(PATH)
+    other.normalizer = None
+    other.save(str(tmp_path / "other.json"))
+    assert bpe.Encoder(str(tmp_path / "other.json")).simple is None
+    assert bpe.Encoder(PATH).encode(text).ids.split() == [str(i) for i in library(text)]
+
+
 def test_shared_chunks_start_no_python_for_a_list_of_ids(spark, monkeypatch):
     made = []
     create = type(spark).createDataFrame
